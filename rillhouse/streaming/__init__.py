@@ -1,0 +1 @@
+"""Stateful processors and query helpers for Structured Streaming."""

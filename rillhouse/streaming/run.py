@@ -1,0 +1,48 @@
+"""Running streams to the end of the available data."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..session import configure
+from ..sources import paths, tables
+
+
+@contextmanager
+def state_partitions(spark: SparkSession, per_core: int = 2) -> Iterator[None]:
+    """Start queries with a state width fitted to the cluster.
+
+    A stream keeps the number of shuffle partitions it was first started with, and
+    each is a state store, so the batch default of 200 is far too many for a few
+    cores; it is only ever lowered here.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), per_core * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def drain(df: DataFrame, path: str, checkpoint: str, date: str | None = None) -> DataFrame:
+    """Append everything available to ``path`` and read the table back."""
+    spark = configure(df.sparkSession)
+    with state_partitions(spark):
+        query = tables.append_stream(df, path, checkpoint, date, available_now=True)
+        query.awaitTermination()
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drain_to_scratch(df: DataFrame, label: str) -> DataFrame:
+    """``drain`` into a new folder of the shared scratch area."""
+    folder = paths.scratch(df.sparkSession, label)
+    return drain(df, f"{folder}/table", f"{folder}/checkpoint")
+
+
+def await_any(spark: SparkSession) -> None:
+    """Block until one of the running streams stops."""
+    spark.streams.awaitAnyTermination()

@@ -1,0 +1,173 @@
+"""Keyed state machines for streams.
+
+Two processors cover every machine: the day of a key's last visit (daily unique,
+returning, first-ever, cart and payment users are read off its two dates) and the
+device record (first date, newest second).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from typing import Any
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from ..operators.visits import DAY, PREVIOUS
+
+_DAY_MS = 86_400_000
+# Frames longer than this are reduced with pandas before the row loop.
+_SMALL_FRAME = 64
+
+
+class DayVisits(StatefulProcessor):
+    """Emits the first row of each new day of a key, with the day seen before."""
+
+    def __init__(self, n_keys: int, columns: list[str], ttl_hours: int | None):
+        self._n_keys = n_keys
+        self._columns = columns      # time column, kept columns, day number
+        self._ttl_ms = None if ttl_hours is None else ttl_hours * 3_600_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._last = handle.getValueState("last_day", "day int")
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
+                        ) -> Iterator[pd.DataFrame]:
+        first: dict[int, tuple] = {}
+        for frame in rows:
+            frame = frame[self._columns]
+            if len(frame) > _SMALL_FRAME:
+                frame = (frame.sort_values(self._columns[:-1])
+                         .drop_duplicates(self._columns[-1]))
+            for row in frame.itertuples(index=False, name=None):
+                seen = first.get(row[-1])
+                if seen is None or _order(row) < _order(seen):
+                    first[row[-1]] = row
+        held = self._last.get()
+        last, out = (None if held is None else held[0]), []
+        for day in sorted(first):
+            if day != last:
+                out.append((*key, *first[day], last))
+                last = day
+        if not out:
+            return
+        self._last.update((int(last),))
+        if self._ttl_ms is not None:
+            self._handle.registerTimer((int(last) + 1) * _DAY_MS + self._ttl_ms)
+        names = [f"_k{i}" for i in range(self._n_keys)] + self._columns + [PREVIOUS]
+        made = pd.DataFrame(out, columns=names)
+        made[PREVIOUS] = made[PREVIOUS].astype("Int32")
+        yield made
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any
+                           ) -> Iterator[pd.DataFrame]:
+        held = self._last.get()
+        if held is not None:
+            due = (held[0] + 1) * _DAY_MS + (self._ttl_ms or 0)
+            if due <= expiredTimerInfo.getExpiryTimeInMs():
+                self._last.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def _order(row: tuple) -> tuple:
+    """Row order by time, then kept values with nulls first (as Spark orders structs)."""
+    time, *kept = row[:-1]
+    return (time, *[(v is not None and v == v, v if v is not None and v == v else "")
+                    for v in kept])
+
+
+def _visits(df: DataFrame, groups: list[str], ts: str, keep: list[str],
+            ttl_hours: int | None) -> DataFrame:
+    """One pass through the processor; ``groups`` are renamed apart inside it."""
+    inner = [f"_k{i}" for i in range(len(groups))]
+    columns = [ts, *keep, DAY]
+    fields = [T.StructField(i, df.schema[g].dataType) for i, g in zip(inner, groups, strict=True)]
+    fields += [T.StructField(c, df.schema[c].dataType) for c in [ts, *keep]]
+    fields += [T.StructField(DAY, T.IntegerType()), T.StructField(PREVIOUS, T.IntegerType())]
+    renamed = df.select(*[F.col(g).alias(i) for g, i in zip(groups, inner, strict=True)], *columns)
+    made = renamed.groupBy(*inner).transformWithStateInPandas(
+        DayVisits(len(groups), columns, ttl_hours), T.StructType(fields),
+        outputMode="append", timeMode="eventTime", eventTimeColumnName=ts)
+    return made.select(*[F.col(i).alias(g) for i, g in zip(inner, groups, strict=True)],
+                       *columns, PREVIOUS)
+
+
+def first_of_day_stream(df: DataFrame, keys: list[str], ts: str, keep: list[str], delay: str,
+                        ttl_hours: int | None, salts: int) -> DataFrame:
+    """Streaming form of ``first_of_day``; the result carries the watermark on ``ts``.
+
+    With ``salts`` > 1 a first stage keyed by (key, salt) lets through one row per
+    salt and day, so the second stage sees at most ``salts`` rows per key and day
+    even when one key owns a large part of the stream.
+    """
+    rows = (df.withWatermark(ts, delay)
+            .select(*keys, ts, *keep, F.unix_date(F.to_date(ts)).alias(DAY)))
+    if salts > 1:
+        salted = rows.withColumn("_salt", F.pmod(F.xxhash64(ts, *keep), F.lit(salts)))
+        rows = _visits(salted, [*keys, "_salt"], ts, keep, ttl_hours or 24).drop("_salt", PREVIOUS)
+    made = _visits(rows, keys, ts, keep, ttl_hours)
+    return made.withColumns({DAY: F.date_from_unix_date(DAY),
+                             PREVIOUS: F.date_from_unix_date(PREVIOUS)})
+
+
+class DeviceRecord(StatefulProcessor):
+    """Late-row drop and new-visitor flag per device, in arrival order."""
+
+    def __init__(self, columns: list[str], ts: str, flag: str, arrival: str | None,
+                 late_seconds: int, trust_reported_old: bool):
+        self._columns, self._ts, self._flag, self._arrival = columns, ts, flag, arrival
+        self._late, self._trust = late_seconds, trust_reported_old
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._state = handle.getValueState("device", "first_day int, newest long")
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
+                        ) -> Iterator[pd.DataFrame]:
+        if self._arrival is not None:
+            rows = iter([pd.concat(list(rows)).sort_values(self._arrival)])
+        first_day, newest = self._state.get() or (None, None)
+        for frame in rows:
+            times = frame[self._ts].to_numpy(dtype="datetime64[s]").astype("int64")
+            days = times // 86_400
+            if first_day is None:
+                reported_old = self._trust and frame[self._flag].iloc[0] == "0"
+                first_day = int(days[0]) - int(reported_old)
+                newest = int(times[0])
+            reached = np.maximum.accumulate(np.concatenate(([newest], times)))
+            accepted = reached[:-1] - times <= self._late
+            newest = int(reached[-1])
+            out = frame.loc[accepted, self._columns].copy()
+            out[self._flag] = np.where(days[accepted] == first_day, "1", "0")
+            if len(out):
+                yield out
+        self._state.update((int(first_day), int(newest)))
+
+    def close(self) -> None:
+        pass
+
+
+def accept_and_flag_stream(df: DataFrame, device: str, ts: str, arrival: str | None = None,
+                           flag: str = "is_new", late_seconds: int = 5,
+                           trust_reported_old: bool = False) -> DataFrame:
+    """Streaming form of ``accept_and_flag``.
+
+    Without ``arrival`` the rows of a device count in the order they are delivered
+    and pass through in Arrow batches; with it, a device's rows of one micro-batch
+    are put in order first, so bound the micro-batch at the source. Keep the frame
+    narrow (carry nested payload as its message text).
+    """
+    schema = T.StructType([T.StructField("_device", df.schema[device].dataType),
+                           *[T.StructField(f.name, f.dataType) for f in df.schema.fields]])
+    keyed = df.withColumn("_device", F.col(device))
+    processor = DeviceRecord(["_device", *df.columns], ts, flag, arrival, late_seconds,
+                             trust_reported_old)
+    return keyed.groupBy("_device").transformWithStateInPandas(
+        processor, schema, outputMode="append", timeMode="none").drop("_device")
