@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +24,18 @@ def envelope(messages: DataFrame, value: str = "value") -> DataFrame:
     return messages.select(F.json_tuple(value, *ENVELOPE).alias(*ENVELOPE))
 
 
+def parse_once(df: DataFrame, parsed: Mapping[str, Column], *keep: str) -> DataFrame:
+    """Columns ``keep`` plus parsed ones, each evaluated once per row.
+
+    Going through a one-element array makes the parse part of a generator; filters
+    on its fields then read the result. Written as plain columns, Spark would push
+    such filters below the projection and parse the text again for every field tested.
+    """
+    packed = F.struct(*[c.alias(name) for name, c in parsed.items()])
+    opened = df.select(*keep, F.explode(F.array(packed)).alias("_parsed"))
+    return opened.select(*keep, *[F.col(f"_parsed.{name}") for name in parsed])
+
+
 def without_control(changes: DataFrame) -> DataFrame:
     """Drop the records that only mark the start and end of a bootstrap."""
     return changes.where(~F.col("type").isin(*N.CONTROL_KINDS))
@@ -42,7 +54,7 @@ def of_table(changes: DataFrame, table: str, kinds: Sequence[str] = (),
 
 def bind(changes: DataFrame, schema: T.StructType, *extra: str) -> DataFrame:
     """Parse ``data`` with a schema known only now, lift its fields, keep ``extra``."""
-    parsed = changes.select(F.from_json("data", schema).alias("data"), *extra)
+    parsed = parse_once(changes, {"data": F.from_json("data", schema)}, *extra)
     return parsed.select("data.*", *extra)
 
 

@@ -75,11 +75,11 @@ def accept_and_flag(df: DataFrame, device: str, ts: str, arrival: str, flag: str
     The rows themselves are only ordered within their chunk, so no device, however
     busy, is sorted in one task.
     """
-    second = F.floor(F.unix_seconds(ts))
+    second = F.unix_seconds(ts)
     first_date = F.to_date(ts)
     if trust_reported_old:
         first_date = F.when(F.col(flag) == "0", F.date_sub(first_date, 1)).otherwise(first_date)
-    rows = df.withColumns({"_chunk": F.floor(F.col(arrival) / F.lit(chunk_rows)), "_sec": second})
+    rows = df.withColumns({"_chunk": F.expr(f"`{arrival}` div {int(chunk_rows)}"), "_sec": second})
     summary = (rows.groupBy(device, "_chunk")
                .agg(F.max("_sec").alias("_chunk_max"),
                     F.min(F.struct(F.col(arrival).alias("a"), first_date.alias("d"))).alias("_lead")))

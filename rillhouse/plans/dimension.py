@@ -72,6 +72,11 @@ def dimension_changes(messages: DataFrame, config: DataFrame) -> DataFrame:
     return rows.select("data", "table", F.col("type").alias("_type_"), ORDER)
 
 
+def changed_tables(changes: DataFrame) -> set[str]:
+    """Names of the configured tables that have changes in this micro-batch, in one job."""
+    return {row["table"] for row in changes.select("table").distinct().toLocalIterator()}
+
+
 def bound_changes(changes: DataFrame, meta: DimensionMeta) -> DataFrame:
     """Changes of one table, parsed with the schema its configuration row declares."""
     rows = changes.where(F.col("table") == meta.source_table)
@@ -84,9 +89,10 @@ def sync_dimensions(messages: DataFrame, batch_id: int, config: DataFrame,
     wanted = config.where(F.col("to_hbase") == 0)
     touched = []
     with cached(dimension_changes(messages, wanted)) as changes:
+        present = changed_tables(changes)
         for meta in configured(config, keyed_store=False):
-            rows = bound_changes(changes, meta)
-            if not rows.isEmpty():
+            if meta.source_table in present:
+                rows = bound_changes(changes, meta)
                 table(meta).merge(rows, batch_id, meta.row_key, [ORDER], "_type_", STRICT)
                 touched.append(meta.sink_table)
     return touched
@@ -109,9 +115,10 @@ def sync_keyed_dimensions(messages: DataFrame, batch_id: int, config: DataFrame,
     wanted = config.where(F.col("to_hbase") != 0)
     touched = []
     with cached(dimension_changes(messages, wanted)) as changes:
+        present = changed_tables(changes)
         for meta in configured(config, keyed_store=True):
-            rows = bound_changes(changes, meta)
-            if not rows.isEmpty():
+            if meta.source_table in present:
+                rows = bound_changes(changes, meta)
                 table(meta).put(keyed_changes(rows, meta.row_key, [ORDER]), batch_id,
                                 gone="_removed")
                 touched.append(meta.sink_table)

@@ -20,20 +20,18 @@ PAID = "1602"
 
 # --- behaviour log -------------------------------------------------------------------------
 
-def parse_log(messages: DataFrame) -> DataFrame:
-    return messages.select(F.from_json("value", log_schema()).alias("log"), "value")
-
-
-def valid_log() :
-    """A log line counts when it has a time and a device; malformed text has neither."""
-    return F.col("log.ts").isNotNull() & F.col("log.common.mid").isNotNull()
+# What deciding about a line needs; the rest is parsed for accepted lines only.
+_HEAD = "ts bigint, common struct<mid: string, is_new: string>"
 
 
 def split_log(messages: DataFrame, *extra: str) -> tuple[DataFrame, DataFrame]:
-    """(valid lines as mid, is_new, ts, value; quarantined raw lines with the processing date)."""
-    parsed = parse_log(messages) if not extra else messages.select(
-        F.from_json("value", log_schema()).alias("log"), "value", *extra)
-    good, bad = cdc.split_valid(parsed, valid_log())
+    """(valid lines as mid, is_new, ts, value; quarantined raw lines with the processing date).
+
+    A line is valid when it has a time and a device; malformed text has neither.
+    """
+    parsed = cdc.parse_once(messages, {"log": F.from_json("value", _HEAD)}, "value", *extra)
+    valid = F.col("log.ts").isNotNull() & F.col("log.common.mid").isNotNull()
+    good, bad = cdc.split_valid(parsed, valid)
     return (good.select(F.col("log.common.mid").alias("mid"),
                         F.col("log.common.is_new").alias("is_new"),
                         millis_to_seconds_ts("log.ts").alias("ts"), "value", *extra),
@@ -45,7 +43,7 @@ def open_log(accepted: DataFrame, corrected: bool = True) -> DataFrame:
 
     ``corrected=False`` leaves the flag as the device reported it.
     """
-    logs = accepted.select(F.from_json("value", log_schema()).alias("log"), "is_new", "ts")
+    logs = cdc.parse_once(accepted, {"log": F.from_json("value", log_schema())}, "is_new", "ts")
     common = F.col("log.common")
     if corrected:
         common = common.withField("is_new", F.col("is_new"))
@@ -159,9 +157,9 @@ def cart_adds(messages: DataFrame, database: str | None = None) -> DataFrame:
     The table is tested for updates as well as for inserts.
     """
     changes = cdc.of_table(cdc.envelope(messages), "cart_info", (N.INSERT, N.UPDATE), database)
-    parsed = changes.select(
-        F.from_json("data", cdc_data_schema("cart_info")).alias("data"),
-        F.from_json("old", "map<string,string>").alias("old"), "type")
+    parsed = cdc.parse_once(
+        changes, {"data": F.from_json("data", cdc_data_schema("cart_info")),
+                  "old": F.from_json("old", "map<string,string>")}, "type")
     grown = cdc.increases(parsed, "sku_num", "cart_price").select("data.*")
     return grown.withColumn("date", date_text("create_time"))
 

@@ -73,6 +73,18 @@ def snapshot(spark: SparkSession, path: str, fmt: str = "parquet", merge_schema:
     return reader.load(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a batch frame that is read in fewer tasks than there are cores.
+
+    For costly work per row (building or parsing text) on a small input; a frame with
+    enough partitions is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 class RefreshingSnapshot:
     """A cached snapshot re-read when it is older than ``minutes``.
 

@@ -146,6 +146,7 @@ class DeviceRecord(StatefulProcessor):
             newest = int(reached[-1])
             out = frame.loc[accepted, self._columns].copy()
             out[self._flag] = np.where(days[accepted] == first_day, "1", "0")
+            out.insert(0, "_device", key[0])
             if len(out):
                 yield out
         self._state.update((int(first_day), int(newest)))
@@ -167,7 +168,7 @@ def accept_and_flag_stream(df: DataFrame, device: str, ts: str, arrival: str | N
     schema = T.StructType([T.StructField("_device", df.schema[device].dataType),
                            *[T.StructField(f.name, f.dataType) for f in df.schema.fields]])
     keyed = df.withColumn("_device", F.col(device))
-    processor = DeviceRecord(["_device", *df.columns], ts, flag, arrival, late_seconds,
+    processor = DeviceRecord(df.columns, ts, flag, arrival, late_seconds,
                              trust_reported_old)
     return keyed.groupBy("_device").transformWithStateInPandas(
         processor, schema, outputMode="append", timeMode="none").drop("_device")

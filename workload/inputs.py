@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillhouse.sources.readers import spread
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A given table; zone-less timestamps become UTC instants."""
@@ -82,7 +84,7 @@ def log_line(millis: str) -> str:
 
 
 def log_messages(ev: DataFrame, *extra: str) -> DataFrame:
-    return ev.select(F.lit(None).cast("string").alias("key"),
+    return spread(ev).select(F.lit(None).cast("string").alias("key"),
                      F.expr(log_line("unix_millis(ts)")).alias("value"), *extra)
 
 
@@ -108,18 +110,24 @@ def micros(ts: str):
 def order_messages(ev: DataFrame) -> DataFrame:
     """Clicks as order lines, purchases as orders, views as activities, errors as coupons."""
     user, event = F.col("user_id").cast("string"), F.col("event_id").cast("string")
-    insert, at = F.lit("insert"), micros("ts").alias("create_time")
+    source = F.expr("CASE event_type WHEN 'click' THEN 'order_detail' WHEN 'purchase' THEN 'order_info' "
+                    "WHEN 'view' THEN 'order_detail_activity' WHEN 'error' THEN 'order_detail_coupon' END")
 
-    def of(kind: str, source: str, *data) -> DataFrame:
-        return cdc_messages(ev.where(F.col("event_type") == kind), source, insert, [*data, at])
+    def of(kind: str, value):
+        return F.when(F.col("event_type") == kind, value)   # null fields are left out of the text
 
-    return (of("click", "order_detail", user.alias("order_id"), event.alias("sku_id"),
-               F.col("value").alias("order_price"), (F.col("event_id") % 9).alias("sku_num"))
-            .unionByName(of("purchase", "order_info", user.alias("id"), event.alias("province_id")))
-            .unionByName(of("view", "order_detail_activity", user.alias("order_id"),
-                            event.alias("activity_id"), F.lit("r1").alias("activity_rule_id")))
-            .unionByName(of("error", "order_detail_coupon", user.alias("order_id"),
-                            event.alias("coupon_id"))))
+    data = F.struct(
+        of("purchase", user).alias("id"),
+        F.when(F.col("event_type") != "purchase", user).alias("order_id"),
+        of("click", event).alias("sku_id"), of("click", F.col("value")).alias("order_price"),
+        of("click", F.col("event_id") % 9).alias("sku_num"),
+        of("purchase", event).alias("province_id"), of("view", event).alias("activity_id"),
+        of("view", F.lit("r1")).alias("activity_rule_id"), of("error", event).alias("coupon_id"),
+        micros("ts").alias("create_time"))
+    return ev.where(source.isNotNull()).select(
+        F.lit(None).cast("string").alias("key"), F.to_json(F.struct(
+            F.lit("shop").alias("database"), source.alias("table"), F.lit("insert").alias("type"),
+            data.alias("data"))).alias("value"))
 
 
 def payment_messages(ev: DataFrame) -> DataFrame:
@@ -167,7 +175,7 @@ def cart_messages(spark: SparkSession, sf: str) -> DataFrame:
 
     Some updates are of another table, shrink, lack the old quantity or hold bad text.
     """
-    lines = table(spark, sf, "lineitem")
+    lines = spread(table(spark, sf, "lineitem"))
     key = F.col("l_orderkey") + F.col("l_linenumber")
     kind = F.when(key % 3 == 0, "insert").otherwise("update")
     old_qty = F.when(key % 7 == 0, "many").otherwise(
@@ -189,7 +197,7 @@ def cart_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def comment_messages(spark: SparkSession, sf: str) -> DataFrame:
-    orders = table(spark, sf, "orders")
+    orders = spread(table(spark, sf, "orders"))
     return cdc_messages(
         orders, "comment_info", F.when(F.col("o_orderkey") % 10 == 0, "delete").otherwise("insert"),
         [F.col("o_orderkey").cast("string").alias("id"), F.col("o_custkey").cast("string").alias("user_id"),

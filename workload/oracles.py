@@ -415,3 +415,11 @@ ORACLES: dict[str, str] = {
 _LAST = "(SELECT least(max(ts) FILTER (event_type = 'click'), max(ts) FILTER (event_type = 'purchase')) FROM events)"
 ORACLES["stream_payment_wide"] = _payments(
     f"o.event_id IS NOT NULL OR p.ts < {_LAST} - INTERVAL 1 MINUTE")
+
+# In a chain each left join holds an unmatched row one interval longer than the join before it:
+# the first (inner) join passes its watermark on an hour late, the next join another hour.
+_ENDS = ("(SELECT min(m) FROM (SELECT max(ts) AS m FROM events WHERE event_type IN "
+         "('click', 'purchase', 'view', 'error') GROUP BY event_type)) - INTERVAL 1 MINUTE")
+ORACLES["stream_order_wide_interval"] = _wide(
+    f"(c.event_id IS NOT NULL OR a.ts < {_ENDS} - INTERVAL 2 HOUR) "
+    f"AND (d.event_id IS NOT NULL OR a.ts < {_ENDS} - INTERVAL 3 HOUR)")

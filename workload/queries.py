@@ -92,7 +92,8 @@ def search_keyword_windows(spark, sf):
 
 @query
 def keyword_count(spark, sf):
-    words = explode_words(I.table(spark, sf, "documents").select("text"), "text")
+    texts = readers.spread(I.table(spark, sf, "documents").select("text"))
+    words = explode_words(texts, "text")
     return words.groupBy("keyword").agg(F.count("*").alias("count"))
 
 
@@ -509,7 +510,8 @@ def date_functions(spark, sf):
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     path = f"{sf}/events.parquet"
     schema = spark.read.parquet(path).schema
-    stream = spark.readStream.schema(schema).parquet(path)
+    # Written as a pattern, the path may be a folder of files or, as here, one file.
+    stream = readers.table_stream(spark, f"{sf}/events.parque[t]", schema, max_files=None)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
