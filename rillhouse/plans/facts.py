@@ -164,14 +164,22 @@ def cart_adds(messages: DataFrame, database: str | None = None) -> DataFrame:
     return grown.withColumn("date", date_text("create_time"))
 
 
-def comments(messages: DataFrame, dictionary: DataFrame, database: str | None = None
-             ) -> DataFrame:
-    rows = cdc.table_rows(messages, "comment_info", cdc_data_schema("comment_info"),
+def comment_rows(messages: DataFrame, database: str | None = None) -> DataFrame:
+    return cdc.table_rows(messages, "comment_info", cdc_data_schema("comment_info"),
                           database=database)
+
+
+def name_comments(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """The appraisal code becomes its dictionary name (null when unknown)."""
     named = dictionary_join(rows, dictionary, APPRAISALS, "appraise")
     return named.withColumn("date", date_text("create_time"))
 
 
+def comments(messages: DataFrame, dictionary: DataFrame, database: str | None = None
+             ) -> DataFrame:
+    return name_comments(comment_rows(messages, database), dictionary)
+
+
 def registered_users(messages: DataFrame, database: str | None = None) -> DataFrame:
     rows = cdc.table_rows(messages, "user_info", cdc_data_schema("user_info"), N.INSERT_KINDS,
                           database)

@@ -81,7 +81,7 @@ def console_stream(df: DataFrame, checkpoint: str | None = None) -> StreamingQue
     return writer.start()
 
 
-def each_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
+def each_batch(df: DataFrame, fn: Callable[[DataFrame, int], object], checkpoint: str,
                available_now: bool = False, trigger: str | None = None) -> StreamingQuery:
     """Run ``fn`` on every micro-batch."""
     writer = df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
@@ -212,11 +212,15 @@ class MergedTable:
     def _load(self, spark: SparkSession, version: int | None) -> DataFrame:
         if version is None:
             return spark.createDataFrame([], self.schema)
-        # Read with the declared types, so a partition value is not guessed from its folder name.
-        held = spark.read.parquet(self._folder(version))
+        known = {f.name: f.dataType for f in self.schema.fields}
+        stored = spark.read.parquet(self._folder(version)).schema
+        # Read with the declared type, so a partition value is not guessed from its folder name.
+        typed = T.StructType([
+            T.StructField(f.name, known[f.name] if f.name == self.partition_by and f.name in known
+                          else f.dataType) for f in stored.fields])
+        held = spark.read.schema(typed).parquet(self._folder(version))
         missing = [f for f in self.schema.fields if f.name not in held.columns]
         held = held.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
-        known = {f.name: f.dataType for f in self.schema.fields}
         return held.select(*[F.col(c).cast(known[c]) if c in known else F.col(c)
                              for c in held.columns])
 
