@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: a word is a run of letters or digits in any script.
@@ -59,6 +59,24 @@ def longest_match(words: Iterable[str]) -> Segmenter:
     return segment
 
 
+def register_split_keywords(spark: SparkSession, segmenter: Segmenter | None = None,
+                            name: str = "splitKeywords") -> None:
+    """SQL function: a sentence as its words joined by commas (empty text when it has none).
+
+    Without a segmenter it is a SQL expression that Spark inlines.
+    """
+    if segmenter is None:
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(sentence STRING) RETURNS STRING "
+                  f"RETURN array_join(regexp_extract_all(lower(sentence), r'{WORD}', 0), ',')")
+        return
+
+    @F.pandas_udf("string")
+    def joined(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else ",".join(segmenter(t)))
+
+    spark.udf.register(name, joined)
+
+
 def explode_words(df: DataFrame, text: str, word: str = "keyword",
                   split: Callable[[str | Column], Column] = tokenize) -> DataFrame:
     """One row per word, the text column replaced; texts without words give no rows."""

@@ -36,6 +36,16 @@ def parse_once(df: DataFrame, parsed: Mapping[str, Column], *keep: str) -> DataF
     return opened.select(*keep, *[F.col(f"_parsed.{name}") for name in parsed])
 
 
+def mentions(table: str, value: str = "value") -> Column:
+    """Text test that every message of ``table`` passes; cheap enough to run before parsing.
+
+    A plain name can stand in JSON as itself or through unicode escapes, so texts with
+    such escapes pass as well and are decided by the parsed envelope.
+    """
+    text = F.col(value)
+    return text.contains(table) | text.contains("\\u")
+
+
 def without_control(changes: DataFrame) -> DataFrame:
     """Drop the records that only mark the start and end of a bootstrap."""
     return changes.where(~F.col("type").isin(*N.CONTROL_KINDS))
@@ -61,7 +71,8 @@ def bind(changes: DataFrame, schema: T.StructType, *extra: str) -> DataFrame:
 def table_rows(messages: DataFrame, table: str, schema: T.StructType,
                kinds: Sequence[str] = (N.INSERT,), database: str | None = None) -> DataFrame:
     """Payload rows of one table straight from the raw messages."""
-    rows = of_table(envelope(messages), table, kinds, database).where(F.col("data").isNotNull())
+    candidates = envelope(messages.where(mentions(table)))
+    rows = of_table(candidates, table, kinds, database).where(F.col("data").isNotNull())
     return bind(rows, schema)
 
 

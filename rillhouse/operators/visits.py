@@ -38,10 +38,11 @@ def first_of_day(df: DataFrame, key: str | Sequence[str], ts: str, keep: Sequenc
         from ..streaming.state import first_of_day_stream
         return first_of_day_stream(df, keys, ts, list(keep), delay, ttl_hours, salts)
     days = df.withColumn(DAY, F.to_date(ts))
-    first = days.groupBy(*keys, DAY, *keep).agg(F.min(ts).alias(ts))
     if keep:
-        first = (first.groupBy(*keys, DAY).agg(F.min(F.struct(ts, *keep)).alias("_first"))
+        first = (days.groupBy(*keys, DAY).agg(F.min(F.struct(ts, *keep)).alias("_first"))
                  .select(*keys, DAY, "_first.*"))
+    else:
+        first = days.groupBy(*keys, DAY).agg(F.min(ts).alias(ts))   # hash-aggregated
     by_key = Window.partitionBy(*keys).orderBy(DAY)
     return (first.withColumn(PREVIOUS, F.lag(DAY).over(by_key))
             .select(*keys, ts, *keep, DAY, PREVIOUS))

@@ -156,7 +156,8 @@ def cart_adds(messages: DataFrame, database: str | None = None) -> DataFrame:
 
     The table is tested for updates as well as for inserts.
     """
-    changes = cdc.of_table(cdc.envelope(messages), "cart_info", (N.INSERT, N.UPDATE), database)
+    candidates = cdc.envelope(messages.where(cdc.mentions("cart_info")))
+    changes = cdc.of_table(candidates, "cart_info", (N.INSERT, N.UPDATE), database)
     parsed = cdc.parse_once(
         changes, {"data": F.from_json("data", cdc_data_schema("cart_info")),
                   "old": F.from_json("old", "map<string,string>")}, "type")

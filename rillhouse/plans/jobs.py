@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -39,6 +40,7 @@ class Warehouse:
     available_now: bool = False
     trigger: str | None = None
     max_files: int | None = 5
+    compact_every: int = 100
     dimension_minutes: float = 10
     _dims: dict[str, RefreshingSnapshot] = field(default_factory=dict)
 
@@ -57,21 +59,32 @@ class Warehouse:
         return tables.MergedTable(self.path(N.DIM, meta.sink_table), meta.schema, meta.partition_by)
 
     def keyed(self, meta: DimensionMeta) -> tables.KeyedTable:
-        return tables.KeyedTable(self.path(N.DIM, meta.sink_table), [meta.row_key], partition=None)
+        texts = T.StructType([T.StructField(c, T.StringType()) for c in meta.schema.fieldNames()])
+        return tables.KeyedTable(self.path(N.DIM, meta.sink_table), [meta.row_key],
+                                 partition=None, schema=texts)
 
     def metric(self, table: str) -> tables.KeyedTable:
         return tables.KeyedTable(self.path(N.DWS, table), N.METRIC_KEYS[table])
 
-    def read_dimension(self, table: str) -> DataFrame:
-        """A dimension as its configuration row stores it."""
-        config = self.config().read(self.spark)
+    def _meta(self, table: str) -> DimensionMeta:
+        config = self.config().read(self.spark).where(F.col("sink_table") == table)
         for keyed_store in (False, True):
             for meta in dimension.configured(config, keyed_store):
-                if meta.sink_table == table:
-                    place = self.keyed(meta) if keyed_store else self.merged(meta)
-                    return place.read(self.spark)
+                return meta
         raise LookupError(f"no configuration row has the sink table {table!r}")
 
+    def read_dimension(self, table: str) -> DataFrame:
+        """A dimension as its configuration row stores it."""
+        meta = self._meta(table)
+        return (self.keyed(meta) if meta.keyed_store else self.merged(meta)).read(self.spark)
+
+    def dimension_for(self, table: str, rows: DataFrame, on: str) -> DataFrame:
+        """Only the dimension rows that ``rows`` ask for, read now; for very large dimensions."""
+        meta = self._meta(table)
+        if meta.keyed_store:
+            return self.keyed(meta).read_for(rows, on)
+        return self.merged(meta).read(self.spark)
+
     def dimension(self, table: str) -> DataFrame:
         """Cached dimension, re-read when it is older than ``dimension_minutes``."""
         if table not in self._dims:
@@ -97,6 +110,8 @@ class Warehouse:
             with tables.cached(batch) as closed:
                 if not closed.isEmpty():
                     store.put(finish(closed), n)
+            if n % self.compact_every == self.compact_every - 1:
+                store.compact(self.spark)
 
         return self._each(df, N.DWS, table, write)
 
@@ -128,9 +143,11 @@ class Warehouse:
     def log_split(self, late_seconds: int = 5, trust_reported_old: bool = False,
                   corrected: bool = True) -> list[StreamingQuery]:
         """Quarantine, and the five log tables from one pass over the accepted lines."""
-        valid, invalid = facts.split_log(self.topic_log())
-        accepted = accept_and_flag_stream(valid, "mid", "ts", None, "is_new", late_seconds,
-                                          trust_reported_old)
+        messages = self.topic_log()
+        order = [dimension.ORDER] if dimension.ORDER in messages.columns else []
+        valid, invalid = facts.split_log(messages, *order)
+        accepted = accept_and_flag_stream(valid, "mid", "ts", next(iter(order), None), "is_new",
+                                          late_seconds, trust_reported_old)
 
         def sink(table: str) -> tables.Sink:
             return lambda df, n: tables.append_batch(df, self.path(N.DWD, table), batch_id=n)
@@ -154,7 +171,7 @@ class Warehouse:
             with tables.cached(batch) as rows:
                 if not rows.isEmpty():
                     named = facts.name_payments(rows, self.dimension(N.DIM_BASE_DIC),
-                                                self.dimension(N.DIM_USER_INFO))
+                                                self.dimension_for(N.DIM_USER_INFO, rows, "user_id"))
                     tables.append_batch(named, self.path(N.DWD, N.DWD_PAYMENT), evolve=True,
                                         batch_id=n)
 

@@ -18,11 +18,13 @@ def kafka_options(servers: str, topic: str) -> dict[str, str]:
 
 
 def message_stream(spark: SparkSession, fmt: str, path: str | None = None,
-                   options: Mapping[str, str] | None = None) -> DataFrame:
+                   options: Mapping[str, str] | None = None, ordered: bool = False) -> DataFrame:
     """Messages as ``key`` and ``value`` texts.
 
     ``kafka`` takes its options from ``kafka_options``; ``text`` reads one message per
     line with a null key; file formats with both columns are read with that schema.
+    ``ordered`` adds a broker message's offset as ``_order``; the messages of one key
+    share a topic partition, so it orders them.
     """
     reader = spark.readStream.format(fmt).options(**dict(options or {}))
     if fmt == "text":
@@ -30,7 +32,8 @@ def message_stream(spark: SparkSession, fmt: str, path: str | None = None,
     if fmt != "kafka":
         reader = reader.schema(MESSAGE)
     loaded = reader.load(path) if path else reader.load()
-    return loaded.selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value")
+    order = ["offset AS _order"] if ordered else []
+    return loaded.selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value", *order)
 
 
 def messages(spark: SparkSession, path: str, fmt: str = "text") -> DataFrame:

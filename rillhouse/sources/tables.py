@@ -110,13 +110,19 @@ class KeyedTable:
     A batch is written to its own folder and nothing is read or rewritten, so the
     cost of a write is the cost of the batch and a replayed batch overwrites itself.
     Reading keeps the newest row per key by aggregation; filters on key columns
-    reach the files. ``compact`` folds the batches into one folder from time to time.
+    reach the files. ``compact`` folds batch folders together from time to time.
+
+    Give ``schema`` where columns may be added over time; otherwise it is taken from
+    the stored files.
     """
 
-    def __init__(self, path: str, keys: Sequence[str], partition: str | None = "date"):
+    def __init__(self, path: str, keys: Sequence[str], partition: str | None = "date",
+                 schema: T.StructType | None = None):
         self.path, self.keys, self.partition = path.rstrip("/"), list(keys), partition
+        self.schema = schema
 
     def _parts(self, spark: SparkSession) -> list[tuple[str, int]]:
+        """Folder labels (b = one batch, c = folded batches, f = folded table) and newest batch."""
         names = (n.partition("=")[2] for n in paths.children(spark, self.path)
                  if n.startswith("part="))
         return [(n, int(n[1:])) for n in names]
@@ -144,40 +150,60 @@ class KeyedTable:
         marked = batch.withColumns({_BATCH: F.lit(batch_id).cast("long"), _GONE: flag})
         self._write(marked.drop(gone) if gone else marked, f"{self.path}/part=b{batch_id:012d}")
 
-    def stored(self, spark: SparkSession) -> DataFrame:
-        """All stored rows with their batch number, replaced ones included."""
-        done = [f"{self.path}/part={name}" for name, _ in self._parts(spark)
-                if paths.is_complete(spark, f"{self.path}/part={name}")]
+    def _load(self, spark: SparkSession, labels: Sequence[str]) -> DataFrame:
+        done = [f"{self.path}/part={n}" for n in labels
+                if paths.is_complete(spark, f"{self.path}/part={n}")]
         if not done:
             raise FileNotFoundError(f"{self.path} holds no batch yet")
-        return (spark.read.option("basePath", self.path).option("mergeSchema", "true")
-                .parquet(*done).drop("part"))
+        reader = spark.read.option("basePath", self.path)
+        if self.schema is not None:
+            reader = reader.schema(T.StructType([
+                *self.schema.fields, T.StructField(_BATCH, T.LongType()),
+                T.StructField(_GONE, T.BooleanType())]))
+        return reader.parquet(*done).drop("part")
+
+    def stored(self, spark: SparkSession) -> DataFrame:
+        """All stored rows with their batch number, replaced ones included."""
+        return self._load(spark, [label for label, _ in self._parts(spark)])
+
+    def _current(self, rows: DataFrame) -> DataFrame:
+        newest = latest_per_key(rows, self.keys, [_BATCH])
+        return newest.where(~F.col(_GONE)).drop(_BATCH, _GONE)
 
     def read(self, spark: SparkSession, where=None) -> DataFrame:
         """Current rows; ``where`` is a condition on key columns, applied while reading."""
         rows = self.stored(spark)
-        if where is not None:
-            rows = rows.where(where)
-        newest = latest_per_key(rows, self.keys, [_BATCH])
-        return newest.where(~F.col(_GONE)).drop(_BATCH, _GONE)
+        return self._current(rows if where is None else rows.where(where))
 
-    def compact(self, spark: SparkSession) -> None:
-        """Fold all batches into one folder.
+    def read_for(self, wanted: DataFrame, on: str) -> DataFrame:
+        """Current rows of the keys in column ``on`` of ``wanted``.
+
+        The other rows are dropped before the newest is sought, so what is shuffled
+        grows with the asked-for keys, not with the table.
+        """
+        (key,) = self.keys
+        asked = wanted.select(F.col(on).alias(key)).distinct()
+        return self._current(self.stored(wanted.sparkSession).join(asked, key, "left_semi"))
+
+    def compact(self, spark: SparkSession, full: bool = False) -> None:
+        """Fold the single batches into one folder (``full``: everything stored so far).
 
         Rows keep their batch number, so while old and new folders stand side by side
         a read gives the same rows; a stop at any point leaves a correct table.
         """
-        parts = self._parts(spark)
+        parts = [(label, at) for label, at in self._parts(spark) if full or label[0] == "b"]
         if len(parts) < 2:
             return
         newest = max(at for _, at in parts)
-        folded, target = f"{self.path}/_folding", f"{self.path}/part=c{newest:012d}"
-        if paths.exists(spark, target):
-            return
-        self._write(latest_per_key(self.stored(spark), self.keys, [_BATCH]), folded)
-        paths.move(spark, folded, target)
-        for name, at in parts:
-            if at <= newest:
+        label = f"{'f' if full else 'c'}{newest:012d}"
+        target = f"{self.path}/part={label}"
+        if not paths.exists(spark, target):
+            folding = f"{self.path}/_folding"
+            rows = self._load(spark, [name for name, _ in parts])
+            self._write(latest_per_key(rows, self.keys, [_BATCH]), folding)
+            paths.move(spark, folding, target)
+        for name, _ in parts:
+            if name != label:
                 paths.remove(spark, f"{self.path}/part={name}")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from ..session import configure
 from ..sources import paths, tables
@@ -46,3 +46,13 @@ def drain_to_scratch(df: DataFrame, label: str) -> DataFrame:
 def await_any(spark: SparkSession) -> None:
     """Block until one of the running streams stops."""
     spark.streams.awaitAnyTermination()
+
+
+def observed(df: DataFrame, *metrics: Column, name: str = "observed") -> tuple[DataFrame, Observation]:
+    """The batch frame, and metrics gathered while it is written (no extra pass).
+
+    Read ``observation.get`` after the write. On streams use ``df.observe(name, …)``:
+    the values arrive in each progress report.
+    """
+    watch = Observation(name)
+    return df.observe(watch, *metrics), watch

@@ -7,11 +7,13 @@ device record (first date, newest second).
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.visits import DAY, PREVIOUS
 
+# The processors travel to the executors by value: no package need be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _DAY_MS = 86_400_000
 # Frames longer than this are reduced with pandas before the row loop.
 _SMALL_FRAME = 64

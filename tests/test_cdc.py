@@ -89,6 +89,11 @@ def test_latest_per_key_prefers_newest_and_keeps_nulls(spark):
     assert got == {"a": (3, None), None: (1, "z")}
 
 
+def test_escaped_table_name_is_found(spark):
+    text = json.dumps(cart("insert", 3)).replace('"cart_info"', '"cart\\u005finfo"')
+    assert facts.cart_adds(lines(spark, text)).count() == 1
+
+
 def test_text_is_parsed_once(spark):
     messages = lines(spark, cart("insert", 3))
     plan = facts.cart_adds(messages)._jdf.queryExecution().executedPlan().toString()

@@ -34,6 +34,23 @@ def test_longest_match_segmenter(spark):
     assert [r.keyword for r in text.explode_words(df, "t", split=split).collect()] == ["苹果手机", "pro15", "壳"]
 
 
+def test_split_keywords_in_sql(spark):
+    ask = lambda: [r.x for r in spark.sql(
+        "SELECT splitKeywords(t) AS x FROM VALUES ('Red Pen!'), ('...'), (NULL) AS v(t)").collect()]
+    text.register_split_keywords(spark)
+    assert ask() == ["red,pen", "", None]
+    spark.sql("DROP TEMPORARY FUNCTION splitKeywords")
+    text.register_split_keywords(spark, text.longest_match(["red pen"]))
+    assert ask() == ["red,pen", "", None]
+
+
+def test_observed_metrics_come_with_the_write(spark):
+    from rillhouse.streaming.run import observed
+    df, watch = observed(spark.range(10), F.count("*").alias("n"), F.max("id").alias("top"))
+    df.write.format("noop").mode("overwrite").save()
+    assert watch.get == {"n": 10, "top": 9}
+
+
 def test_window_date_from_end_and_bad_choice(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 23, 59, 55), 2)], "ts timestamp, n int")
     agg = [F.sum("n").alias("n")]

@@ -44,7 +44,15 @@ def test_keyed_table_removal_and_compaction(spark, tmp_path):
     assert paths.children(spark, f"{tmp_path}/t") == ["part=c000000000001"]
     assert content(store.read(spark)) == [("b", 1)]
     store.put(frame(spark, [("a", "d", 7)]), 2)
-    assert content(store.read(spark)) == [("a", 7), ("b", 1)]
+    store.put(frame(spark, [("a", "d", 8)]), 3)
+    store.compact(spark)                      # folds the new batches only
+    assert paths.children(spark, f"{tmp_path}/t") == ["part=c000000000001", "part=c000000000003"]
+    assert content(store.read(spark)) == [("a", 8), ("b", 1)]
+    store.compact(spark, full=True)
+    assert paths.children(spark, f"{tmp_path}/t") == ["part=f000000000003"]
+    assert content(store.read(spark)) == [("a", 8), ("b", 1)]
+    asked = spark.createDataFrame([("b",), ("b",), ("zz",)], "who string")
+    assert content(store.read_for(asked, "who")) == [("b", 1)]
 
 
 def test_compaction_stopped_half_way_leaves_a_correct_table(spark, tmp_path, monkeypatch):
@@ -66,6 +74,15 @@ def test_compaction_stopped_half_way_leaves_a_correct_table(spark, tmp_path, mon
     assert dict(content(store.read(spark)))["a"] == 9
 
 
+def test_keyed_table_with_a_column_added_later(spark, tmp_path):
+    first = tables.KeyedTable(f"{tmp_path}/t", ["k"], partition=None)
+    first.put(spark.createDataFrame([("a", "1")], "k string, x string"), 0)
+    wider = tables.KeyedTable(f"{tmp_path}/t", ["k"], None,
+                              T.StructType.fromDDL("k string, x string, y string"))
+    wider.put(spark.createDataFrame([("b", "2", "3")], "k string, x string, y string"), 1)
+    assert sorted(map(tuple, wider.read(spark).collect())) == [("a", "1", None), ("b", "2", "3")]
+
+
 def test_a_batch_that_did_not_commit_is_not_read(spark, tmp_path):
     store = tables.KeyedTable(f"{tmp_path}/t", ["k"], partition=None)
     store.put(frame(spark, [("a", "d", 1)]), 0)

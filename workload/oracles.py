@@ -372,6 +372,17 @@ ORACLES: dict[str, str] = {
         "SELECT event_id, is_new FROM kept",
         "CAST(ts AS DATE) - CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END"),
     "device_late_drop": _device("SELECT user_id, count(*) AS kept FROM kept GROUP BY user_id"),
+    "keyword_count_sql": f"""SELECT keyword, count(*) AS "count" FROM (
+        SELECT {_WORDS('text')} AS keyword FROM documents) GROUP BY 1""",
+    "partition_overwrite": """
+    SELECT strftime(o_orderdate, '%Y') AS "year", CASE WHEN year(o_orderdate) = 1997 THEN 'again'
+           ELSE o_orderstatus END AS o_orderstatus, count(*) AS n FROM orders GROUP BY ALL""",
+    "compacted_files": "SELECT p_partkey, p_type, p_size FROM part",
+    "keyed_lookup_for_batch": """
+    SELECT CAST(user_id AS VARCHAR) AS user_id, coalesce(CASE WHEN c_custkey % 2 = 0 THEN upper(c_name)
+           ELSE c_name END, '') AS name, count(*) AS n
+    FROM events LEFT JOIN customer ON c_custkey = user_id AND c_custkey % 3 <> 0
+    WHERE event_type = 'purchase' GROUP BY ALL""",
     "point_lookup": "SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_custkey = 42",
     "range_scan": """
     SELECT c_custkey, c_name FROM customer
@@ -423,3 +434,4 @@ _ENDS = ("(SELECT min(m) FROM (SELECT max(ts) AS m FROM events WHERE event_type
 ORACLES["stream_order_wide_interval"] = _wide(
     f"(c.event_id IS NOT NULL OR a.ts < {_ENDS} - INTERVAL 2 HOUR) "
     f"AND (d.event_id IS NOT NULL OR a.ts < {_ENDS} - INTERVAL 3 HOUR)")
+ORACLES["stream_log_pages"] = ORACLES["log_pages"]

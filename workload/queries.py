@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from rillhouse import names as N
 from rillhouse.functions import dates
 from rillhouse.functions.messages import cdc_data_schema
-from rillhouse.functions.text import explode_words
+from rillhouse.functions.text import explode_words, register_split_keywords
 from rillhouse.operators import cdc, merge, visits
 from rillhouse.operators.joins import interval_join
 from rillhouse.operators.windows import windowed_agg
@@ -97,6 +97,18 @@ def keyword_count(spark, sf):
     return words.groupBy("keyword").agg(F.count("*").alias("count"))
 
 
+@query
+def keyword_count_sql(spark, sf):
+    """The same as SQL text: registered function, views and LATERAL VIEW EXPLODE."""
+    register_split_keywords(spark)
+    readers.spread(I.table(spark, sf, "documents")).createOrReplaceTempView("keyword_source")
+    return spark.sql("""
+        SELECT keyword, count(*) AS count
+        FROM (SELECT splitKeywords(text) AS words FROM keyword_source)
+        LATERAL VIEW EXPLODE(split(words, ',')) w AS keyword
+        WHERE keyword <> '' GROUP BY keyword""")
+
+
 @query
 def sku_order_snowflake(spark, sf):
     orders = metrics.sku_orders(I.order_lines(spark, sf), "1 day")
@@ -491,6 +503,43 @@ def append_evolved_schema(spark, sf):
                        F.col("year").cast("string").alias("year"))
 
 
+@query
+def partition_overwrite(spark, sf):
+    """Overwriting with one year of rows replaces that year and leaves the others."""
+    path = paths.scratch(spark, "overwrite")
+    dated = I.table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderstatus", F.date_format("o_orderdate", "yyyy").alias("year"))
+    tables.append_batch(dated, path, "year")
+    tables.append_batch(dated.where("year = '1997'").withColumn("o_orderstatus", F.lit("again")), path,
+                        "year", mode="overwrite")
+    return spark.read.parquet(path).groupBy("year", "o_orderstatus").agg(F.count("*").alias("n")) \
+        .withColumn("year", F.col("year").cast("string"))
+
+
+@query
+def compacted_files(spark, sf):
+    """A table written in small files, one segment of it compacted; the rows are the same."""
+    path = paths.scratch(spark, "compact")
+    part = I.table(spark, sf, "part").select("p_partkey", "p_type", "p_size")
+    part.repartition(8).write.partitionBy("p_type").parquet(path)
+    tables.compact_files(spark, path, partition_by="p_type", where=F.col("p_type") == "ECONOMY")
+    return spark.read.parquet(path)
+
+
+@query
+def keyed_lookup_for_batch(spark, sf):
+    """Names of the users of one event kind, read from a row-keyed table by key."""
+    store = tables.KeyedTable(paths.scratch(spark, "users"), ["id"], partition=None)
+    users = I.known_users(spark, sf)
+    store.put(users, 0)
+    store.put(users.where("id % 2 = 0").withColumn("name", F.upper("name")), 1)
+    asked = I.events(spark, sf).where("event_type = 'purchase'").select(
+        F.col("user_id").cast("string").alias("user_id"))
+    found = store.read_for(asked, "user_id")
+    return asked.join(found, asked["user_id"] == found["id"], "left").groupBy("user_id", "name") \
+        .agg(F.count("*").alias("n")).withColumn("name", F.coalesce("name", F.lit("")))
+
+
 @query
 def date_functions(spark, sf):
     ev = I.events(spark, sf)
@@ -584,6 +633,18 @@ def stream_device_is_new(spark, sf):
     return drain_to_scratch(kept.select("event_id", "user_id", "is_new"), "device")
 
 
+@query
+def stream_log_pages(spark, sf):
+    """The log stream: device state, then the page table out of the accepted lines."""
+    ev = event_stream(spark, sf).withColumn("arrival", F.expr(I.ARRIVAL))
+    valid, _ = facts.split_log(I.log_messages(ev, "arrival"), "arrival")
+    accepted = accept_and_flag_stream(valid, "mid", "ts", "arrival")
+    pages = facts.log_pages(facts.open_log(accepted)).select(
+        "ar", "ch", "is_new", "mid", "uid", "vc", "page_id", "last_page_id", "during_time",
+        F.date_format("ts", dates.SECOND).alias("ts"), "date")
+    return drain_to_scratch(pages, "log-pages")
+
+
 @query
 def stream_log_invalid(spark, sf):
     _, invalid = facts.split_log(I.log_messages(event_stream(spark, sf)))
