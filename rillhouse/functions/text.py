@@ -65,8 +65,9 @@ def register_split_keywords(spark: SparkSession, segmenter: Segmenter | None = N
 
     Without a segmenter it is a SQL expression that Spark inlines.
     """
+    spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {name}")
     if segmenter is None:
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(sentence STRING) RETURNS STRING "
+        spark.sql(f"CREATE TEMPORARY FUNCTION {name}(sentence STRING) RETURNS STRING "
                   f"RETURN array_join(regexp_extract_all(lower(sentence), r'{WORD}', 0), ',')")
         return
 

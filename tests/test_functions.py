@@ -39,7 +39,6 @@ def test_split_keywords_in_sql(spark):
         "SELECT splitKeywords(t) AS x FROM VALUES ('Red Pen!'), ('...'), (NULL) AS v(t)").collect()]
     text.register_split_keywords(spark)
     assert ask() == ["red,pen", "", None]
-    spark.sql("DROP TEMPORARY FUNCTION splitKeywords")
     text.register_split_keywords(spark, text.longest_match(["red pen"]))
     assert ask() == ["red,pen", "", None]
 
