@@ -20,7 +20,7 @@ from ..functions.text import tokenize
 from ..functions.types import DimensionMeta
 from ..sources import tables
 from ..sources.readers import MESSAGE, RefreshingSnapshot, table_stream
-from ..streaming.state import accept_and_flag_stream
+from ..streaming.state import accept_and_flag_stream, device_store, flag_batch
 from . import dimension, facts, metrics
 
 
@@ -109,9 +109,8 @@ class Warehouse:
             # Windows close in few micro-batches; most are empty.
             with tables.cached(batch) as closed:
                 if not closed.isEmpty():
+                    store.compact_every(self.spark, n, self.compact_every)
                     store.put(finish(closed), n)
-            if n % self.compact_every == self.compact_every - 1:
-                store.compact(self.spark)
 
         return self._each(df, N.DWS, table, write)
 
@@ -144,18 +143,30 @@ class Warehouse:
                   corrected: bool = True) -> list[StreamingQuery]:
         """Quarantine, and the five log tables from one pass over the accepted lines."""
         messages = self.topic_log()
-        order = [dimension.ORDER] if dimension.ORDER in messages.columns else []
-        valid, invalid = facts.split_log(messages, *order)
-        accepted = accept_and_flag_stream(valid, "mid", "ts", next(iter(order), None), "is_new",
-                                          late_seconds, trust_reported_old)
+        numbered = dimension.ORDER in messages.columns
+        valid, invalid = facts.split_log(messages, *([dimension.ORDER] if numbered else []))
 
         def sink(table: str) -> tables.Sink:
             return lambda df, n: tables.append_batch(df, self.path(N.DWD, table), batch_id=n)
 
         routes = {t: (select, sink(t)) for t, select in facts.LOG_TABLES.items()}
-        return [self._append(invalid, N.LOG_INVALID),
-                self._each(accepted, N.DWD, N.TOPIC_LOG, lambda batch, n: tables.route(
-                    facts.open_log(batch, corrected), n, routes))]
+
+        def write(accepted: DataFrame, n: int) -> None:
+            tables.route(facts.open_log(accepted, corrected), n, routes)
+
+        def flag_and_write(batch: DataFrame, n: int) -> None:
+            with tables.cached(batch) as rows:
+                write(flag_batch(rows, n, devices, "ts", dimension.ORDER, "is_new", late_seconds,
+                                 trust_reported_old), n)
+
+        if numbered:
+            devices = device_store(self.path(N.DWD, "device_records"), "mid", T.StringType())
+            lines, step = valid, flag_and_write
+        else:
+            lines = accept_and_flag_stream(valid, "mid", "ts", "is_new", late_seconds,
+                                           trust_reported_old)
+            step = write
+        return [self._append(invalid, N.LOG_INVALID), self._each(lines, N.DWD, N.TOPIC_LOG, step)]
 
     def order_details(self) -> StreamingQuery:
         return self._append(facts.order_details(self.topic_db(), self.database), N.DWD_ORDER_DETAIL)

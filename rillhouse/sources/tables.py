@@ -153,18 +153,20 @@ class KeyedTable:
     def _load(self, spark: SparkSession, labels: Sequence[str]) -> DataFrame:
         done = [f"{self.path}/part={n}" for n in labels
                 if paths.is_complete(spark, f"{self.path}/part={n}")]
+        full = None if self.schema is None else T.StructType([
+            *self.schema.fields, T.StructField(_BATCH, T.LongType()),
+            T.StructField(_GONE, T.BooleanType())])
         if not done:
-            raise FileNotFoundError(f"{self.path} holds no batch yet")
+            if full is None:
+                raise FileNotFoundError(f"{self.path} holds no batch yet")
+            return spark.createDataFrame([], full)
         reader = spark.read.option("basePath", self.path)
-        if self.schema is not None:
-            reader = reader.schema(T.StructType([
-                *self.schema.fields, T.StructField(_BATCH, T.LongType()),
-                T.StructField(_GONE, T.BooleanType())]))
-        return reader.parquet(*done).drop("part")
+        return (reader if full is None else reader.schema(full)).parquet(*done).drop("part")
 
-    def stored(self, spark: SparkSession) -> DataFrame:
-        """All stored rows with their batch number, replaced ones included."""
-        return self._load(spark, [label for label, _ in self._parts(spark)])
+    def stored(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """All stored rows (of batches ``before`` one) with their batch, replaced ones included."""
+        return self._load(spark, [label for label, at in self._parts(spark)
+                                  if before is None or at < before])
 
     def _current(self, rows: DataFrame) -> DataFrame:
         newest = latest_per_key(rows, self.keys, [_BATCH])
@@ -175,23 +177,29 @@ class KeyedTable:
         rows = self.stored(spark)
         return self._current(rows if where is None else rows.where(where))
 
-    def read_for(self, wanted: DataFrame, on: str) -> DataFrame:
-        """Current rows of the keys in column ``on`` of ``wanted``.
+    def read_for(self, wanted: DataFrame, on: str, before: int | None = None) -> DataFrame:
+        """Current rows (as of ``before`` a batch) of the keys in column ``on`` of ``wanted``.
 
         The other rows are dropped before the newest is sought, so what is shuffled
         grows with the asked-for keys, not with the table.
         """
         (key,) = self.keys
         asked = wanted.select(F.col(on).alias(key)).distinct()
-        return self._current(self.stored(wanted.sparkSession).join(asked, key, "left_semi"))
+        return self._current(self.stored(wanted.sparkSession, before).join(asked, key, "left_semi"))
 
-    def compact(self, spark: SparkSession, full: bool = False) -> None:
+    def compact_every(self, spark: SparkSession, batch_id: int, batches: int = 100) -> None:
+        """Fold the batches before this one now and then; call it as a batch begins."""
+        if batch_id and batch_id % batches == 0:
+            self.compact(spark, before=batch_id)
+
+    def compact(self, spark: SparkSession, full: bool = False, before: int | None = None) -> None:
         """Fold the single batches into one folder (``full``: everything stored so far).
 
         Rows keep their batch number, so while old and new folders stand side by side
         a read gives the same rows; a stop at any point leaves a correct table.
         """
-        parts = [(label, at) for label, at in self._parts(spark) if full or label[0] == "b"]
+        parts = [(label, at) for label, at in self._parts(spark)
+                 if (full or label[0] == "b") and (before is None or at < before)]
         if len(parts) < 2:
             return
         newest = max(at for _, at in parts)

@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.visits import DAY, PREVIOUS
+from ..operators.visits import (DAY, FIRST_DATE, NEWEST, PREVIOUS, accept_and_flag,
+                                device_records)
+from ..sources.tables import KeyedTable
 
 # The processors travel to the executors by value: no package need be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -124,11 +126,11 @@ def first_of_day_stream(df: DataFrame, keys: list[str], ts: str, keep: list[str]
 
 
 class DeviceRecord(StatefulProcessor):
-    """Late-row drop and new-visitor flag per device, in arrival order."""
+    """Late-row drop and new-visitor flag per device, in the order rows are delivered."""
 
-    def __init__(self, columns: list[str], ts: str, flag: str, arrival: str | None,
-                 late_seconds: int, trust_reported_old: bool):
-        self._columns, self._ts, self._flag, self._arrival = columns, ts, flag, arrival
+    def __init__(self, columns: list[str], ts: str, flag: str, late_seconds: int,
+                 trust_reported_old: bool):
+        self._columns, self._ts, self._flag = columns, ts, flag
         self._late, self._trust = late_seconds, trust_reported_old
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -136,8 +138,6 @@ class DeviceRecord(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
                         ) -> Iterator[pd.DataFrame]:
-        if self._arrival is not None:
-            rows = iter([pd.concat(list(rows)).sort_values(self._arrival)])
         first_day, newest = self._state.get() or (None, None)
         for frame in rows:
             times = frame[self._ts].to_numpy(dtype="datetime64[s]").astype("int64")
@@ -160,20 +160,43 @@ class DeviceRecord(StatefulProcessor):
         pass
 
 
-def accept_and_flag_stream(df: DataFrame, device: str, ts: str, arrival: str | None = None,
-                           flag: str = "is_new", late_seconds: int = 5,
-                           trust_reported_old: bool = False) -> DataFrame:
-    """Streaming form of ``accept_and_flag``.
+def accept_and_flag_stream(df: DataFrame, device: str, ts: str, flag: str = "is_new",
+                           late_seconds: int = 5, trust_reported_old: bool = False) -> DataFrame:
+    """Streaming form of ``accept_and_flag`` for rows without an arrival number.
 
-    Without ``arrival`` the rows of a device count in the order they are delivered
-    and pass through in Arrow batches; with it, a device's rows of one micro-batch
-    are put in order first, so bound the micro-batch at the source. Keep the frame
-    narrow (carry nested payload as its message text).
+    The rows of a device count in the order they are delivered and pass through in
+    Arrow batches, so a busy device takes time but no memory. Keep the frame narrow
+    (carry nested payload as its message text). Where the source numbers its
+    messages, use ``flag_batch``, which also splits a busy device over tasks.
     """
     schema = T.StructType([T.StructField("_device", df.schema[device].dataType),
                            *[T.StructField(f.name, f.dataType) for f in df.schema.fields]])
     keyed = df.withColumn("_device", F.col(device))
-    processor = DeviceRecord(df.columns, ts, flag, arrival, late_seconds,
-                             trust_reported_old)
+    processor = DeviceRecord(df.columns, ts, flag, late_seconds, trust_reported_old)
     return keyed.groupBy("_device").transformWithStateInPandas(
         processor, schema, outputMode="append", timeMode="none").drop("_device")
+
+
+def flag_batch(batch: DataFrame, batch_id: int, store: KeyedTable, ts: str, arrival: str,
+               flag: str = "is_new", late_seconds: int = 5, trust_reported_old: bool = False
+               ) -> DataFrame:
+    """``accept_and_flag`` on one micro-batch, with the device records kept in a table.
+
+    Call it inside ``foreachBatch`` on a cached batch. Records are read for the
+    devices of the batch only, as they were before it, so a replay gives the same
+    rows; the batch's own records are written before the rows are returned.
+    """
+    (device,) = store.keys
+    store.compact_every(batch.sparkSession, batch_id)
+    carried = store.read_for(batch, device, before=batch_id)
+    accepted = accept_and_flag(batch, device, ts, arrival, flag, late_seconds, trust_reported_old,
+                               carried=carried)
+    store.put(device_records(batch, device, ts, arrival, flag, trust_reported_old, carried), batch_id)
+    return accepted
+
+
+def device_store(path: str, device: str, kind: T.DataType) -> KeyedTable:
+    """The table ``flag_batch`` keeps its records in."""
+    return KeyedTable(path, [device], partition=None, schema=T.StructType([
+        T.StructField(device, kind), T.StructField(FIRST_DATE, T.DateType()),
+        T.StructField(NEWEST, T.LongType())]))

@@ -6,12 +6,13 @@ import uuid
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rillhouse.operators.visits import first_of_day
 from rillhouse.operators.windows import windowed_agg
 from rillhouse.plans import metrics
 from rillhouse.streaming.run import drain
-from rillhouse.streaming.state import accept_and_flag_stream
+from rillhouse.streaming.state import accept_and_flag_stream, device_store, flag_batch
 
 from test_visits import T0, by_one, device_by_one, visits
 
@@ -65,8 +66,29 @@ def test_device_rule_in_any_micro_batches(spark, tmp_path, files, trust):
         late = dt.timedelta(seconds=rng.choice([0, 0, 4, 5, 6, 30]))
         rows.append((rng.choice(["a", "b"]), arrival, clock - late, rng.choice(["0", "1"])))
     stream = stream_of(spark, tmp_path, rows, "mid string, arrival long, ts timestamp, is_new string", files)
-    got = run(accept_and_flag_stream(stream, "mid", "ts", "arrival", trust_reported_old=trust), tmp_path)
-    assert sorted((r.mid, r.arrival, r.is_new) for r in got.collect()) == device_by_one(rows, trust=trust)
+    got = run(accept_and_flag_stream(stream, "mid", "ts", trust_reported_old=trust), tmp_path)
+    want = device_by_one(rows, trust=trust)
+    assert sorted((r.mid, r.arrival, r.is_new) for r in got.collect()) == want
+
+
+@pytest.mark.parametrize("trust", [False, True])
+def test_device_rule_with_records_in_a_table(spark, tmp_path, trust):
+    rng, clock, rows = random.Random(6), T0 + dt.timedelta(hours=23, minutes=55), []
+    for arrival in range(300):
+        clock += dt.timedelta(seconds=rng.randrange(4))
+        late = dt.timedelta(seconds=rng.choice([0, 0, 4, 5, 6, 30]))
+        rows.append((rng.choice(["a", "b"]), arrival, clock - late, rng.choice(["0", "1"])))
+    store, got = device_store(f"{tmp_path}/devices", "mid", T.StringType()), []
+    for n, at in enumerate(range(0, 300, 60)):
+        part = rows[at:at + 60]
+        rng.shuffle(part)        # the arrival number, not the place, is the order
+        batch = spark.createDataFrame(part, "mid string, arrival long, ts timestamp, is_new string")
+        for _ in range(2):       # every batch is replayed once
+            accepted = flag_batch(batch, n, store, "ts", "arrival", trust_reported_old=trust).collect()
+        got += [(r.mid, r.arrival, r.is_new) for r in accepted]
+        if n == 3:
+            store.compact(spark, before=n)
+    assert sorted(got) == device_by_one(rows, trust=trust)
 
 
 def pages(rows):

@@ -435,3 +435,7 @@ ORACLES["stream_order_wide_interval"] = _wide(
     f"(c.event_id IS NOT NULL OR a.ts < {_ENDS} - INTERVAL 2 HOUR) "
     f"AND (d.event_id IS NOT NULL OR a.ts < {_ENDS} - INTERVAL 3 HOUR)")
 ORACLES["stream_log_pages"] = ORACLES["log_pages"]
+# Delivered in time order, no row is late.
+ORACLES["stream_device_delivered"] = """
+    SELECT event_id, user_id, CASE WHEN CAST(ts AS DATE) = min(CAST(ts AS DATE)) OVER
+           (PARTITION BY user_id) THEN '1' ELSE '0' END AS is_new FROM events"""

@@ -17,8 +17,9 @@ from rillhouse.operators.joins import interval_join
 from rillhouse.operators.windows import windowed_agg
 from rillhouse.plans import dimension, facts, metrics
 from rillhouse.sources import paths, readers, tables
-from rillhouse.streaming.run import drain_to_scratch
-from rillhouse.streaming.state import accept_and_flag_stream
+from rillhouse.session import configure
+from rillhouse.streaming.run import drain_to_scratch, state_partitions
+from rillhouse.streaming.state import accept_and_flag_stream, device_store, flag_batch
 
 from . import inputs as I
 
@@ -629,7 +630,31 @@ def stream_device_is_new(spark, sf):
     rows = event_stream(spark, sf).select(
         "event_id", "user_id", "ts", F.expr(I.ARRIVAL).alias("arrival"),
         F.expr("CAST(event_id % 2 AS STRING)").alias("is_new"))
-    kept = accept_and_flag_stream(rows, "user_id", "ts", "arrival")
+    return _flagged_stream(rows, "user_id").select("event_id", "user_id", "is_new")
+
+
+def _flagged_stream(rows: DataFrame, device: str) -> DataFrame:
+    """Numbered rows streamed through the device rule into a table, read back."""
+    spark = configure(rows.sparkSession)
+    folder = paths.scratch(spark, "flagged")
+    store = device_store(f"{folder}/devices", device, rows.schema[device].dataType)
+
+    def write(batch: DataFrame, n: int) -> None:
+        with tables.cached(batch) as held:
+            accepted = flag_batch(held, n, store, "ts", "arrival")
+            tables.append_batch(accepted.withColumn("day", F.to_date("ts")), f"{folder}/rows", "day",
+                                batch_id=n)
+
+    with state_partitions(spark):
+        tables.each_batch(rows, write, f"{folder}/checkpoint", available_now=True).awaitTermination()
+    return spark.read.parquet(f"{folder}/rows")
+
+
+@query
+def stream_device_delivered(spark, sf):
+    """The same rule as a state processor: rows in the order they are delivered."""
+    rows = event_stream(spark, sf).select("event_id", "user_id", "ts", F.lit("1").alias("is_new"))
+    kept = accept_and_flag_stream(rows, "user_id", "ts")
     return drain_to_scratch(kept.select("event_id", "user_id", "is_new"), "device")
 
 
@@ -638,11 +663,10 @@ def stream_log_pages(spark, sf):
     """The log stream: device state, then the page table out of the accepted lines."""
     ev = event_stream(spark, sf).withColumn("arrival", F.expr(I.ARRIVAL))
     valid, _ = facts.split_log(I.log_messages(ev, "arrival"), "arrival")
-    accepted = accept_and_flag_stream(valid, "mid", "ts", "arrival")
-    pages = facts.log_pages(facts.open_log(accepted)).select(
+    accepted = _flagged_stream(valid, "mid")
+    return facts.log_pages(facts.open_log(accepted)).select(
         "ar", "ch", "is_new", "mid", "uid", "vc", "page_id", "last_page_id", "during_time",
         F.date_format("ts", dates.SECOND).alias("ts"), "date")
-    return drain_to_scratch(pages, "log-pages")
 
 
 @query
@@ -664,8 +688,6 @@ def stream_sku_orders(spark, sf):
 @query
 def stream_keyed_metric_table(spark, sf):
     """Registrations streamed into a keyed replace table."""
-    from rillhouse.session import configure
-    from rillhouse.streaming.run import state_partitions
     folder = paths.scratch(configure(spark), "metric-stream")
     store = tables.KeyedTable(f"{folder}/table", N.METRIC_KEYS["dws_user_register"])
     metric = metrics.registrations(_signups(event_stream(spark, sf)), "2 hours", "1 hour")
