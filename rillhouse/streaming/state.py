@@ -14,7 +14,7 @@ from typing import Any
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -27,8 +27,6 @@ from ..sources.tables import KeyedTable
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _DAY_MS = 86_400_000
-# Frames longer than this are reduced with pandas before the row loop.
-_SMALL_FRAME = 64
 
 
 class DayVisits(StatefulProcessor):
@@ -43,36 +41,27 @@ class DayVisits(StatefulProcessor):
         self._handle = handle
         self._last = handle.getValueState("last_day", "day int")
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
-                        ) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         first: dict[int, tuple] = {}
-        for frame in rows:
-            frame = frame[self._columns]
-            if len(frame) > _SMALL_FRAME:
-                frame = (frame.sort_values(self._columns[:-1])
-                         .drop_duplicates(self._columns[-1]))
-            for row in frame.itertuples(index=False, name=None):
-                seen = first.get(row[-1])
-                if seen is None or _order(row) < _order(seen):
-                    first[row[-1]] = row
+        for row in rows:
+            row = tuple(row)[self._n_keys:]
+            seen = first.get(row[-1])
+            if seen is None or _order(row) < _order(seen):
+                first[row[-1]] = row
+        made = Row(*[f"_k{i}" for i in range(self._n_keys)], *self._columns, PREVIOUS)
         held = self._last.get()
-        last, out = (None if held is None else held[0]), []
+        before = last = None if held is None else held[0]
         for day in sorted(first):
             if day != last:
-                out.append((*key, *first[day], last))
+                yield made(*key, *first[day], last)
                 last = day
-        if not out:
-            return
-        self._last.update((int(last),))
-        if self._ttl_ms is not None:
-            self._handle.registerTimer((int(last) + 1) * _DAY_MS + self._ttl_ms)
-        names = [f"_k{i}" for i in range(self._n_keys)] + self._columns + [PREVIOUS]
-        made = pd.DataFrame(out, columns=names)
-        made[PREVIOUS] = made[PREVIOUS].astype("Int32")
-        yield made
+        if last != before:
+            self._last.update((last,))
+            if self._ttl_ms is not None:
+                self._handle.registerTimer((last + 1) * _DAY_MS + self._ttl_ms)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any
-                           ) -> Iterator[pd.DataFrame]:
+                           ) -> Iterator[Row]:
         held = self._last.get()
         if held is not None:
             due = (held[0] + 1) * _DAY_MS + (self._ttl_ms or 0)
@@ -87,8 +76,7 @@ class DayVisits(StatefulProcessor):
 def _order(row: tuple) -> tuple:
     """Row order by time, then kept values with nulls first (as Spark orders structs)."""
     time, *kept = row[:-1]
-    return (time, *[(v is not None and v == v, v if v is not None and v == v else "")
-                    for v in kept])
+    return (time, *[(value is not None, value if value is not None else "") for value in kept])
 
 
 def _visits(df: DataFrame, groups: list[str], ts: str, keep: list[str],
@@ -100,7 +88,7 @@ def _visits(df: DataFrame, groups: list[str], ts: str, keep: list[str],
     fields += [T.StructField(c, df.schema[c].dataType) for c in [ts, *keep]]
     fields += [T.StructField(DAY, T.IntegerType()), T.StructField(PREVIOUS, T.IntegerType())]
     renamed = df.select(*[F.col(g).alias(i) for g, i in zip(groups, inner, strict=True)], *columns)
-    made = renamed.groupBy(*inner).transformWithStateInPandas(
+    made = renamed.groupBy(*inner).transformWithState(
         DayVisits(len(groups), columns, ttl_hours), T.StructType(fields),
         outputMode="append", timeMode="eventTime", eventTimeColumnName=ts)
     return made.select(*[F.col(i).alias(g) for i, g in zip(inner, groups, strict=True)],
