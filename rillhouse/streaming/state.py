@@ -13,6 +13,8 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -27,6 +29,7 @@ from ..sources.tables import KeyedTable
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _DAY_MS = 86_400_000
+_BEAT = "_newest_row"
 
 
 class DayVisits(StatefulProcessor):
@@ -95,16 +98,47 @@ def _visits(df: DataFrame, groups: list[str], ts: str, keep: list[str],
                        *columns, PREVIOUS)
 
 
+def _first_in_each_batch(df: DataFrame, keys: list[str], ts: str, keep: list[str], delay: str
+                         ) -> DataFrame:
+    """Map-side combine: per Arrow batch only the first row of each key and day goes on.
+
+    A later row of the same key and day can never be the first, so nothing is lost,
+    and a key that fills the stream sends one row per batch and day to the shuffle.
+    The newest row of each batch travels along up to the watermark, which therefore
+    advances as it would on the raw rows.
+    """
+    groups, order = [*keys, DAY], [(c, "ascending") for c in (ts, *keep)]
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = rows.take(pc.sort_indices(rows, sort_keys=order, null_placement="at_start"))
+            at = pa.array(np.arange(rows.num_rows))
+            firsts = (rows.select(groups).append_column("_at", at).group_by(groups)
+                      .aggregate([("_at", "min")])["_at_min"])
+            out = pa.concat_tables([
+                rows.take(firsts).append_column(_BEAT, pa.array(np.zeros(len(firsts), bool))),
+                rows.slice(rows.num_rows - 1).append_column(_BEAT, pa.array([True]))])
+            yield from out.combine_chunks().to_batches()
+
+    schema = T.StructType([*df.schema.fields, T.StructField(_BEAT, T.BooleanType())])
+    combined = df.mapInArrow(combine, schema).withWatermark(ts, delay)
+    # The condition names the time column; otherwise Spark moves it below the watermark.
+    return combined.where(F.when(~F.col(_BEAT), F.col(ts)).isNotNull()).drop(_BEAT)
+
+
 def first_of_day_stream(df: DataFrame, keys: list[str], ts: str, keep: list[str], delay: str,
                         ttl_hours: int | None, salts: int) -> DataFrame:
     """Streaming form of ``first_of_day``; the result carries the watermark on ``ts``.
 
     With ``salts`` > 1 a first stage keyed by (key, salt) lets through one row per
-    salt and day, so the second stage sees at most ``salts`` rows per key and day
-    even when one key owns a large part of the stream.
+    salt and day, for keys too busy for one task even after the combine.
     """
-    rows = (df.withWatermark(ts, delay)
+    rows = (df.where(F.col(ts).isNotNull())
             .select(*keys, ts, *keep, F.unix_date(F.to_date(ts)).alias(DAY)))
+    rows = _first_in_each_batch(rows, keys, ts, keep, delay)
     if salts > 1:
         salted = rows.withColumn("_salt", F.pmod(F.xxhash64(ts, *keep), F.lit(salts)))
         rows = _visits(salted, [*keys, "_salt"], ts, keep, ttl_hours or 24).drop("_salt", PREVIOUS)

@@ -123,6 +123,17 @@ def test_rows_behind_the_watermark_are_dropped(spark, tmp_path):
     assert counts["01:40"] == 1
 
 
+def test_combine_before_the_shuffle(spark):
+    from rillhouse.streaming.state import _first_in_each_batch
+    rows = visits(12, n=5000, keys=("hot",) * 9 + ("a",), days=3)
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("visit_date", F.unix_date(F.to_date("ts")))
+    fewer = _first_in_each_batch(df, ["k"], "ts", ["kind"], "3 seconds")
+    assert fewer.columns == ["k", "ts", "kind", "visit_date"]
+    assert fewer.count() <= 4 * 2 * 3          # tasks × keys × days
+    again = first_of_day(fewer.drop("visit_date"), "k", "ts", ["kind"])
+    assert sorted(map(tuple, again.collect()), key=str) == by_one(rows)
+
+
 def test_restart_continues_from_the_checkpoint(spark, tmp_path):
     rows = sorted(visits(8, n=300), key=lambda r: (r[1], r[2] is not None, r[2] or ""))
     path, out = f"{tmp_path}/in", f"{tmp_path}/out"
