@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -83,19 +84,24 @@ def bound_changes(changes: DataFrame, meta: DimensionMeta) -> DataFrame:
     return cdc.bind(rows, meta.schema, "_type_", ORDER).where(F.col(meta.row_key).isNotNull())
 
 
+def _each_changed(changes: DataFrame, config: DataFrame, keyed_store: bool,
+                  apply: Callable[[DimensionMeta, DataFrame], None], parallel: int) -> list[str]:
+    """Apply the changes of every touched table; the tables are independent jobs."""
+    present = changed_tables(changes)
+    metas = [m for m in configured(config, keyed_store) if m.source_table in present]
+    with ThreadPool(parallel) as pool:
+        pool.map(lambda meta: apply(meta, bound_changes(changes, meta)), metas, chunksize=1)
+    return [meta.sink_table for meta in metas]
+
+
 def sync_dimensions(messages: DataFrame, batch_id: int, config: DataFrame,
-                    table: Callable[[DimensionMeta], MergedTable]) -> list[str]:
+                    table: Callable[[DimensionMeta], MergedTable], parallel: int = 4) -> list[str]:
     """Merge one micro-batch into the merged dimension tables; returns the tables touched."""
-    wanted = config.where(F.col("to_hbase") == 0)
-    touched = []
-    with cached(dimension_changes(messages, wanted)) as changes:
-        present = changed_tables(changes)
-        for meta in configured(config, keyed_store=False):
-            if meta.source_table in present:
-                rows = bound_changes(changes, meta)
-                table(meta).merge(rows, batch_id, meta.row_key, [ORDER], "_type_", STRICT)
-                touched.append(meta.sink_table)
-    return touched
+    def merge(meta: DimensionMeta, rows: DataFrame) -> None:
+        table(meta).merge(rows, batch_id, meta.row_key, [ORDER], "_type_", STRICT)
+
+    with cached(dimension_changes(messages, config.where(F.col("to_hbase") == 0))) as changes:
+        return _each_changed(changes, config, False, merge, parallel)
 
 
 def keyed_changes(rows: DataFrame, key: str, order_by: list[str], op: str = "_type_") -> DataFrame:
@@ -106,20 +112,15 @@ def keyed_changes(rows: DataFrame, key: str, order_by: list[str], op: str = "_ty
 
 
 def sync_keyed_dimensions(messages: DataFrame, batch_id: int, config: DataFrame,
-                          table: Callable[[DimensionMeta], KeyedTable]) -> list[str]:
+                          table: Callable[[DimensionMeta], KeyedTable], parallel: int = 4
+                          ) -> list[str]:
     """Write one micro-batch into the row-keyed dimension tables.
 
     The last change of a key is its whole new row (or its removal), so nothing of the
     table is read; that suits dimensions too large to rewrite per batch.
     """
-    wanted = config.where(F.col("to_hbase") != 0)
-    touched = []
-    with cached(dimension_changes(messages, wanted)) as changes:
-        present = changed_tables(changes)
-        for meta in configured(config, keyed_store=True):
-            if meta.source_table in present:
-                rows = bound_changes(changes, meta)
-                table(meta).put(keyed_changes(rows, meta.row_key, [ORDER]), batch_id,
-                                gone="_removed")
-                touched.append(meta.sink_table)
-    return touched
+    def put(meta: DimensionMeta, rows: DataFrame) -> None:
+        table(meta).put(keyed_changes(rows, meta.row_key, [ORDER]), batch_id, gone="_removed")
+
+    with cached(dimension_changes(messages, config.where(F.col("to_hbase") != 0))) as changes:
+        return _each_changed(changes, config, True, put, parallel)

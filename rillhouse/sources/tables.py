@@ -33,6 +33,16 @@ def cached(df: DataFrame) -> Iterator[DataFrame]:
         df.unpersist()
 
 
+def by_partition(df: DataFrame, column: str) -> DataFrame:
+    """Bring rows of one table partition together before a partitioned write.
+
+    Without it every task writes a file for every date it holds. The rebalance is
+    adaptive: small partitions share a task and a large one is split by size, so a
+    date with most of the rows is still written by many tasks.
+    """
+    return df.hint("rebalance", F.col(column))
+
+
 # --- appends -----------------------------------------------------------------------------
 
 def append_stream(df: DataFrame, path: str, checkpoint: str, date: str | None = "date",
@@ -63,7 +73,7 @@ def append_batch(df: DataFrame, path: str, date: str = "date", mode: str = "appe
     """
     if df.isEmpty():
         return False
-    writer = df.write.format(fmt).partitionBy(date)
+    writer = by_partition(df, date).write.format(fmt).partitionBy(date)
     if evolve:
         writer = writer.option("mergeSchema", "true")
     if batch_id is None:
@@ -128,6 +138,8 @@ class KeyedTable:
         return [(n, int(n[1:])) for n in names]
 
     def _write(self, df: DataFrame, folder: str) -> None:
+        if self.partition:
+            df = by_partition(df, self.partition)
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if self.partition:
             writer = writer.partitionBy(self.partition)
@@ -266,6 +278,8 @@ class MergedTable:
         return self._load(spark, max(self._versions(spark), default=None))
 
     def _save(self, df: DataFrame, version: int) -> None:
+        if self.partition_by:
+            df = by_partition(df, self.partition_by)
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if self.partition_by:
             writer = writer.partitionBy(self.partition_by)

@@ -228,7 +228,8 @@ def user_messages(spark: SparkSession, sf: str, source: str = "user_info") -> Da
          .alias("create_time")])
 
 
-# Changes to the customer table, no two of one key with the same order: (condition, key shift, kind, order, name suffix).
+# Changes to the customer table: (condition, key shift, kind, order, name suffix).
+# No two changes of one key have the same order.
 CUSTOMER_CHANGES = [
     ("c_custkey % 7 = 0", 0, "update", 1, "*u"),
     ("c_custkey % 13 = 0", 0, "insert", 2, "*again"),

@@ -404,7 +404,8 @@ ORACLES: dict[str, str] = {
            date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS days
     FROM events""",
     "stream_page_view_metrics": _page_views(_closed("1 HOUR", "3 SECOND")),
-    "stream_home_detail_uv": _home_detail(_closed("1 HOUR", "3 SECOND", rows="pages WHERE page_id IN ('home', 'good_detail')")),
+    "stream_home_detail_uv": _home_detail(_closed(
+        "1 HOUR", "3 SECOND", rows="pages WHERE page_id IN ('home', 'good_detail')")),
     "stream_user_login_returning": _logins(_closed("1 HOUR", "3 SECOND", rows="logins")),
     "stream_register_sliding": _register(_closed("2 HOUR", "3 SECOND", rows="signups")),
     "stream_cart_add_users": _carts(_closed("1 HOUR", "5 SECOND", rows="flagged")),
@@ -423,7 +424,8 @@ ORACLES: dict[str, str] = {
 }
 
 # Left joins as streams: rows still waiting for a partner at the end of the input are not out yet.
-_LAST = "(SELECT least(max(ts) FILTER (event_type = 'click'), max(ts) FILTER (event_type = 'purchase')) FROM events)"
+_LAST = ("(SELECT least(max(ts) FILTER (event_type = 'click'), "
+         "max(ts) FILTER (event_type = 'purchase')) FROM events)")
 ORACLES["stream_payment_wide"] = _payments(
     f"o.event_id IS NOT NULL OR p.ts < {_LAST} - INTERVAL 1 MINUTE")
 
