@@ -12,11 +12,11 @@ results).
 * The boundary has the least cost, summed over the histogram of sizes: subsets enumerated by the
   light ones against list entries made and scanned by the heavy ones.
 
-A list is never expanded into all its pairs. First every member is compared with the list's most
-central member; then, with what that linked as one component, with a leader by hash; in the end
-only members of different components are paired, and only at a place in the order from which the
-rest of both sets still suffices. Equal sets are one set throughout. Pairs are verified on whole
-sets of 64-bit element hashes.
+Lists of up to ``SHORT`` sets give their pairs at once. A longer one is never expanded into all
+its pairs: every member is compared with the list's most central member, and then only members of
+different components are paired. A pair counts only at a place in the order from which the rest of
+both sets still suffices. Equal sets are one set throughout. A bitmap per set, whose bits bound the
+overlap from above, drops hopeless pairs; the others are verified on whole sets of 64-bit hashes.
 
 A document's set: the distinct n-word shingles of its lower-cased (A-Z) text, words being runs
 without ASCII white space; fewer words: the whole sequence as one; no words or null text: empty,
@@ -39,6 +39,9 @@ from .components import components
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _HASHED_WORDS = 1_000_000
+#: Sets of a list that is paired at once.
+SHORT = 4
+_BITS = 2048
 
 
 class _Words(dict):
@@ -81,6 +84,20 @@ def signature(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """One bit per element, several elements may share one."""
+    bits = np.zeros(_BITS, bool)
+    bits[(s >> np.uint64(7)).astype(np.int64) % _BITS] = True
+    return np.packbits(bits).tobytes()
+
+
+def could_link(a: bytes, b: bytes, n_a: int, n_b: int, percent: int) -> bool:
+    """Every bit that only one set has stands for an element the other lacks."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    both = min(n_a - int(np.bitwise_count(x & ~y).sum()), n_b - int(np.bitwise_count(y & ~x).sum()))
+    return 100 * both >= percent * (n_a + n_b - both)
+
+
 def choose_boundary(histogram: dict[int, int], percent: int, scan: float, most: int = 64) -> int:
     """Size up to which enumerating subsets costs less than lists.
 
@@ -117,15 +134,18 @@ def _counted(docs: DataFrame, n: int, bits: int) -> DataFrame:
             yield _arrow({"doc_id": (batch.column("doc_id"), pa.int64()),
                           "n": ([len(s) for s in sets], pa.int64()),
                           "sig": ([signature(s) for s in sets], pa.int64()),
+                          "bits": ([bitmap(s) for s in sets], pa.binary()),
                           "slice": ([None] * len(sets), pa.int32()),
                           "counts": ([None] * len(sets), pa.binary())})
         if counters.any():
             parts = np.split(counters, slices)
             yield _arrow({"doc_id": ([None] * slices, pa.int64()), "n": ([None] * slices, pa.int64()),
                           "sig": ([None] * slices, pa.int64()),
+                          "bits": ([None] * slices, pa.binary()),
                           "slice": (list(range(slices)), pa.int32()),
                           "counts": ([p.tobytes() for p in parts], pa.binary())})
-    return docs.mapInArrow(run, "doc_id long, n long, sig long, slice int, counts binary")
+    return docs.mapInArrow(run, "doc_id long, n long, sig long, bits binary, slice int, "
+                           "counts binary")
 
 
 def _sketch(parts: DataFrame, bits: int) -> np.ndarray:
@@ -182,13 +202,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_colum
     # Four counters a document, between 2**14 and 2**22: at most 16 MB for any corpus.
     bits = min(22, max(14, math.ceil(math.log2(4 * max(1, docs.count())))))
     counted = common.written(_counted(rows, words, bits), "shingle-counts")
-    sizes = counted.where("slice IS NULL").select("doc_id", "n", "sig")
+    sizes = counted.where("slice IS NULL").select("doc_id", "n", "sig", "bits")
     sketch = _sketch(counted.where("slice IS NOT NULL").select("slice", "counts"), bits)
     # Only sets of three and more can be linked without being equal (at 75 percent).
     small = sizes.where("n <= 64").groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()
     total = float(sketch.sum())
-    met = float((sketch.astype(np.float64) ** 2).sum()) / max(total, 1.0) - total / len(sketch)
-    boundary = choose_boundary({r.n: r.c for r in small}, percent, max(met, 0.0) / 8)
+    often = float((sketch.astype(np.float64) ** 2).sum()) / max(total, 1.0) - total / len(sketch)
+    boundary = choose_boundary({r.n: r.c for r in small}, percent, max(often, 0.0) / 8)
     classes = np.minimum(np.log2(np.maximum(sketch, 1)) * 2, 63).astype(np.uint8)
     shared = spark.sparkContext.broadcast(classes.tobytes())   # 2**bits bytes, at most 4 MB
 
@@ -217,7 +237,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_colum
                               "rest": (np.concatenate(rests).astype(np.int32), pa.int32())})
 
     def shared_lists(batches):
-        """Drop lists of one set: a task holds its part of the entries as packed numbers."""
+        """Pairs of short lists, and the entries of longer ones; a task holds its part of the
+        entries as packed numbers."""
         held = [[], [], [], []]
         for batch in batches:
             for h, c in zip(held, ("key", "sig", "n", "rest")):
@@ -225,50 +246,97 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_colum
         if not held[0]:
             return
         key, sig, n, rest = (np.concatenate(h) for h in held)
-        order = np.lexsort((sig, key))
+        order = np.lexsort((sig, n, key))
         key, sig, n, rest = key[order], sig[order], n[order], rest[order]
         fresh = np.ones(len(key), bool)   # one entry per key and set
         fresh[1:] = (key[1:] != key[:-1]) | (sig[1:] != sig[:-1])
         key, sig, n, rest = key[fresh], sig[fresh], n[fresh], rest[fresh]
+        begins = np.ones(len(key) + 1, bool)
+        begins[1:-1] = key[1:] != key[:-1]
+        # Sorted by size, a set whose neighbours in the list are out of the size ratio has no
+        # partner there; in a list of two both must have enough left from this place on.
+        fit = ~begins[1:-1] & (100 * n[:-1].astype(np.int64) >= percent * n[1:].astype(np.int64))
+        lone = begins[:-2] & begins[2:]
+        need = -((-percent * (n[:-1].astype(np.int64) + n[1:])) // (100 + percent))
+        fit &= ~lone | (np.minimum(rest[:-1], rest[1:]) >= need)
+        many = np.zeros(len(key), bool)
+        many[:-1] |= fit
+        many[1:] |= fit
+        key, sig, n, rest = key[many], sig[many], n[many].astype(np.int64), rest[many]
+        if not len(key):
+            return
         begins = np.ones(len(key), bool)
         begins[1:] = key[1:] != key[:-1]
-        start = np.flatnonzero(begins)
-        length = np.diff(np.append(start, len(key)))
-        many = np.repeat(length > 1, length)
-        for at in range(0, int(many.sum()), 50_000):
-            pick = np.flatnonzero(many)[at:at + 50_000]
+        length = np.diff(np.append(np.flatnonzero(begins), len(key)))
+        short = np.repeat(length <= SHORT, length)
+        made = []
+        for step in range(1, SHORT):   # a set and the one `step` further on in a short list
+            i = np.flatnonzero(short[:-step] & (key[:-step] == key[step:]))
+            j = i + step
+            need = -((-percent * (n[i] + n[j])) // (100 + percent))
+            good = ((100 * n[i] >= percent * n[j]) & (np.minimum(rest[i], rest[j]) >= need))
+            x, y = sig[i[good]], sig[j[good]]
+            made.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
+        pairs = np.unique(np.concatenate(made), axis=0)
+        for at in range(0, len(pairs), 50_000):
+            part = pairs[at:at + 50_000]
+            none = [None] * len(part)
+            yield _arrow({"key": (none, pa.int64()), "sig": (part[:, 0], pa.int64()),
+                          "n": (none, pa.int32()), "rest": (none, pa.int32()),
+                          "other": (part[:, 1], pa.int64())})
+        long = np.flatnonzero(~short)
+        for at in range(0, len(long), 50_000):
+            pick = long[at:at + 50_000]
             yield _arrow({"key": (key[pick], pa.int64()), "sig": (sig[pick], pa.int64()),
-                          "n": (n[pick], pa.int32()), "rest": (rest[pick], pa.int32())})
+                          "n": (n[pick].astype(np.int32), pa.int32()), "rest": (rest[pick], pa.int32()),
+                          "other": ([None] * len(pick), pa.int64())})
 
     listed = "key long, sig long, n int, rest int"
     # About a quarter of all elements is listed; a task gets about half a million entries.
     expected = sizes.agg(F.sum("n")).first()[0] or 0
     parts = max(pages.partitions(spark), math.ceil(expected / 4 / 500_000))
-    lists = common.written(rows.mapInArrow(entries, listed).repartition(parts, "key")
-                           .mapInArrow(shared_lists, listed), "lists")
-    # Sets that are listed with others; one document stands for each.
+    met = common.written(rows.mapInArrow(entries, listed).repartition(parts, "key")
+                         .mapInArrow(shared_lists, listed + ", other long"), "lists")
+    lists = met.where("other IS NULL").drop("other")
+    short = met.where("other IS NOT NULL").select(F.col("sig").alias("a"), F.col("other").alias("b"))
+    # In how many lists a set is; one document stands for each set.
     central = common.written(lists.groupBy("sig", "n").agg(F.count(F.lit(1)).alias("weight")), "central")
     n_sets = central.count()
     named = common.written(sizes.where("doc_id IS NOT NULL").groupBy("sig", "n")
-                           .agg(F.min("doc_id").alias("doc_id")), "named-sets")
-    wanted = common.with_side(named, central.select("sig", "n"), ["sig", "n"], "left_semi", n_sets)
-    wanted = common.written(wanted.select("doc_id", "sig"), "wanted-sets")
+                           .agg(F.min("doc_id").alias("doc_id"), F.min("bits").alias("bits")),
+                           "named-sets")
 
     def unpack(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return _arrow({"sig": (batch.column("sig"), pa.int64()), "elements": (
-            [shingles(t, words).tobytes() for t in batch.column("text").to_pylist()], pa.binary())})
-    sets = common.written(
-        common.arrow_pass(common.with_side(rows, wanted, "doc_id", "inner", n_sets)
-                          .select("sig", "text"), "sig long, elements binary", unpack)
-        .dropDuplicates(["sig"]), "sets")
+        found = [shingles(t, words) for t in batch.column("text").to_pylist()]
+        made = _arrow({"sig": (batch.column("sig"), pa.int64()),
+                       "elements": ([s.tobytes() for s in found], pa.binary())})
+        # an id that repeats may bring another text
+        right = [signature(s) == sig for s, sig in zip(found, batch.column("sig").to_pylist())]
+        return made.filter(pa.array(right, pa.bool_()))
+
+    def bounded(batch: pa.RecordBatch) -> pa.RecordBatch:
+        good = [could_link(x, y, n, m, percent) for x, y, n, m in zip(*(
+            batch.column(c).to_pylist() for c in ("bits_a", "bits_b", "n_a", "n_b")))]
+        return batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs that are linked, by the whole sets of one document for each."""
         def check(batch: pa.RecordBatch) -> pa.RecordBatch:
             a, b = batch.column("a"), batch.column("b")
             good = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
                     for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
             return pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(good, pa.bool_()))
-        both = (pairs.join(sets.select(F.col("sig").alias("a"), F.col("elements").alias("x")), "a")
+        marks = named.select("sig", "n", "bits")
+        hopeful = common.written(common.arrow_pass(
+            pairs.join(marks.toDF("a", "n_a", "bits_a"), "a").join(marks.toDF("b", "n_b", "bits_b"), "b"),
+            "a long, b long", bounded), "hopeful-pairs")
+        asked = common.written(hopeful.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
+                               .join(named.select("sig", "doc_id"), "sig"), "asked-sets")
+        n_asked = asked.count()
+        sets = common.arrow_pass(common.with_side(rows, asked, "doc_id", "inner", n_asked)
+                                 .select("sig", "text"), "sig long, elements binary", unpack)
+        sets = common.written(sets, "sets")
+        both = (hopeful.join(sets.select(F.col("sig").alias("a"), F.col("elements").alias("x")), "a")
                 .join(sets.select(F.col("sig").alias("b"), F.col("elements").alias("y")), "b"))
         return common.written(common.arrow_pass(both, "a long, b long", check), "links")
 
@@ -278,34 +346,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_colum
         return ((100 * F.least(n1, n2) >= percent * F.greatest(n1, n2))
                 & (F.least(rest1, rest2) >= need))
 
-    open_, links, tried = lists, None, None
-    for turn in range(2):
-        if turn == 0:
-            weighed = common.with_side(lists, central, ["sig", "n"], "inner", n_sets)
-            rank = F.struct(-F.col("weight"), F.col("sig"), F.col("n"), F.col("rest"))
-        else:
-            weighed = open_
-            rank = F.struct(F.xxhash64("sig", F.lit(turn)), F.col("sig"), F.col("n"), F.col("rest"))
-        lead = weighed.groupBy("key").agg(F.min(rank).alias("lead")).select(
-            "key", F.col("lead.sig").alias("l_sig"), F.col("lead.n").alias("l_n"),
-            F.col("lead.rest").alias("l_rest"))
-        pairs = (open_.join(lead, "key").where((F.col("sig") != F.col("l_sig"))
-                                               & fits(F.col("n"), F.col("rest"), F.col("l_n"), F.col("l_rest")))
-                 .select(F.least("sig", "l_sig").alias("a"), F.greatest("sig", "l_sig").alias("b"))
-                 .distinct())
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = common.written(pairs, "leader-pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = verified(pairs)
-        links = found if links is None else links.unionByName(found)
-        groups = common.written(components(links), "groups")
-        n_groups = groups.count()
-        joined = common.with_side(lists, groups.withColumnRenamed("node", "sig"), "sig", "left", n_groups)
-        joined = joined.withColumn("component", F.coalesce("component", "sig"))
-        mixed = joined.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")
-                                          ).where("low <> high").select("key")
-        open_ = common.written(joined.join(mixed, "key", "left_semi"), "open-lists")
+    weighed = common.with_side(lists, central, ["sig", "n"], "inner", n_sets)
+    rank = F.struct(-F.col("weight"), F.col("sig"), F.col("n"), F.col("rest"))
+    lead = weighed.groupBy("key").agg(F.min(rank).alias("lead")).select(
+        "key", F.col("lead.sig").alias("l_sig"), F.col("lead.n").alias("l_n"),
+        F.col("lead.rest").alias("l_rest"))
+    led = lists.join(lead, "key").where(
+        (F.col("sig") != F.col("l_sig"))
+        & fits(F.col("n"), F.col("rest"), F.col("l_n"), F.col("l_rest"))).select(
+        F.least("sig", "l_sig").alias("a"), F.greatest("sig", "l_sig").alias("b"))
+    tried = common.written(short.unionByName(led).distinct(), "first-pairs")
+    links = verified(tried)
+    groups = common.written(components(links), "groups")
+    joined = common.with_side(lists, groups.withColumnRenamed("node", "sig"), "sig", "left",
+                              groups.count()).withColumn("component", F.coalesce("component", "sig"))
+    mixed = joined.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")
+                                      ).where("low <> high").select("key")
+    open_ = common.written(joined.join(mixed, "key", "left_semi"), "open-lists")
     left, right = open_.alias("p"), open_.alias("q")
     rest = (left.join(right, F.col("p.key") == F.col("q.key"))
             .where((F.col("p.sig") < F.col("q.sig")) & (F.col("p.component") != F.col("q.component"))
