@@ -42,15 +42,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     the one with the smallest text. Rows without an id stay."""
     common.prepared(spark)
     groups = shingle_join.near_duplicates(docs)
+    times, nth = (common.new_name(n, docs.columns) for n in ("times", "nth"))
     stays = common.written(groups.where("doc_id = component_id").groupBy("doc_id")
-                           .agg(F.count(F.lit(1)).alias("__rows")), "stays")
-    n = stays.count()
-    kept = common.with_side(docs, stays, "doc_id", "inner", n)
+                           .agg(F.count(F.lit(1)).alias(times)), "stays")
+    kept = common.with_side(docs, stays, "doc_id", "inner", stays.count())
     columns = [F.col(f"`{c}`") for c in docs.columns]
     order = Window.partitionBy("doc_id").orderBy("text")
-    repeated = (kept.where("__rows > 1").withColumn("__nth", F.row_number().over(order))
-                .where("__nth = 1"))
-    return (kept.where("__rows = 1").select(*columns)
+    repeated = (kept.where(F.col(times) > 1).withColumn(nth, F.row_number().over(order))
+                .where(F.col(nth) == 1))
+    return (kept.where(F.col(times) == 1).select(*columns)
             .unionByName(repeated.select(*columns))
             .unionByName(docs.where("doc_id IS NULL").select(*columns)))
 

@@ -60,7 +60,7 @@ def drop_boilerplate(docs: DataFrame, min_sites: int = 5, min_words: int = 5,
     """The columns of ``docs`` with cleaned texts, and __n_lines, __n_removed, __kept."""
     bad = common.written(boilerplate(docs, min_sites, min_words, site), "boilerplate")
     n_bad = bad.count()
-    key = common.new_name("row", docs.columns)
+    key, gone = (common.new_name(n, docs.columns) for n in ("row", "gone"))
     keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
     line = F.trim(F.col("part"))
     shown = (keyed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(key).alias("row"),
@@ -73,13 +73,13 @@ def drop_boilerplate(docs: DataFrame, min_sites: int = 5, min_words: int = 5,
     touched = common.written(goes, "line-drops")
     n_touched = touched.count()
     joined = common.with_side(keyed, touched.withColumnRenamed("row", key)
-                              .withColumnRenamed("gone", "__gone"), key, "left", n_touched)
+                              .withColumnRenamed("gone", gone), key, "left", n_touched)
     parts = _lines(F.col("text").cast("string"))
-    left = F.filter(parts, lambda part, i: ~F.array_contains(F.col("__gone"), i))
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    removed = F.coalesce(F.size("__gone"), F.lit(0)).cast("long")
+    left = F.filter(parts, lambda part, i: ~F.array_contains(F.col(gone), i))
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    removed = F.coalesce(F.size(gone), F.lit(0)).cast("long")
     return joined.select(
         *[F.col(f"`{c}`") if c != "text" else text.alias("text") for c in docs.columns],
         F.coalesce(F.size(parts), F.lit(0)).cast("long").alias("__n_lines"),
         F.greatest(removed, F.lit(0)).alias("__n_removed"),
-        (F.col("__gone").isNull() | (F.trim(text) != "")).alias("__kept"))
+        (F.col(gone).isNull() | (F.trim(text) != "")).alias("__kept"))
