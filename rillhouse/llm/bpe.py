@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from . import common
 
 #: Cached words per Python worker; a full cache is emptied, which costs time only.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 350_000
 _END = "Ā"   # stands for the end of a word; bytes are U+0000 to U+00FF
 
 

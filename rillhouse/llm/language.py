@@ -179,8 +179,16 @@ def fit(labelled: DataFrame, max_windows: int = 12_000, per_text: int = 4) -> tu
     """Train on rows of doc_id, text, lang with a language and letters.
 
     The sample is bounded: up to ``per_text`` windows of a text, at places drawn from a hash of
-    its id, and of all these the ``max_windows`` that come first by another hash.
+    its id, and of all these the ``max_windows`` that come first by another hash. How many there
+    are is added up first, so that tasks hand over about that many windows in all.
     """
+    known = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+                            F.col("lang").cast("string").alias("lang")).where(
+        F.col("text").isNotNull() & F.col("lang").isNotNull())
+    there = known.agg(F.sum(F.least(F.ceil(F.octet_length("text") / WINDOW), F.lit(per_text)))
+                      ).first()[0] or 0
+    share = min(1.0, 1.2 * max_windows / max(1, there))
+
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
         for doc_id, text, lang in zip(*(batch.column(c).to_pylist()
@@ -190,13 +198,12 @@ def fit(labelled: DataFrame, max_windows: int = 12_000, per_text: int = 4) -> tu
             all_ = windows(text)
             rng = np.random.default_rng((doc_id or 0) & 0x7FFFFFFFFFFFFFFF)
             for i in rng.permutation(len(all_))[:per_text]:
-                rows.append((lang, all_[i].tobytes(), int(rng.integers(1 << 62))))
+                draw = int(rng.integers(1 << 62))
+                if draw <= share * (1 << 62):
+                    rows.append((lang, all_[i].tobytes(), draw))
         return pa.RecordBatch.from_arrays(
             [pa.array([r[k] for r in rows], t) for k, t in
              enumerate((pa.string(), pa.binary(), pa.int64()))], ["lang", "bytes", "draw"])
-    known = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
-                            F.col("lang").cast("string").alias("lang")).where(
-        F.col("text").isNotNull() & F.col("lang").isNotNull())
     sample = (common.arrow_pass(known, "lang string, bytes binary, draw long", each)
               .orderBy("draw", "bytes", "lang").limit(max_windows).collect())
     languages = sorted({r.lang for r in sample})

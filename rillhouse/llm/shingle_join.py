@@ -38,7 +38,7 @@ from . import common, pages
 from .components import components
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_HASHED_WORDS = 1_000_000
+_HASHED_WORDS = 250_000
 #: Sets of a list that is paired at once.
 SHORT = 4
 _BITS = 2048

@@ -93,11 +93,12 @@ def search(table: DataFrame, is_query: Column, k: int = 5, vector: str = "embedd
     rows = plain.where(F.col("vec_id").isNotNull() & pages.usable("v")).select(
         "vec_id", F.transform("v", lambda x: F.floor(256 * x)).alias("v"), "query")
     squares = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x)
-    facts = rows.agg(F.max(squares).alias("longest"), F.max(F.size("v")).alias("width")).first()
+    facts = rows.agg(F.max(squares).alias("longest"), F.max(F.size("v")).alias("width"),
+                     F.count(F.lit(1)).alias("n")).first()
     longest, width = facts.longest or 0, max(facts.width or 0, 1)
-    drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("v").collect()
+    drawn = pages.drawn(rows, "vec_id", sample, facts.n).select("v").collect()
     out = "query_id long, rank int, vec_id long, score long"
-    if not drawn:
+    if not facts.n:
         return spark.createDataFrame([], out)
     padded = np.array([list(r.v) + [0] * (width - len(r.v)) for r in drawn], np.int64)
     centres = pages.kmeans(_augmented(padded, longest, False), pivots)

@@ -102,7 +102,7 @@ def link(table: DataFrame, cosine: float = 0.98, vector: str = "embedding", labe
     half = width // 2
     # As many codewords per half as give about per_cell vectors to a cell of an average label.
     words = max(1, min(64, round((facts.n / max(1, facts.labels) / per_cell) ** 0.5)))
-    drawn = distinct.orderBy(F.xxhash64("rep"), "rep").limit(sample).select("v", "label").collect()
+    drawn = pages.drawn(distinct, "rep", sample, facts.n).select("v", "label").collect()
     if drawn:
         x = unit(np.array([list(r.v) + [0.0] * (width - len(r.v)) for r in drawn]))
         left, right = pages.kmeans(x[:, :half], words), pages.kmeans(x[:, half:], words)
