@@ -90,8 +90,11 @@ def apply_changes(target: DataFrame, changes: DataFrame, key: str, order_by: Seq
              .otherwise(F.coalesce("_kept", F.struct(*columns)))
     stay = (joined.select(F.when(touched, after).otherwise(F.struct(*columns)).alias("_row"))
             .where(F.col("_row").isNotNull()).select("_row.*"))
+    # The changed keys that the target has: as many rows as the changes at most, found from the
+    # target's side, so that neither join has to bring the target's keys together.
+    present = target.select(key).join(folded.select("_k"), F.col(key) == F.col("_k"), "left_semi")
     new = (folded.where(F.col("_made").isNotNull())
-           .join(target.select(key), F.col(key) == F.col("_k"), "left_anti").select("_made.*"))
+           .join(present, F.col(key) == F.col("_k"), "left_anti").select("_made.*"))
     return stay.unionByName(new)
 
 

@@ -120,7 +120,9 @@ def sync_keyed_dimensions(messages: DataFrame, batch_id: int, config: DataFrame,
     table is read; that suits dimensions too large to rewrite per batch.
     """
     def put(meta: DimensionMeta, rows: DataFrame) -> None:
-        table(meta).put(keyed_changes(rows, meta.row_key, [ORDER]), batch_id, gone="_removed")
+        store = table(meta)
+        store.compact_every(rows.sparkSession, batch_id)
+        store.put(keyed_changes(rows, meta.row_key, [ORDER]), batch_id, gone="_removed")
 
     with cached(dimension_changes(messages, config.where(F.col("to_hbase") != 0))) as changes:
         return _each_changed(changes, config, True, put, parallel)

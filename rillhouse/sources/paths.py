@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -47,8 +50,20 @@ def is_complete(spark: SparkSession, path: str) -> bool:
 def scratch(spark: SparkSession, label: str) -> str:
     """A new folder name under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where that setting is absent, as in tests, a local temporary folder is used.
+    Where that setting is absent a local temporary folder is used, gone when the driver ends;
+    that works on one machine only, so a cluster without the setting is refused.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="rillhouse-")
-    return f"{root}/{label}-{uuid.uuid4().hex}"
+    if shared:
+        return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
+    return f"{_local_root()}/{label}-{uuid.uuid4().hex}"
+
+
+@lru_cache(maxsize=1)
+def _local_root() -> str:
+    root = tempfile.mkdtemp(prefix="rillhouse-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root

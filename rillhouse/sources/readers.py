@@ -76,16 +76,13 @@ def snapshot(spark: SparkSession, path: str, fmt: str = "parquet", merge_schema:
     return reader.load(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a batch frame that is read in fewer tasks than there are cores.
-
-    For costly work per row (building or parsing text) on a small input; a frame with
-    enough partitions is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal a batch frame out evenly for costly work per row, over ``partitions`` (the session's
+    number of shuffle partitions, if not given); streams stay as they are."""
+    if df.isStreaming:
         return df
-    return df.repartition(cores)
+    return df.repartition(partitions or int(
+        df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 class RefreshingSnapshot:

@@ -162,9 +162,32 @@ class KeyedTable:
         marked = batch.withColumns({_BATCH: F.lit(batch_id).cast("long"), _GONE: flag})
         self._write(marked.drop(gone) if gone else marked, f"{self.path}/part=b{batch_id:012d}")
 
+    def _live(self, spark: SparkSession, before: int | None = None) -> list[tuple[str, int]]:
+        """Complete folders that hold what is stored, those that a later fold covers left out.
+
+        A folder that was listed but is gone by now was folded meanwhile, so the listing
+        starts again; one that is there without its commit mark was never written whole.
+        """
+        for _ in range(100):
+            done, gone = [], False
+            for label, at in self._parts(spark):
+                if before is not None and at >= before:
+                    continue
+                if paths.is_complete(spark, f"{self.path}/part={label}"):
+                    done.append((label, at))
+                elif not paths.exists(spark, f"{self.path}/part={label}"):
+                    gone = True
+            if not gone:
+                break
+        else:
+            raise RuntimeError(f"{self.path} changes faster than it can be listed")
+        whole = max((at for label, at in done if label[0] == "f"), default=-1)
+        folded = max((at for label, at in done if label[0] in "cf"), default=-1)
+        return [(label, at) for label, at in done
+                if at > {"f": whole - 1, "c": whole, "b": folded}[label[0]]]
+
     def _load(self, spark: SparkSession, labels: Sequence[str]) -> DataFrame:
-        done = [f"{self.path}/part={n}" for n in labels
-                if paths.is_complete(spark, f"{self.path}/part={n}")]
+        done = [f"{self.path}/part={n}" for n in labels]
         full = None if self.schema is None else T.StructType([
             *self.schema.fields, T.StructField(_BATCH, T.LongType()),
             T.StructField(_GONE, T.BooleanType())])
@@ -177,8 +200,7 @@ class KeyedTable:
 
     def stored(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """All stored rows (of batches ``before`` one) with their batch, replaced ones included."""
-        return self._load(spark, [label for label, at in self._parts(spark)
-                                  if before is None or at < before])
+        return self._load(spark, [label for label, _ in self._live(spark, before)])
 
     def _current(self, rows: DataFrame) -> DataFrame:
         newest = latest_per_key(rows, self.keys, [_BATCH])
@@ -200,9 +222,15 @@ class KeyedTable:
         return self._current(self.stored(wanted.sparkSession, before).join(asked, key, "left_semi"))
 
     def compact_every(self, spark: SparkSession, batch_id: int, batches: int = 100) -> None:
-        """Fold the batches before this one now and then; call it as a batch begins."""
-        if batch_id and batch_id % batches == 0:
-            self.compact(spark, before=batch_id)
+        """Fold once this many batches are stored singly; call it as a batch begins.
+
+        Batches are counted as stored, so empty ones, which store nothing, don't matter. Folds
+        are folded into one when there are as many of them.
+        """
+        labels = [label for label, at in self._parts(spark) if at < batch_id]
+        if sum(label[0] == "b" for label in labels) >= batches:
+            self.compact(spark, before=batch_id,
+                         full=sum(label[0] == "c" for label in labels) >= batches)
 
     def compact(self, spark: SparkSession, full: bool = False, before: int | None = None) -> None:
         """Fold the single batches into one folder (``full``: everything stored so far).
@@ -210,18 +238,21 @@ class KeyedTable:
         Rows keep their batch number, so while old and new folders stand side by side
         a read gives the same rows; a stop at any point leaves a correct table.
         """
-        parts = [(label, at) for label, at in self._parts(spark)
-                 if (full or label[0] == "b") and (before is None or at < before)]
+        live = self._live(spark, before)
+        for name, at in self._parts(spark):   # left over from a fold that was stopped
+            if ((name, at) not in live and (before is None or at < before)
+                    and paths.is_complete(spark, f"{self.path}/part={name}")):
+                paths.remove(spark, f"{self.path}/part={name}")
+        parts = [(label, at) for label, at in live if full or label[0] == "b"]
         if len(parts) < 2:
             return
         newest = max(at for _, at in parts)
         label = f"{'f' if full else 'c'}{newest:012d}"
         target = f"{self.path}/part={label}"
-        if not paths.exists(spark, target):
-            folding = f"{self.path}/_folding"
-            rows = self._load(spark, [name for name, _ in parts])
-            self._write(latest_per_key(rows, self.keys, [_BATCH]), folding)
-            paths.move(spark, folding, target)
+        # Straight to its place: its commit mark is what makes it count, and what a stopped
+        # fold left there is overwritten.
+        rows = self._load(spark, [name for name, _ in parts])
+        self._write(latest_per_key(rows, self.keys, [_BATCH]), target)
         for name, _ in parts:
             if name != label:
                 paths.remove(spark, f"{self.path}/part={name}")

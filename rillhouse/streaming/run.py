@@ -12,16 +12,16 @@ from ..sources import paths, tables
 
 
 @contextmanager
-def state_partitions(spark: SparkSession, per_core: int = 2) -> Iterator[None]:
-    """Start queries with a state width fitted to the cluster.
+def state_partitions(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Start queries with a chosen state width (the session's, if none is given).
 
     A stream keeps the number of shuffle partitions it was first started with, and
-    each is a state store, so the batch default of 200 is far too many for a few
-    cores; it is only ever lowered here.
+    each is a state store: choose it for the cluster the stream will grow into.
     """
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(before), per_core * spark.sparkContext.defaultParallelism)))
+    if partitions:
+        spark.conf.set(key, str(partitions))
     try:
         yield
     finally:

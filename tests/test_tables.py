@@ -74,6 +74,45 @@ def test_compaction_stopped_half_way_leaves_a_correct_table(spark, tmp_path, mon
     assert dict(content(store.read(spark)))["a"] == 9
 
 
+def test_a_read_lists_again_when_batches_are_folded_meanwhile(spark, tmp_path, monkeypatch):
+    store = tables.KeyedTable(f"{tmp_path}/t", ["k"], partition=None)
+    for n in range(3):
+        store.put(frame(spark, [(f"k{n}", "d", n)]), n)
+    listed, compacted = store._parts, []
+
+    def parts(session):
+        found = listed(session)
+        if not compacted:
+            compacted.append(True)
+            store.compact(session)
+        return found
+
+    monkeypatch.setattr(store, "_parts", parts)
+    assert content(store.read(spark)) == [("k0", 0), ("k1", 1), ("k2", 2)]
+
+
+def test_a_torn_fold_is_written_again(spark, tmp_path):
+    store = tables.KeyedTable(f"{tmp_path}/t", ["k"], partition=None)
+    for n in range(3):
+        store.put(frame(spark, [(f"k{n}", "d", n)]), n)
+    torn = tmp_path / "t" / "part=c000000000002"
+    torn.mkdir()
+    (torn / "part-0.parquet").write_bytes(b"half a file")
+    assert len(content(store.read(spark))) == 3
+    store.compact(spark)
+    assert paths.children(spark, f"{tmp_path}/t") == ["part=c000000000002"]
+    assert content(store.read(spark)) == [("k0", 0), ("k1", 1), ("k2", 2)]
+
+
+def test_folds_are_counted_by_stored_batches(spark, tmp_path):
+    store = tables.KeyedTable(f"{tmp_path}/t", ["k"], partition=None)
+    for n in (7, 55, 113, 298):   # all the batches between were empty
+        store.compact_every(spark, n, batches=3)
+        store.put(frame(spark, [(f"k{n}", "d", n)]), n)
+    assert paths.children(spark, f"{tmp_path}/t") == ["part=b000000000298", "part=c000000000113"]
+    assert len(content(store.read(spark))) == 4
+
+
 def test_keyed_table_with_a_column_added_later(spark, tmp_path):
     first = tables.KeyedTable(f"{tmp_path}/t", ["k"], partition=None)
     first.put(spark.createDataFrame([("a", "1")], "k string, x string"), 0)

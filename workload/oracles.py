@@ -392,9 +392,9 @@ ORACLES: dict[str, str] = {
     WHERE CAST(c_custkey AS VARCHAR) >= '10' AND CAST(c_custkey AS VARCHAR) < '2'
       AND (c_custkey % 10 = 0 OR c_mktsegment = 'BUILDING')""",
     "append_evolved_schema": """
-    SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END
+    SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END
                AS o_orderpriority, strftime(o_orderdate, '%Y') AS "year"
-    FROM orders WHERE o_orderstatus IN ('F', 'O')""",
+    FROM orders""",
     "date_functions": """
     SELECT event_id, strftime(ts, '%Y-%m-%d') AS day,
            strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS "second",

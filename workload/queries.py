@@ -496,7 +496,7 @@ def append_evolved_schema(spark, sf):
                           F.date_format("o_orderdate", "yyyy").alias("year"))
     old = dated.where("o_orderstatus = 'F'").drop("o_orderpriority")
     tables.append_batch(old, path, "year")
-    tables.append_batch(dated.where("o_orderstatus = 'O'"), path, "year", evolve=True)
+    tables.append_batch(dated.where("o_orderstatus <> 'F'"), path, "year", evolve=True)
     tables.append_batch(dated.where("o_orderstatus = 'none'"), path, "year")
     rows = readers.snapshot(spark, path, merge_schema=True)
     return rows.select("o_orderkey", "o_orderstatus", "o_orderpriority",
