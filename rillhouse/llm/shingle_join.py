@@ -15,8 +15,9 @@ results).
 Lists of up to ``SHORT`` sets give their pairs at once. A longer one is never expanded into all
 its pairs: every member is compared with the list's most central member, and then only members of
 different components are paired. A pair counts only at a place in the order from which the rest of
-both sets still suffices. Equal sets are one set throughout. A bitmap per set, whose bits bound the
-overlap from above, drops hopeless pairs; the others are verified on whole sets of 64-bit hashes.
+both sets still suffices. Equal sets are one set throughout. Bitmaps, whose bits bound the overlap
+from above, drop hopeless pairs: first one of a fixed width per set, then, for the sets still asked
+for, one as wide as the set is large. The others are verified on whole sets of 64-bit hashes.
 
 A document's set: the distinct n-word shingles of its lower-cased (A-Z) text, words being runs
 without ASCII white space; fewer words: the whole sequence as one; no words or null text: empty,
@@ -84,16 +85,28 @@ def signature(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
 
-def bitmap(s: np.ndarray) -> bytes:
+def bitmap(s: np.ndarray, width: int = _BITS) -> bytes:
     """One bit per element, several elements may share one."""
-    bits = np.zeros(_BITS, bool)
-    bits[(s >> np.uint64(7)).astype(np.int64) % _BITS] = True
+    bits = np.zeros(width, bool)
+    bits[(s >> np.uint64(7)).astype(np.int64) % width] = True
     return np.packbits(bits).tobytes()
 
 
+def wide_bitmap(s: np.ndarray) -> bytes:
+    """Four to eight bits per element, a power of two in all, so that wide maps fold."""
+    return bitmap(s, max(_BITS, 1 << (4 * len(s) - 1).bit_length()))
+
+
+def _folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """The map that ``words`` numbers would have held."""
+    return np.bitwise_or.reduce(bits.reshape(-1, words), axis=0)
+
+
 def could_link(a: bytes, b: bytes, n_a: int, n_b: int, percent: int) -> bool:
     """Every bit that only one set has stands for an element the other lacks."""
     x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    words = min(len(x), len(y))
+    x, y = _folded(x, words), _folded(y, words)
     both = min(n_a - int(np.bitwise_count(x & ~y).sum()), n_b - int(np.bitwise_count(y & ~x).sum()))
     return 100 * both >= percent * (n_a + n_b - both)
 
@@ -309,6 +322,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_colum
     def unpack(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [shingles(t, words) for t in batch.column("text").to_pylist()]
         made = _arrow({"sig": (batch.column("sig"), pa.int64()),
+                       "n": ([len(s) for s in found], pa.int64()),
+                       "bits": ([wide_bitmap(s) for s in found], pa.binary()),
                        "elements": ([s.tobytes() for s in found], pa.binary())})
         # an id that repeats may bring another text
         right = [signature(s) == sig for s, sig in zip(found, batch.column("sig").to_pylist())]
@@ -326,18 +341,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_colum
             good = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
                     for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
             return pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(good, pa.bool_()))
-        marks = named.select("sig", "n", "bits")
-        hopeful = common.written(common.arrow_pass(
-            pairs.join(marks.toDF("a", "n_a", "bits_a"), "a").join(marks.toDF("b", "n_b", "bits_b"), "b"),
-            "a long, b long", bounded), "hopeful-pairs")
-        asked = common.written(hopeful.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
-                               .join(named.select("sig", "doc_id"), "sig"), "asked-sets")
-        n_asked = asked.count()
-        sets = common.arrow_pass(common.with_side(rows, asked, "doc_id", "inner", n_asked)
-                                 .select("sig", "text"), "sig long, elements binary", unpack)
-        sets = common.written(sets, "sets")
-        both = (hopeful.join(sets.select(F.col("sig").alias("a"), F.col("elements").alias("x")), "a")
-                .join(sets.select(F.col("sig").alias("b"), F.col("elements").alias("y")), "b"))
+        def hopeful(pairs: DataFrame, marks: DataFrame, label: str) -> DataFrame:
+            marked = (pairs.join(marks.toDF("a", "n_a", "bits_a"), "a")
+                      .join(marks.toDF("b", "n_b", "bits_b"), "b"))
+            return common.written(common.arrow_pass(marked, "a long, b long", bounded), label)
+
+        def ends(pairs: DataFrame) -> DataFrame:
+            return pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
+
+        likely = hopeful(pairs, named.select("sig", "n", "bits"), "hopeful-pairs")
+        asked = common.written(ends(likely).join(named.select("sig", "doc_id"), "sig"), "asked-sets")
+        sets = common.written(common.arrow_pass(
+            common.with_side(rows, asked, "doc_id", "inner", asked.count()).select("sig", "text"),
+            "sig long, n long, bits binary, elements binary", unpack), "sets")
+        # An id that repeats brings a set once per row.
+        wide = sets.groupBy("sig", "n").agg(F.min("bits").alias("bits"))
+        likely = hopeful(likely, wide, "likely-pairs")
+        wanted = common.written(ends(likely), "wanted-sets")
+        whole = common.with_side(sets, wanted, "sig", "left_semi", wanted.count())
+        both = (likely.join(whole.select(F.col("sig").alias("a"), F.col("elements").alias("x")), "a")
+                .join(whole.select(F.col("sig").alias("b"), F.col("elements").alias("y")), "b"))
         return common.written(common.arrow_pass(both, "a long, b long", check), "links")
 
     def fits(n1, rest1, n2, rest2):

@@ -124,6 +124,22 @@ def test_bitmaps_never_rule_out_a_link():
                                       rng.integers(0, 1 << 63, 8).astype(np.uint64)]))
         if shingle_join.linked(a, b, 75):
             assert shingle_join.could_link(shingle_join.bitmap(a), shingle_join.bitmap(b), len(a), len(b), 75)
+            assert shingle_join.could_link(shingle_join.wide_bitmap(a), shingle_join.wide_bitmap(b),
+                                           len(a), len(b), 75)
+
+
+def test_wide_bitmaps_fold_and_tell_long_sets_apart():
+    rng = np.random.default_rng(3)
+    pool = np.unique(rng.integers(0, 1 << 63, 40_000).astype(np.uint64))
+    rng.shuffle(pool)
+    a = np.sort(pool[:9_000])
+    near, far = np.sort(pool[500:8_000]), np.sort(pool[4_000:13_000])
+    wide = shingle_join.wide_bitmap
+    assert len(wide(a)) == 2 * len(wide(near))   # of different widths
+    assert shingle_join.linked(a, near, 75)
+    assert shingle_join.could_link(wide(a), wide(near), len(a), len(near), 75)
+    assert not shingle_join.could_link(wide(a), wide(far), len(a), len(far), 75)
+    assert wide(a[:100]) == shingle_join.bitmap(a[:100])
 
 
 def test_features_of_nothing():
