@@ -28,6 +28,7 @@ row, links with nothing and is its own (null) component. An empty table gives no
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -130,6 +131,16 @@ def _arrow(columns: dict[str, tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], list(columns))
 
 
+def _packed(counters: np.ndarray) -> bytes:
+    """Compressed, in the smallest type that holds the largest; most counters of a task are small."""
+    return zlib.compress(counters.astype(np.min_scalar_type(counters.max())).tobytes(), 1)
+
+
+def _unpacked(raw: bytes, n: int) -> np.ndarray:
+    plain = zlib.decompress(raw)
+    return np.frombuffer(plain, f"u{len(plain) // n}").astype(np.uint64)
+
+
 def _counted(docs: DataFrame, n: int, bits: int) -> DataFrame:
     """Per document its set's size and signature, and per task its part of the count sketch, as
     slices of packed counters; rows of both kinds in one pass over the texts."""
@@ -156,7 +167,7 @@ def _counted(docs: DataFrame, n: int, bits: int) -> DataFrame:
                           "sig": ([None] * slices, pa.int64()),
                           "bits": ([None] * slices, pa.binary()),
                           "slice": (list(range(slices)), pa.int32()),
-                          "counts": ([p.tobytes() for p in parts], pa.binary())})
+                          "counts": ([_packed(p) for p in parts], pa.binary())})
     return docs.mapInArrow(run, "doc_id long, n long, sig long, bits binary, slice int, "
                            "counts binary")
 
@@ -167,7 +178,7 @@ def _sketch(parts: DataFrame, bits: int) -> np.ndarray:
         held: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, raw in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist()):
-                part = np.frombuffer(raw, np.uint32).astype(np.uint64)
+                part = _unpacked(raw, (1 << bits) // 64)
                 held[k] = held[k] + part if k in held else part
         for k, total in held.items():
             yield _arrow({"slice": ([k], pa.int32()), "counts": ([total.tobytes()], pa.binary())})

@@ -142,5 +142,11 @@ def test_wide_bitmaps_fold_and_tell_long_sets_apart():
     assert wide(a[:100]) == shingle_join.bitmap(a[:100])
 
 
+def test_packed_counters_come_back():
+    for most in (0, 1, 255, 256, 65_536):
+        counters = np.arange(256, dtype=np.uint32) * most // 255
+        assert (shingle_join._unpacked(shingle_join._packed(counters), 256) == counters).all()
+
+
 def test_features_of_nothing():
     assert not sites.features(None).any() and not sites.features("").any()
