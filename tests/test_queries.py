@@ -6,7 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle import connect, differences
+from pyspark.sql import functions as F
+from rillhouse.sources.tables import each_batch
 from workload.queries import QUERIES as WORKLOAD
+from workload.queries import STAGED_SLICES, event_stream
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 # The optional part has its own tests.
@@ -42,3 +45,15 @@ def test_approximate_orders_stay_close(spark):
 
 def test_entry_has_rows(spark):
     assert entry.entry(spark).limit(1).count() == 1
+
+
+def test_streams_read_all_events_in_several_batches(spark, tmp_path):
+    stream = event_stream(spark, DATA)
+    seen = {}
+    each_batch(stream, lambda batch, n: seen.setdefault(n, batch.agg(
+        F.count("*"), F.min("ts"), F.max("ts")).first()), f"{tmp_path}/c",
+        available_now=True).awaitTermination()
+    batches = [seen[n] for n in sorted(seen) if seen[n][0]]
+    assert len(batches) == STAGED_SLICES
+    assert sum(b[0] for b in batches) == spark.read.parquet(f"{DATA}/events.parquet").count()
+    assert all(a[2] < b[1] for a, b in zip(batches, batches[1:]))

@@ -556,11 +556,32 @@ def date_functions(spark, sf):
 
 # --- streams -------------------------------------------------------------------------------
 
-def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    path = f"{sf}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    # Written as a pattern, the path may be a folder of files or, as here, one file.
-    stream = readers.table_stream(spark, f"{sf}/events.parque[t]", schema, max_files=None)
+#: Micro-batches the staged events make, and rows of a staged file.
+STAGED_SLICES, STAGED_FILE_ROWS = 4, 500_000
+TIME = "unix_micros(CAST(ts AS TIMESTAMP))"
+
+
+def event_stream(spark: SparkSession, sf: str, by: str = TIME) -> DataFrame:
+    """All events as a stream of several micro-batches, in the order of a whole number ``by``.
+
+    The range of ``by`` is cut into slices of equal width, written one after the other; a slice
+    is one micro-batch of as many files as the rows ask for.
+    """
+    path = paths.scratch(configure(spark), "event-files")
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    ends = events.agg(F.min(F.expr(by)).alias("low"), F.max(F.expr(by)).alias("high"),
+                      F.count(F.lit(1)).alias("rows")).first()
+    low, width = ends.low or 0, ((ends.high or 0) - (ends.low or 0)) // STAGED_SLICES + 1
+    files = max(1, -(-ends.rows // (STAGED_SLICES * STAGED_FILE_ROWS)))
+    place = F.expr(by)
+    for nth in range(STAGED_SLICES):
+        begin = low + nth * width
+        # Rows without a place come first.
+        mine = ((place >= begin) & (place < begin + width)) | (
+            place.isNull() if nth == 0 else F.lit(False))
+        (events.where(mine).repartitionByRange(files, place).sortWithinPartitions(place)
+         .write.mode("append").parquet(path))
+    stream = readers.table_stream(spark, path, events.schema, max_files=files)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -626,7 +647,7 @@ def stream_payment_wide(spark, sf):
 
 @query
 def stream_device_is_new(spark, sf):
-    rows = event_stream(spark, sf).select(
+    rows = event_stream(spark, sf, I.ARRIVAL).select(
         "event_id", "user_id", "ts", F.expr(I.ARRIVAL).alias("arrival"),
         F.expr("CAST(event_id % 2 AS STRING)").alias("is_new"))
     return _flagged_stream(rows, "user_id").select("event_id", "user_id", "is_new")
@@ -660,7 +681,7 @@ def stream_device_delivered(spark, sf):
 @query
 def stream_log_pages(spark, sf):
     """The log stream: device state, then the page table out of the accepted lines."""
-    ev = event_stream(spark, sf).withColumn("arrival", F.expr(I.ARRIVAL))
+    ev = event_stream(spark, sf, I.ARRIVAL).withColumn("arrival", F.expr(I.ARRIVAL))
     valid, _ = facts.split_log(I.log_messages(ev, "arrival"), "arrival")
     accepted = _flagged_stream(valid, "mid")
     return facts.log_pages(facts.open_log(accepted)).select(
