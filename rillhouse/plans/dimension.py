@@ -22,11 +22,17 @@ ORDER = "_order"
 def with_order(messages: DataFrame) -> DataFrame:
     """Number the messages of one micro-batch in the order they were read.
 
-    A source that has its own order (an offset) should bring it as ``_order`` instead.
+    That order is right for one file or one topic partition only. Sources of several bring
+    their own as ``_order`` (``ordered=True`` of the message readers); a place in files is
+    completed by the row's number.
     """
-    if ORDER in messages.columns:
-        return messages
-    return messages.withColumn(ORDER, F.monotonically_increasing_id())
+    row = F.monotonically_increasing_id()
+    kind = dict(messages.dtypes).get(ORDER)
+    if kind is None:
+        return messages.withColumn(ORDER, row)
+    if kind.startswith("struct"):
+        return messages.withColumn(ORDER, F.struct(f"{ORDER}.*", row.alias("row")))
+    return messages
 
 
 def _changes(messages: DataFrame) -> DataFrame:

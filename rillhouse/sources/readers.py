@@ -17,30 +17,44 @@ def kafka_options(servers: str, topic: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "subscribe": topic, "failOnDataLoss": "false"}
 
 
+def file_order() -> Column:
+    """Place of a row's part of a file: older files first.
+
+    Scans pack large files first, so the row numbers of a scan alone don't follow file age;
+    inside a part they do (streams can't number rows, their micro-batches can).
+    """
+    return F.struct("_metadata.file_modification_time", "_metadata.file_path",
+                    "_metadata.file_block_start")
+
+
 def message_stream(spark: SparkSession, fmt: str, path: str | None = None,
                    options: Mapping[str, str] | None = None, ordered: bool = False) -> DataFrame:
     """Messages as ``key`` and ``value`` texts.
 
     ``kafka`` takes its options from ``kafka_options``; ``text`` reads one message per
     line with a null key; file formats with both columns are read with that schema.
-    ``ordered`` adds a broker message's offset as ``_order``; the messages of one key
-    share a topic partition, so it orders them.
+    ``ordered`` adds ``_order``: a broker message's offset (the messages of one key share a
+    topic partition, so it orders them), or a file row's ``file_order``.
     """
     reader = spark.readStream.format(fmt).options(**dict(options or {}))
-    if fmt == "text":
-        return reader.load(path).select(F.lit(None).cast("string").alias("key"), "value")
-    if fmt != "kafka":
+    if fmt not in ("text", "kafka"):
         reader = reader.schema(MESSAGE)
-    loaded = reader.load(path) if path else reader.load()
-    order = ["offset AS _order"] if ordered else []
-    return loaded.selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value", *order)
+    return _as_messages(reader.load(path) if path else reader.load(), fmt, ordered)
 
 
-def messages(spark: SparkSession, path: str, fmt: str = "text") -> DataFrame:
+def _as_messages(loaded: DataFrame, fmt: str, ordered: bool) -> DataFrame:
+    key = F.lit(None) if fmt == "text" else F.col("key")
+    order = [(F.col("offset") if fmt == "kafka" else file_order()).alias("_order")]
+    return loaded.select(key.cast("string").alias("key"), F.col("value").cast("string").alias("value"),
+                         *(order if ordered else []))
+
+
+def messages(spark: SparkSession, path: str, fmt: str = "text", ordered: bool = False) -> DataFrame:
     """The same messages as a batch."""
-    if fmt == "text":
-        return spark.read.text(path).select(F.lit(None).cast("string").alias("key"), "value")
-    return spark.read.format(fmt).schema(MESSAGE).load(path)
+    reader = spark.read.format(fmt)
+    if fmt != "text":
+        reader = reader.schema(MESSAGE)
+    return _as_messages(reader.load(path), fmt, ordered)
 
 
 def table_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",

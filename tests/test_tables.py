@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillhouse.operators.merge import UPSERT
+from rillhouse.plans.dimension import with_order
 from rillhouse.sources import paths, readers, tables
 
 
@@ -230,3 +231,19 @@ def test_rate_and_console_streams_start(spark, tmp_path):
 def test_broker_options():
     assert readers.kafka_options("h:1", "t") == {
         "kafka.bootstrap.servers": "h:1", "subscribe": "t", "failOnDataLoss": "false"}
+
+
+@pytest.mark.parametrize("streamed", [False, True])
+def test_newer_files_come_later_whatever_their_size(spark, tmp_path, streamed):
+    path = str(tmp_path / "in")
+    spark.createDataFrame([("a1",)], "value string").coalesce(1).write.text(path)
+    newer = [(f"b{i} {'x' * 50}",) for i in range(200)]
+    spark.createDataFrame(newer, "value string").coalesce(1).write.mode("append").text(path)
+    if streamed:
+        seen = []
+        stream = readers.message_stream(spark, "text", path, ordered=True)
+        tables.each_batch(stream, lambda df, n: seen.extend(with_order(df).orderBy("_order").collect()),
+                   str(tmp_path / "c"), available_now=True).awaitTermination()
+    else:
+        seen = with_order(readers.messages(spark, path, ordered=True)).orderBy("_order").collect()
+    assert [r.value for r in seen] == ["a1", *[v for v, in newer]]

@@ -333,6 +333,11 @@ ORACLES: dict[str, str] = {
     SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS user_level,
            'dim_sink_' || (c_custkey % 5) AS sink_table
     FROM customer WHERE {_KEPT('1, 3', ", 'update'")}""",
+    "dimension_sync_files": """
+    SELECT CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS user_level,
+           CASE WHEN c_custkey % 4 <> 0 THEN c_name || ' as the newer file has it' ELSE 'old' END AS name,
+           'dim_sink_' || (c_custkey % 5) AS sink_table
+    FROM customer WHERE c_custkey % 5 IN (1, 3)""",
     "log_valid": f"""
     SELECT CAST(user_id AS VARCHAR) AS mid, CAST(user_id % 2 AS VARCHAR) AS is_new,
            strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS ts

@@ -361,6 +361,25 @@ def dimension_sync_keyed(spark, sf):
     return _all_tables(spark, config, True, lambda meta: place(meta).read(spark))
 
 
+@query
+def dimension_sync_files(spark, sf):
+    """Changes of a short older file and a long newer one in one batch: the newer ones win."""
+    config, root = _configured(spark, sf), paths.scratch(spark, "file-dims")
+    inbox, customers = paths.scratch(spark, "inbox"), I.table(spark, sf, "customer")
+    source = F.concat(F.lit("dim_source_"), (F.col("c_custkey") % 5).cast("string"))
+    longer = F.concat("c_name", F.lit(" as the newer file has it"))
+    for rows, name in ((customers, F.lit("old")), (customers.where("c_custkey % 4 <> 0"), longer)):
+        I.cdc_messages(rows, source, F.lit("insert"), [
+            F.col("c_custkey").cast("string").alias("id"), name.alias("name"),
+            F.col("c_mktsegment").alias("user_level")]).select("value").write.mode("append").text(inbox)
+
+    def place(meta):
+        return tables.KeyedTable(f"{root}/{meta.sink_table}", [meta.row_key], partition=None)
+
+    dimension.sync_keyed_dimensions(readers.messages(spark, inbox, ordered=True), 0, config, place)
+    return _all_tables(spark, config, True, lambda meta: place(meta).read(spark))
+
+
 def _all_tables(spark, config, keyed: bool, read) -> DataFrame:
     parts = [read(meta).withColumn("sink_table", F.lit(meta.sink_table))
              for meta in dimension.configured(config, keyed)]
