@@ -375,6 +375,8 @@ def compact_files(spark: SparkSession, path: str, files_per_partition: int = 1,
     """
     if paths.exists(spark, f"{path}/_spark_metadata"):
         raise ValueError(f"{path} is written by a stream, whose file log names its files")
+    if any(name.startswith("batch=") for name in paths.children(spark, path)):
+        raise ValueError(f"{path} has a folder per micro-batch, which a replay overwrites")
     staged = f"{path.rstrip('/')}_compacting"
     if not paths.is_complete(spark, staged):
         rows = spark.read.parquet(path)

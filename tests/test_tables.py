@@ -247,3 +247,12 @@ def test_newer_files_come_later_whatever_their_size(spark, tmp_path, streamed):
     else:
         seen = with_order(readers.messages(spark, path, ordered=True)).orderBy("_order").collect()
     assert [r.value for r in seen] == ["a1", *[v for v, in newer]]
+
+
+def test_compaction_leaves_batch_folders_alone(spark, tmp_path):
+    path = f"{tmp_path}/fan"
+    for n in range(2):
+        tables.append_batch(frame(spark, [("a", "d1", n)]), path, batch_id=n)
+    with pytest.raises(ValueError, match="micro-batch"):
+        tables.compact_files(spark, path)
+    assert content(spark.read.parquet(path)) == [("a", 0), ("a", 1)]
