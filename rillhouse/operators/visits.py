@@ -35,7 +35,7 @@ def first_of_day(df: DataFrame, key: str | Sequence[str], ts: str, keep: Sequenc
     """
     keys = [key] if isinstance(key, str) else list(key)
     if df.isStreaming:
-        from ..streaming.state import first_of_day_stream
+        from ..live.state import first_of_day_stream
         return first_of_day_stream(df, keys, ts, list(keep), delay, ttl_hours, salts)
     days = df.withColumn(DAY, F.to_date(ts))
     if keep:

@@ -20,7 +20,7 @@ from ..functions.text import tokenize
 from ..functions.types import DimensionMeta
 from ..sources import tables
 from ..sources.readers import MESSAGE, RefreshingSnapshot, table_stream
-from ..streaming.state import accept_and_flag_stream, device_store, flag_batch
+from ..live.state import accept_and_flag_stream, device_store, flag_batch
 from . import dimension, facts, metrics
 
 

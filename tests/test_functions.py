@@ -44,7 +44,7 @@ def test_split_keywords_in_sql(spark):
 
 
 def test_observed_metrics_come_with_the_write(spark):
-    from rillhouse.streaming.run import observed
+    from rillhouse.live.run import observed
     df, watch = observed(spark.range(10), F.count("*").alias("n"), F.max("id").alias("top"))
     df.write.format("noop").mode("overwrite").save()
     assert watch.get == {"n": 10, "top": 9}

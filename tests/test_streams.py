@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from rillhouse.operators.visits import first_of_day
 from rillhouse.operators.windows import windowed_agg
 from rillhouse.plans import metrics
-from rillhouse.streaming.run import drain
-from rillhouse.streaming.state import accept_and_flag_stream, device_store, flag_batch
+from rillhouse.live.run import drain
+from rillhouse.live.state import accept_and_flag_stream, device_store, flag_batch
 
 from test_visits import T0, by_one, device_by_one, visits
 
@@ -124,7 +124,7 @@ def test_rows_behind_the_watermark_are_dropped(spark, tmp_path):
 
 
 def test_combine_before_the_shuffle(spark):
-    from rillhouse.streaming.state import _first_in_each_batch
+    from rillhouse.live.state import _first_in_each_batch
     rows = visits(12, n=5000, keys=("hot",) * 9 + ("a",), days=3)
     df = spark.createDataFrame(rows, SCHEMA).withColumn("visit_date", F.unix_date(F.to_date("ts")))
     fewer = _first_in_each_batch(df, ["k"], "ts", ["kind"], "3 seconds")

@@ -7,7 +7,7 @@ import pytest
 from rillhouse import names as N
 from rillhouse.plans.jobs import Warehouse
 from rillhouse.sources import readers
-from rillhouse.streaming.run import state_partitions
+from rillhouse.live.run import state_partitions
 
 TEXT = [{"name": "id", "type": "string"}, {"name": "name", "type": "string?"}]
 

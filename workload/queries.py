@@ -17,8 +17,8 @@ from rillhouse.operators.windows import windowed_agg
 from rillhouse.plans import dimension, facts, metrics
 from rillhouse.sources import paths, readers, tables
 from rillhouse.session import configure
-from rillhouse.streaming.run import drain_to_scratch, state_partitions
-from rillhouse.streaming.state import accept_and_flag_stream, device_store, flag_batch
+from rillhouse.live.run import drain_to_scratch, state_partitions
+from rillhouse.live.state import accept_and_flag_stream, device_store, flag_batch
 
 from . import inputs as I
 
