@@ -7,6 +7,12 @@ within the format and the same value gets the same pseudonym in every document.
 stay valid: a card number gets the check digit of its new digits, a social security number only
 takes areas, groups and serials that exist, a date is a date between 1900 and 2099.
 
+Card numbers may stand next to other digits: in a run of digit groups, one space or hyphen apart,
+every span of 13 to 19 digits from the start of a group to the end of one is tried. One group, or
+groups as printed on cards, goes before any other span; after that the first in the text, then the
+longest. Where spans that cross are both valid only the one tried first is replaced, and if such a
+span turns valid by the pseudonym of another it is not revealed.
+
 Null text stays null, text without such values stays as it is. Values that fail validation (a
 16-digit number with a wrong check digit, the 31st of February) are not personal data and stay.
 Extra columns and repeated rows are kept. ``reveal=True`` turns pseudonyms back, given the key.
@@ -27,7 +33,10 @@ ADDRESS = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1
 SOCIAL = r"(?<![\d-])(?!000|666|9\d\d)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\d-])"
 DATE = r"(?<![\d-])(?:19|20)\d{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])(?![\d-])"
 PHONE = r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\d-])"
-CARD = r"(?<!\d)(?<!\d[ -])\d(?:[ -]?\d){12,18}(?![ -]?\d)"
+# A whole run of digit groups, up to a group that begins a value of another kind.
+_DOTTED = r"\d{3}(?:\.\d{3}[ .-]|[ -]\d{3}\.)\d{4}(?![\d-])"
+CARD = rf"(?<!\d)\d(?:(?:[ -](?!{EMAIL}|{ADDRESS}|{SOCIAL}|{DATE}|{_DOTTED}))?\d){{12,}}+"
+PRINTED = ("4-4-4-4", "4-6-5", "4-6-4")
 SECRET = (r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
           r"|(?<![A-Za-z])(?i:password|passwd|secret|token|api_?key)\s{0,3}[=:]\s{0,3}\"?[^\s\"]{8,}")
 ANY = "|".join((SECRET, EMAIL, ADDRESS, SOCIAL, DATE, PHONE, CARD))
@@ -106,17 +115,83 @@ def _refill(shape: Column, digits: Column) -> Column:
     return F.aggregate(_letters(shape), start, put, lambda a: a["text"])
 
 
+def _valid(digits: Column) -> Column:
+    return F.element_at(digits, -1) == _luhn_digit(F.slice(digits, 1, F.size(digits) - 1))
+
+
 def _card(value: Column, key: str, reveal: bool) -> Column:
+    """A valid card number; what is no digit stays."""
     def used(digits: Column) -> Column:
         body = F.slice(digits, 1, F.size(digits) - 1)
-        valid = F.element_at(digits, -1) == _luhn_digit(body)
         tens = F.transform(body, lambda x: F.lit(10).cast("long"))
-        made = let(feistel(body, tens, key, "card", reveal),
+        return let(feistel(body, tens, key, "card", reveal),
                    lambda m: _refill(value, F.concat(m, F.array(_luhn_digit(m)))))
-        return F.when(valid, made).otherwise(value)
     return let(_digits(value), used)
 
 
+def _spans(groups: Column) -> Column:
+    """Valid spans of groups as an array of (start, stop, printed), by start and falling length."""
+    n = F.size(groups)
+
+    def at(start: Column) -> Column:
+        def one(stop: Column) -> Column:
+            part = F.slice(groups, start + 1, stop - start)
+            shape = F.array_join(F.transform(part, lambda g: F.length(g).cast("string")), "-")
+            return F.struct(start.alias("start"), stop.alias("stop"),
+                            ((stop - start == 1) | shape.isin(*PRINTED)).alias("printed"),
+                            F.array_join(part, "").alias("digits"))
+        stops = F.sequence(F.least(start + 19, n), start + 1, F.lit(-1))
+        fits = F.filter(F.transform(stops, one), lambda s: F.length(s["digits"]).between(13, 19))
+        return F.filter(fits, lambda s: _valid(_digits(s["digits"])))
+    found = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), at))
+    return F.transform(found, lambda s: F.struct(s["start"], s["stop"], s["printed"]))
+
+
+def _apart(spans: Column) -> Column:
+    """Of spans in order of start, those that begin after the last one taken has ended."""
+    none = F.filter(spans, lambda s: F.lit(False))
+
+    def take(taken: Column, s: Column) -> Column:
+        free = (F.size(taken) == 0) | (F.get(taken, F.size(taken) - 1)["stop"] <= s["start"])
+        return F.when(free, F.concat(taken, F.array(s))).otherwise(taken)
+    return F.aggregate(spans, none, take)
+
+
+def _cards(run: Column, key: str, reveal: bool) -> Column:
+    """A run of digit groups with its card numbers replaced, and the values between them."""
+    between = "|".join((SOCIAL, DATE, PHONE))
+
+    def other(v: Column) -> Column:
+        whole = lambda pattern: v.rlike(f"^(?:{pattern})$")
+        return (F.when(whole(SOCIAL), _social(v, key, reveal)).when(whole(DATE), _date(v, key, reveal))
+                .otherwise(_phone(v, key, reveal)))
+
+    def rest(tokens: Column) -> Column:
+        text = F.array_join(tokens, "")
+        end = F.regexp_extract(text, "[ -]$", 0)   # stands before the next card
+        return F.concat(_replaced(F.regexp_replace(text, "[ -]$", ""), between, other), end)
+
+    def rebuilt(tokens: Column, taken: Column) -> Column:
+        start = F.struct(F.lit("").alias("text"), F.lit(0).alias("at"))
+
+        def put(a: Column, s: Column) -> Column:
+            card = F.array_join(F.slice(tokens, s["start"] + 1, s["stop"] - s["start"]), "")
+            return F.struct(F.concat(a["text"], rest(F.slice(tokens, a["at"] + 1, s["start"] - a["at"])),
+                                     _card(card, key, reveal)).alias("text"), s["stop"].alias("at"))
+        return F.aggregate(taken, start, put, lambda a: F.concat(a["text"], rest(
+            F.slice(tokens, a["at"] + 1, F.size(tokens) - a["at"]))))
+
+    def chosen(spans: Column) -> Column:
+        def both(first: Column) -> Column:
+            clear = F.filter(spans, lambda s: ~F.exists(
+                first, lambda t: (t["start"] < s["stop"]) & (s["start"] < t["stop"])))
+            return F.array_sort(F.concat(first, _apart(clear)))
+        return let(_apart(F.filter(spans, lambda s: s["printed"])), both)
+
+    tokens = F.regexp_extract_all(run, F.lit("[0-9]+[ -]?"), F.lit(0))
+    return let(tokens, lambda t: let(chosen(_spans(F.split(run, "[ -]"))), lambda c: rebuilt(t, c)))
+
+
 def _phone(value: Column, key: str, reveal: bool) -> Column:
     """The country code stays, the last ten digits are permuted."""
     def used(digits: Column) -> Column:
@@ -188,16 +263,20 @@ def pseudonym(value: Column, key: str, reveal: bool = False) -> Column:
             .when(whole(SOCIAL), _social(value, key, reveal))
             .when(whole(DATE), _date(value, key, reveal))
             .when(whole(PHONE), _phone(value, key, reveal))
-            .otherwise(_card(value, key, reveal)))
+            .otherwise(_cards(value, key, reveal)))
+
+
+def _replaced(text: Column, pattern: str, each: Callable[[Column], Column]) -> Column:
+    """The text with what the pattern finds replaced."""
+    between = F.split(text, pattern, -1)
+    made = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), each)
+    return F.concat_ws("", F.zip_with(between, made, lambda a, b: F.concat(
+        a, F.coalesce(b, F.lit("")))))
 
 
 def masked(text: Column, key: str, reveal: bool = False) -> Column:
     """The text with every value replaced."""
-    between = F.split(text, ANY, -1)
-    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    made = F.transform(found, lambda v: pseudonym(v, key, reveal))
-    joined = F.concat_ws("", F.zip_with(between, made, lambda a, b: F.concat(
-        a, F.coalesce(b, F.lit("")))))
+    joined = _replaced(text, ANY, lambda v: pseudonym(v, key, reveal))
     return F.when(text.rlike("[0-9@]"), joined).otherwise(text)
 
 

@@ -128,6 +128,42 @@ def test_pseudonyms(spark):
     assert pii.pseudonymise(none_of(df), "key").count() == 0
 
 
+def spans(text):
+    """Every valid card number from the start of a digit group to the end of one."""
+    for run in re.findall(r"\d+(?:[ -]\d+)*", text):
+        groups = re.split("[ -]", run)
+        for i in range(len(groups)):
+            for j in range(i + 1, len(groups) + 1):
+                digits = "".join(groups[i:j])
+                if 13 <= len(digits) <= 19 and luhn(digits):
+                    yield digits
+
+
+def test_cards_next_to_digits(spark):
+    card, amex = "4111111111111111", "378282246310005"
+    texts = [f"alone {card}.", f"two {card} {card}.", "paid 4111 1111 1111 1111 12/25 and 4111 1111 1111 1111 123.",
+             f"{card} 123 {amex} 1225", "3782 822463 10005 1234-4111-1111-1111-1111", f"no 12 {card}",
+             f"2024-02-29 {card} 10.20.30.40", f"{card} 555 123 4567 {card} 123-45-6789", f"+1 555 123 4567 {card}",
+             f"42 555 123 4567 4111 1111 1111 1111 555.123.4567", f"{card}-{card} 17 a@b.de", "numbers 1 2 3 4",
+             "411 1111 1111 1111 11", f"41111111111111111111111 {card}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    masked = pii.pseudonymise(df, "key")
+    got = [r.text for r in masked.orderBy("doc_id").collect()]
+    new = re.search(r"\d+", got[0])[0]
+    assert luhn(new) and len(new) == 16 and new != card
+    for before, after in zip(texts, got):
+        assert re.sub(r"\d+", "9", re.sub("[a-z]", "a", before)) == re.sub(r"\d+", "9", re.sub("[a-z]", "a", after))
+        assert not set(spans(before)) & set(spans(after))
+        plain = re.sub(r"(?<=\d{4})[ -](?=\d{4})", "", after)
+        assert before.startswith(("no ", "numbers", "411 ")) or card not in re.sub(r"(?<=\d)[ -](?=\d)", "", before) or new in plain
+    for value in ("555 123 4567", "555.123.4567", "123-45-6789", "2024-02-29", "10.20.30.40", "a@b.de"):
+        assert not any(value in t for t in got)
+    assert got[1] == f"two {new} {new}." and got[5] == f"no 12 {new}" and got[11] == texts[11]
+    assert got[2].endswith(" 123.") and " 12/25 " in got[2] and got[13] == f"41111111111111111111111 {new}"
+    back = pii.pseudonymise(masked, "key", reveal=True).orderBy("doc_id").collect()
+    assert [r.text for r in back] == texts
+
+
 @pytest.mark.parametrize("ranges", [[17, 43], [3, 2, 5], [7]])
 def test_feistel_is_a_permutation(spark, ranges):
     n = math.prod(ranges)
