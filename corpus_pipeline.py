@@ -31,9 +31,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines go but for their first place, and documents of nothing else go."""
+    """Boilerplate lines go but for their first place, and documents of nothing else go. A line
+    of fewer than five words is boilerplate from 20 sites on, any other from five."""
     common.prepared(spark)
-    done = lines.drop_boilerplate(docs).where("__kept")
+    done = lines.drop_boilerplate(docs, short_sites=20).where("__kept")
     return _with_size(done.select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 

@@ -195,6 +195,25 @@ def test_lines(spark, docs):
     assert lines.drop_boilerplate(none_of(df)).count() == 0
 
 
+def test_short_and_unspaced_lines(spark):
+    shared, short, unspaced = "this line is on very many sites", "All rights reserved.", "著作権所有無断転載禁止"
+    pads = [("", ""), ("\t", ""), ("", "\r"), (" \u3000", "\u00a0"), ("\x0b", " \t")]
+    rows = [(i, "\n".join(pads[i % 5][0] + t + pads[i % 5][1] for t in (f"own line {i}", shared, short, unspaced)), f"s{i}")
+            for i in range(10)]
+    rows += [(20, f"only four\nrare short line\n\n{short}", "s0"), (21, "only four\nrare short line\n\t\n", "s1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    own = {i: pads[i % 5][0] + f"own line {i}" + pads[i % 5][1] for i in range(10)}
+    by = {r.doc_id: r for r in lines.drop_boilerplate(df, min_sites=5).collect()}
+    assert by[0].text == rows[0][1] and by[20].text == rows[10][1] and by[21].text == rows[11][1]
+    for i in range(1, 10):
+        assert by[i].text == own[i] + "\n" + pads[i % 5][0] + short + pads[i % 5][1]
+    by = {r.doc_id: r for r in lines.drop_boilerplate(df, min_sites=5, short_sites=10).collect()}
+    assert by[0].text == rows[0][1] and all(by[i].text == own[i] for i in range(1, 10))
+    assert by[20].text == "only four\nrare short line\n" and by[21].text == rows[11][1]
+    many = {r.doc_id: r for r in lines.drop_boilerplate(df, min_sites=5, short_sites=11).collect()}
+    assert short in many[9].text and shared not in many[9].text
+
+
 def test_sites(spark, docs):
     data = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")

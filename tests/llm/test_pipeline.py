@@ -66,6 +66,13 @@ def test_stages(spark):
     assert max(filled.values()) <= 1024 and len(filled) <= np.ceil(want / 1024) * 1.1 + 1
 
 
+def test_short_lines_on_many_sites_go(spark):
+    rows = [(i, f"own words {i}\nAll rights reserved.", "en", f"s{i}") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.drop_shared_lines(spark, docs, DATA).collect()}
+    assert got == {i: rows[0][1] if i == 0 else f"own words {i}" for i in range(20)}
+
+
 def test_run_equals_the_stages(spark):
     got = Counter((r.doc_id, r.piece, r.ids_crc32) for r in corpus_pipeline.run(spark, DATA).collect())
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
