@@ -277,7 +277,7 @@ def _replaced(text: Column, pattern: str, each: Callable[[Column], Column]) -> C
 def masked(text: Column, key: str, reveal: bool = False) -> Column:
     """The text with every value replaced."""
     joined = _replaced(text, ANY, lambda v: pseudonym(v, key, reveal))
-    return F.when(text.rlike("[0-9@]"), joined).otherwise(text)
+    return F.when(text.rlike(ANY), joined).otherwise(text)
 
 
 def pseudonymise(docs: DataFrame, key: str, columns: Sequence[str] = ("text",),

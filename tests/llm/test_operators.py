@@ -164,6 +164,14 @@ def test_cards_next_to_digits(spark):
     assert [r.text for r in back] == texts
 
 
+def test_secret_of_letters_only(spark):
+    texts = ["password = correcthorse", "the password = correcthorse and 1 digit", "password of nothing"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r.text for r in pii.pseudonymise(df, "key").collect()]
+    assert "correcthorse" not in "".join(got) and got[2] == texts[2]
+    assert got[0].split()[-1] == got[1].split()[3]
+
+
 @pytest.mark.parametrize("ranges", [[17, 43], [3, 2, 5], [7]])
 def test_feistel_is_a_permutation(spark, ranges):
     n = math.prod(ranges)
