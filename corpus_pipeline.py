@@ -39,18 +39,29 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each group of near duplicates stays; of rows that repeat an id
-    the one with the smallest text. Rows without an id stay."""
+    """The smallest doc_id of each group of near duplicates stays; of rows of one group that
+    repeat it the one with the smallest text. Rows without an id stay."""
     common.prepared(spark)
-    groups = shingle_join.near_duplicates(docs)
-    times, nth = (common.new_name(n, docs.columns) for n in ("times", "nth"))
-    stays = common.written(groups.where("doc_id = component_id").groupBy("doc_id")
-                           .agg(F.count(F.lit(1)).alias(times)), "stays")
+    groups = common.written(shingle_join.near_duplicates(docs, sets=True), "near-duplicates")
+    times, nth, made, sig, n, group = (common.new_name(n, docs.columns) for n in (
+        "times", "nth", "made", "sig", "n", "group"))
+    leads = F.col("doc_id") == F.col("component_id")
+    stays = common.written(groups.where("doc_id IS NOT NULL").groupBy("doc_id")
+                           .agg(F.count(F.lit(1)).alias(times), F.bool_or(leads).alias("leads"))
+                           .where("leads").drop("leads"), "stays")
     kept = common.with_side(docs, stays, "doc_id", "inner", stays.count())
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    order = Window.partitionBy("doc_id").orderBy("text")
-    repeated = (kept.where(F.col(times) > 1).withColumn(nth, F.row_number().over(order))
-                .where(F.col(nth) == 1))
+    # Rows that share an id are told apart by their sets.
+    several = common.written(
+        groups.where(leads).join(stays.where(F.col(times) > 1), "doc_id", "left_semi")
+        .select("doc_id", F.col("sig").alias(sig), F.col("n_shingles").cast("long").alias(n),
+                F.col("component").alias(group)).distinct(), "repeated-ids")
+    told = (kept.where(F.col(times) > 1)
+            .withColumn(made, shingle_join.signatures(F.col("text").cast("string")))
+            .withColumns({sig: F.col(f"{made}.sig"), n: F.col(f"{made}.n")}))
+    order = Window.partitionBy("doc_id", group).orderBy("text")
+    repeated = (common.with_side(told, several, ["doc_id", sig, n], "inner", several.count())
+                .withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1))
     return (kept.where(F.col(times) == 1).select(*columns)
             .unionByName(repeated.select(*columns))
             .unionByName(docs.where("doc_id IS NULL").select(*columns)))

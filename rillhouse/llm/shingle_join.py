@@ -31,9 +31,10 @@ import math
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common, pages
@@ -213,14 +214,27 @@ def set_entries(s: np.ndarray, ordered: np.ndarray, percent: int, boundary: int
     return np.concatenate(keys), np.concatenate(rest)
 
 
+def signatures(text: Column, words: int = 5) -> Column:
+    """struct(sig, n) of a text column, as ``near_duplicates`` has them."""
+    @F.pandas_udf("sig long, n long")
+    def run(column: pd.Series) -> pd.DataFrame:
+        found = [shingles(t if isinstance(t, str) else None, words) for t in column]
+        return pd.DataFrame({"sig": [signature(s) for s in found], "n": [len(s) for s in found]},
+                            dtype="int64")
+    return run(text)
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_column: str = "doc_id",
-                    text_column: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id for every row."""
+                    text_column: str = "text", sets: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row; with ``sets`` also sig, the signature of
+    its set, and component, one number for each group (null for empty sets), which tells groups
+    apart whose smallest ids are the same.
+    """
     spark = docs.sparkSession
     rows = common.texts(docs, id_column, text_column)
     # Four counters a document, between 2**14 and 2**22: at most 16 MB for any corpus.
@@ -409,9 +423,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_colum
     of_set = named.join(groups.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
         "component", F.coalesce("component", "sig"))
     lowest = of_set.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    ids = common.written(of_set.join(lowest, "component").select("sig", "n", "component_id"), "set-ids")
+    ids = common.written(of_set.join(lowest, "component").select(
+        "sig", "n", "component_id", "component"), "set-ids")
     joined = sizes.join(ids, ["sig", "n"], "left")
     return joined.select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id"))
-        .otherwise(F.col("doc_id")).alias("component_id"))
+        .otherwise(F.col("doc_id")).alias("component_id"),
+        *([F.col("sig"), F.when(F.col("n") > 0, F.col("component")).alias("component")] if sets else []))

@@ -73,6 +73,21 @@ def test_short_lines_on_many_sites_go(spark):
     assert got == {i: rows[0][1] if i == 0 else f"own words {i}" for i in range(20)}
 
 
+def test_repeated_ids(spark):
+    first, second, third = (" ".join(f"{w}{i}" for i in range(40)) for w in "xyz")
+    rows = [(5, first), (5, second), (5, second), (9, first), (9, third), (2, third + " more"), (7, ""), (7, None), (8, "ab"),
+            (8, "ab"), (6, first + " end"), (6, first + " fin")]
+    docs = spark.createDataFrame([(*r, "en", "s") for r in rows], "doc_id long, text string, lang string, source string")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs.repartition(3), DATA)
+    assert got.columns == docs.columns
+    found = Counter((r.doc_id, r.text) for r in got.collect())
+    assert found.pop((7, None), 0) + found.pop((7, ""), 0) == 1
+    assert found == Counter([(5, first), (5, second), (2, third + " more"), (8, "ab")])
+    own = spark.createDataFrame([(4, first), (4, second), (3, first + " end")], "doc_id long, text string")
+    own = corpus_pipeline.drop_near_duplicates(spark, own, DATA)
+    assert Counter((r.doc_id, r.text) for r in own.collect()) == Counter([(3, first + " end"), (4, second)])
+
+
 def test_run_equals_the_stages(spark):
     got = Counter((r.doc_id, r.piece, r.ids_crc32) for r in corpus_pipeline.run(spark, DATA).collect())
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
