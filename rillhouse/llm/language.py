@@ -12,6 +12,7 @@ was labelled. Equal scores go to the language first in order. Repeated rows and
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Sequence
 from functools import lru_cache
 
@@ -175,19 +176,33 @@ def held_out(id_column: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def quotas(there: dict[str, int], most: int) -> dict[str, int]:
+    """Windows of each language, about ``most`` in all and at least one."""
+    if sum(there.values()) <= most:
+        return there
+    even = max(1, most // (4 * len(there)))
+    low = {lang: min(n, even) for lang, n in there.items()}
+    left = max(0, most - sum(low.values()))
+    more = sum(there.values()) - sum(low.values())
+    return {lang: low[lang] + left * (n - low[lang]) // max(1, more) for lang, n in there.items()}
+
+
 def fit(labelled: DataFrame, max_windows: int = 12_000, per_text: int = 4) -> tuple:
     """Train on rows of doc_id, text, lang with a language and letters.
 
     The sample is bounded: up to ``per_text`` windows of a text, at places drawn from a hash of
-    its id, and of all these the ``max_windows`` that come first by another hash. How many there
-    are is added up first, so that tasks hand over about that many windows in all.
+    its id, and of these, for each language, as many as it is due that come first by another
+    hash. A quarter of ``max_windows`` is dealt out evenly, so that a rare language is learnt too,
+    the rest by what each has more. How many there are is added up first, so that tasks hand over
+    about that many windows in all.
     """
     known = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                             F.col("lang").cast("string").alias("lang")).where(
         F.col("text").isNotNull() & F.col("lang").isNotNull())
-    there = known.agg(F.sum(F.least(F.ceil(F.octet_length("text") / WINDOW), F.lit(per_text)))
-                      ).first()[0] or 0
-    share = min(1.0, 1.2 * max_windows / max(1, there))
+    windows_of = F.least(F.ceil(F.octet_length("text") / WINDOW), F.lit(per_text))
+    there = {r.lang: int(r.n or 0) for r in known.groupBy("lang").agg(F.sum(windows_of).alias("n")).collect()}
+    due = quotas(there, max_windows)
+    share = {lang: min(1.0, (1.2 * due[lang] + 10) / max(1, n)) for lang, n in there.items()}
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
@@ -199,13 +214,17 @@ def fit(labelled: DataFrame, max_windows: int = 12_000, per_text: int = 4) -> tu
             rng = np.random.default_rng((doc_id or 0) & 0x7FFFFFFFFFFFFFFF)
             for i in rng.permutation(len(all_))[:per_text]:
                 draw = int(rng.integers(1 << 62))
-                if draw <= share * (1 << 62):
+                if draw <= share[lang] * (1 << 62):
                     rows.append((lang, all_[i].tobytes(), draw))
         return pa.RecordBatch.from_arrays(
             [pa.array([r[k] for r in rows], t) for k, t in
              enumerate((pa.string(), pa.binary(), pa.int64()))], ["lang", "bytes", "draw"])
-    sample = (common.arrow_pass(known, "lang string, bytes binary, draw long", each)
-              .orderBy("draw", "bytes", "lang").limit(max_windows).collect())
+    drawn = common.arrow_pass(known, "lang string, bytes binary, draw long", each).collect()
+    taken, sample = Counter(), []
+    for r in sorted(drawn, key=lambda r: (r.draw, bytes(r.bytes), r.lang)):
+        if taken[r.lang] < due[r.lang]:
+            taken[r.lang] += 1
+            sample.append(r)
     languages = sorted({r.lang for r in sample})
     network = Network(languages)
     if sample:
