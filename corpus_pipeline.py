@@ -24,7 +24,6 @@ def _with_size(docs: DataFrame) -> DataFrame:
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any text in a language (``und``) go."""
-    common.prepared(spark)
     found = language.found_name(docs)
     known = language.identify(docs).where(F.col(f"{found}.lang_pred") != language.UNKNOWN)
     return known.select(*[F.col(f"`{c}`") for c in docs.columns])
@@ -33,7 +32,6 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines go but for their first place, and documents of nothing else go. A line
     of fewer than five words is boilerplate from 20 sites on, any other from five."""
-    common.prepared(spark)
     done = lines.drop_boilerplate(docs, short_sites=20).where("__kept")
     return _with_size(done.select(*[F.col(f"`{c}`") for c in docs.columns]))
 
@@ -41,7 +39,6 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of each group of near duplicates stays; of rows of one group that
     repeat it the one with the smallest text. Rows without an id stay."""
-    common.prepared(spark)
     groups = common.written(shingle_join.near_duplicates(docs, sets=True), "near-duplicates")
     times, nth, made, sig, n, group = (common.new_name(n, docs.columns) for n in (
         "times", "nth", "made", "sig", "n", "group"))
@@ -72,7 +69,6 @@ def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    common.prepared(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
@@ -90,7 +86,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``, each written and read again by the next."""
-    docs = common.prepared(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = common.written(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

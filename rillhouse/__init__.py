@@ -1,7 +1,7 @@
-"""Layered streaming-warehouse operators on PySpark.
+"""Layered operators of a live warehouse on PySpark.
 
 Every operator takes and returns a Spark ``DataFrame``; where the semantics
-allow it the same function accepts a batch and a streaming frame.
+allow it the same function accepts a batch and an unbounded one.
 """
 
 __version__ = "0.1.0"

@@ -38,7 +38,7 @@ CDC_DATA: dict[str, str] = {
 LOG_STRUCTS: dict[str, str] = {
     ROOT: (
         "common common_struct, page page_struct?, actions array<action_struct>?, "
-        "displays array<display_struct>?, start start_struct?, err err_struct?, ts long"),
+        "displays array<display_struct>?, start start_struct?, err error_struct?, ts long"),
     "common_struct": (
         "ar string?, ba string?, ch string?, is_new string, md string?, mid string, os string?, "
         "sid string?, uid string?, vc string?"),
@@ -51,7 +51,7 @@ LOG_STRUCTS: dict[str, str] = {
     "start_struct": (
         "entry string?, first_open long?, loading_time long?, open_ad_id long?, "
         "open_ad_ms long?, open_ad_skip_ms long?"),
-    "err_struct": "error_code long?, msg string?",
+    "error_struct": "error_code long?, msg string?",
 }
 
 

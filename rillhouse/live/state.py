@@ -98,30 +98,47 @@ def _visits(df: DataFrame, groups: list[str], ts: str, keep: list[str],
                        *columns, PREVIOUS)
 
 
-def _first_in_each_batch(df: DataFrame, keys: list[str], ts: str, keep: list[str], delay: str
-                         ) -> DataFrame:
-    """Map-side combine: per Arrow batch only the first row of each key and day goes on.
+def _first_in_each_task(df: DataFrame, keys: list[str], ts: str, keep: list[str], delay: str,
+                        most: int = 100_000) -> DataFrame:
+    """Map-side combine: per task only the first row of each key and day goes on.
 
     A later row of the same key and day can never be the first, so nothing is lost,
-    and a key that fills the stream sends one row per batch and day to the shuffle.
-    The newest row of each batch travels along up to the watermark, which therefore
-    advances as it would on the raw rows.
+    and a key that fills the stream sends one row per task and day to the shuffle.
+    First rows are held over all Arrow batches of a task, whatever their size; more
+    than ``most`` of them are sent on and the holding starts anew. The newest row held
+    travels along up to the watermark, which therefore advances as it would on the raw rows.
     """
     groups, order = [*keys, DAY], [(c, "ascending") for c in (ts, *keep)]
 
+    def first_rows(rows: pa.Table) -> tuple[pa.Table, pa.Table]:
+        """The first row of each key and day, and the newest row of all."""
+        rows = rows.take(pc.sort_indices(rows, sort_keys=order, null_placement="at_start"))
+        at = pa.array(np.arange(rows.num_rows))
+        firsts = (rows.select(groups).append_column("_at", at).group_by(groups)
+                  .aggregate([("_at", "min")])["_at_min"])
+        return rows.take(firsts), rows.slice(rows.num_rows - 1)
+
+    def sent(held: pa.Table, newest: pa.Table) -> Iterator[pa.RecordBatch]:
+        out = pa.concat_tables([
+            held.append_column(_BEAT, pa.array(np.zeros(held.num_rows, bool))),
+            newest.append_column(_BEAT, pa.array([True]))])
+        yield from out.combine_chunks().to_batches()
+
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = newest = None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            rows = pa.Table.from_batches([batch])
-            rows = rows.take(pc.sort_indices(rows, sort_keys=order, null_placement="at_start"))
-            at = pa.array(np.arange(rows.num_rows))
-            firsts = (rows.select(groups).append_column("_at", at).group_by(groups)
-                      .aggregate([("_at", "min")])["_at_min"])
-            out = pa.concat_tables([
-                rows.take(firsts).append_column(_BEAT, pa.array(np.zeros(len(firsts), bool))),
-                rows.slice(rows.num_rows - 1).append_column(_BEAT, pa.array([True]))])
-            yield from out.combine_chunks().to_batches()
+            rows, last = first_rows(pa.Table.from_batches([batch]))
+            if held is not None:
+                rows = first_rows(pa.concat_tables([held, rows]))[0]
+                last = first_rows(pa.concat_tables([newest, last]))[1]
+            held, newest = rows, last
+            if held.num_rows > most:
+                yield from sent(held, newest)
+                held = newest = None
+        if held is not None:
+            yield from sent(held, newest)
 
     schema = T.StructType([*df.schema.fields, T.StructField(_BEAT, T.BooleanType())])
     combined = df.mapInArrow(combine, schema).withWatermark(ts, delay)
@@ -131,14 +148,14 @@ def _first_in_each_batch(df: DataFrame, keys: list[str], ts: str, keep: list[str
 
 def first_of_day_stream(df: DataFrame, keys: list[str], ts: str, keep: list[str], delay: str,
                         ttl_hours: int | None, salts: int) -> DataFrame:
-    """Streaming form of ``first_of_day``; the result carries the watermark on ``ts``.
+    """Unbounded form of ``first_of_day``; the result carries the watermark on ``ts``.
 
     With ``salts`` > 1 a first stage keyed by (key, salt) lets through one row per
     salt and day, for keys too busy for one task even after the combine.
     """
     rows = (df.where(F.col(ts).isNotNull())
             .select(*keys, ts, *keep, F.unix_date(F.to_date(ts)).alias(DAY)))
-    rows = _first_in_each_batch(rows, keys, ts, keep, delay)
+    rows = _first_in_each_task(rows, keys, ts, keep, delay)
     if salts > 1:
         salted = rows.withColumn("_salt", F.pmod(F.xxhash64(ts, *keep), F.lit(salts)))
         rows = _visits(salted, [*keys, "_salt"], ts, keep, ttl_hours or 24).drop("_salt", PREVIOUS)
@@ -184,7 +201,7 @@ class DeviceRecord(StatefulProcessor):
 
 def accept_and_flag_stream(df: DataFrame, device: str, ts: str, flag: str = "is_new",
                            late_seconds: int = 5, trust_reported_old: bool = False) -> DataFrame:
-    """Streaming form of ``accept_and_flag`` for rows without an arrival number.
+    """Unbounded form of ``accept_and_flag`` for rows without an arrival number.
 
     The rows of a device count in the order they are delivered and pass through in
     Arrow batches, so a busy device takes time but no memory. Keep the frame narrow

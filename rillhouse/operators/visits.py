@@ -1,7 +1,7 @@
 """Per-key visit logic: first visit of the day, gaps, new-device flag, late rows.
 
 The rules are those of the keyed state machines. For batch frames they are written
-as aggregates; ``first_of_day`` hands streaming frames to the state processor.
+as aggregates; ``first_of_day`` hands unbounded frames to the state processor.
 """
 
 from __future__ import annotations

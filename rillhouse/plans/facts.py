@@ -1,4 +1,4 @@
-"""Fact tables from raw messages. Frames may be batch or streaming."""
+"""Fact tables from raw messages. Frames may be bounded or unbounded."""
 
 from __future__ import annotations
 
@@ -113,6 +113,7 @@ def order_details(messages: DataFrame, database: str | None = None, delay: str =
     return wide.withColumn("date", date_text("create_time"))
 
 
+# The columns a payment takes from its order.
 ORDER_COLUMNS = ["sku_id", "province_id", "activity_id", "activity_rule_id", "coupon_id",
                  "sku_name", "order_price", "sku_num", "split_total_amount",
                  "split_activity_amount", "split_coupon_amount"]

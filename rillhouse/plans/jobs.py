@@ -1,4 +1,4 @@
-"""The warehouse's streaming jobs: each method starts the queries of one job.
+"""The warehouse's running jobs: each method starts the queries of one job.
 
 Paths are ``<root>/<layer>/<table>`` and ``<root>/checkpoints/<layer>/<table>``. The
 two message topics are given as functions that open a stream, so any source with a

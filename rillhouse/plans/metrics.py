@@ -1,4 +1,4 @@
-"""Windowed metric tables from fact tables. Frames may be batch or streaming.
+"""Windowed metric tables from fact tables. Frames may be bounded or unbounded.
 
 Window sizes and watermark delays are parameters; the defaults are the ones the
 warehouse runs with.

@@ -124,10 +124,10 @@ def test_rows_behind_the_watermark_are_dropped(spark, tmp_path):
 
 
 def test_combine_before_the_shuffle(spark):
-    from rillhouse.live.state import _first_in_each_batch
+    from rillhouse.live.state import _first_in_each_task
     rows = visits(12, n=5000, keys=("hot",) * 9 + ("a",), days=3)
     df = spark.createDataFrame(rows, SCHEMA).withColumn("visit_date", F.unix_date(F.to_date("ts")))
-    fewer = _first_in_each_batch(df, ["k"], "ts", ["kind"], "3 seconds")
+    fewer = _first_in_each_task(df, ["k"], "ts", ["kind"], "3 seconds")
     assert fewer.columns == ["k", "ts", "kind", "visit_date"]
     assert fewer.count() <= 4 * 2 * 3          # tasks × keys × days
     again = first_of_day(fewer.drop("visit_date"), "k", "ts", ["kind"])
