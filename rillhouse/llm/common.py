@@ -3,25 +3,26 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources import paths
 
 #: A side of a join is broadcast up to this many rows of a few numbers, and shuffled beyond.
 BROADCAST_ROWS = 500_000
-#: Rows of an Arrow batch: long texts and packed pages make rows of up to some hundred kB.
+#: Rows handled at once: long texts and packed pages make rows of up to some hundred kB.
 BATCH_ROWS = 256
 
 
-def prepared(spark: SparkSession) -> SparkSession:
-    """Settings every operator here relies on."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return spark
+def small(batches: Iterable[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches of a task cut to at most ``rows`` rows each, empty ones left out. How many rows
+    Spark sends at once is the session's setting, which is not for this part to change."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -42,13 +43,12 @@ def with_side(left: DataFrame, side: DataFrame, on: str | Sequence[str], how: st
 def arrow_pass(df: DataFrame, schema: str,
                each: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch | None]
                ) -> DataFrame:
-    """Map Arrow batches one by one; ``each`` gives a batch, or none."""
+    """Map small Arrow batches one by one; ``each`` gives a batch, or none."""
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                made = each(batch)
-                if made is not None and made.num_rows:
-                    yield made
+        for batch in small(batches):
+            made = each(batch)
+            if made is not None and made.num_rows:
+                yield made
     return df.mapInArrow(run, schema)
 
 

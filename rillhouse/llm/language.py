@@ -11,7 +11,6 @@ was labelled. Equal scores go to the language first in order. Repeated rows and
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Sequence
 from functools import lru_cache
@@ -19,6 +18,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +26,7 @@ from . import common
 
 UNKNOWN = "und"
 WINDOW, WIDTHS, FILTERS, VECTOR = 256, (2, 3, 4), 8, 8
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")   # by the letter classes of Unicode
 
 
 def windows(text: str | bytes) -> np.ndarray:
@@ -238,8 +238,13 @@ def predicted(packed: tuple, text: Column) -> Column:
     """struct(lang_pred, score) of a text column, in batches."""
     @F.pandas_udf("lang_pred string, score double")
     def run(column: pd.Series) -> pd.DataFrame:
-        names, scores = tables(packed).predict([t if isinstance(t, str) else None for t in column])
-        return pd.DataFrame({"lang_pred": names, "score": scores})
+        texts, names, scores = [t if isinstance(t, str) else None for t in column], [], []
+        for at in range(0, len(texts), common.BATCH_ROWS):
+            some = tables(packed).predict(texts[at:at + common.BATCH_ROWS])
+            names.extend(some[0])
+            scores.extend(some[1])
+        return pd.DataFrame({"lang_pred": pd.Series(names, dtype=object),
+                             "score": pd.Series(scores, dtype=float)})
     return run(text)
 
 

@@ -91,7 +91,7 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int) -> DataFrame:
         encoder, task = byte_encoder(path), TaskContext.get().partitionId()
         end = np.int32(end_id).tobytes()
         seen = np.zeros(capacity + 1, np.int64)
-        for batch in batches:
+        for batch in common.small(batches):
             out = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(),
                                     batch.column("text").to_pylist()):

@@ -15,6 +15,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import common
+
 
 def kmeans(rows: np.ndarray, k: int, rounds: int = 12, seed: int = 3) -> np.ndarray:
     """Centres of a bounded sample; fewer where it has fewer distinct rows."""
@@ -61,7 +63,7 @@ def paged(rows: DataFrame, keys: list[str], order: list[str], size: int, partiti
             return pa.RecordBatch.from_pylist([made], arrow)
 
         held = 0
-        for batch in batches:
+        for batch in common.small(batches):
             at = 0
             while at < batch.num_rows:
                 first = [kept[0].column(k)[0] if kept else batch.column(k)[at] for k in keys]

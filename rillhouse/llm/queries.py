@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from . import (bpe, language, lines, packing, pii, shingle_join, sites, token_counts, topk,
                vector_dedup)
-from .common import prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,7 +24,7 @@ def query(fn: Query) -> Query:
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return prepared(spark).read.parquet(f"{sf}/{name}.parquet")
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 @query

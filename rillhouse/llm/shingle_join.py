@@ -149,7 +149,7 @@ def _counted(docs: DataFrame, n: int, bits: int) -> DataFrame:
 
     def run(batches):
         counters = np.zeros(1 << bits, np.uint32)
-        for batch in batches:
+        for batch in common.small(batches):
             sets = [shingles(t, n) for t in batch.column("text").to_pylist()]
             if not sets:
                 continue
@@ -177,7 +177,7 @@ def _sketch(parts: DataFrame, bits: int) -> np.ndarray:
     """Sum the slices over the tasks; the result has 2**bits counters whatever the corpus."""
     def run(batches):
         held: dict[int, np.ndarray] = {}
-        for batch in batches:
+        for batch in common.small(batches):
             for k, raw in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist()):
                 part = _unpacked(raw, (1 << bits) // 64)
                 held[k] = held[k] + part if k in held else part
@@ -253,7 +253,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_colum
     def entries(batches):
         known = np.frombuffer(shared.value, np.uint8)
         seen: set[int] = set()
-        for batch in batches:
+        for batch in common.small(batches):
             keys, sigs, ns, rests = [], [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingles(text, words)
@@ -278,7 +278,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_colum
         """Pairs of short lists, and the entries of longer ones; a task holds its part of the
         entries as packed numbers."""
         held = [[], [], [], []]
-        for batch in batches:
+        for batch in common.small(batches):
             for h, c in zip(held, ("key", "sig", "n", "rest")):
                 h.append(batch.column(c).to_numpy())
         if not held[0]:

@@ -150,3 +150,16 @@ def test_packed_counters_come_back():
 
 def test_features_of_nothing():
     assert not sites.features(None).any() and not sites.features("").any()
+
+
+def test_no_query_changes_a_setting(spark):
+    """The rest of the library relies on the session as it is; none of these queries may change it."""
+    from conftest import DATA
+
+    import __spark_entry__ as entry
+    from rillhouse.llm.queries import QUERIES
+    from rillhouse.session import configure
+    before = configure(spark).conf.getAll
+    for name in [*QUERIES, "pipeline"]:
+        entry.queries()[name](spark, DATA)
+        assert spark.conf.getAll == before, name

@@ -26,7 +26,6 @@ ROWS = [(1, "One two three four five six seven eight.", "s1"), (2, None, "s1"),
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    common.prepared(spark)
     made = spark.createDataFrame(ROWS, "doc_id long, text string, source string")
     return made.withColumns({c: F.lit("clash") for c in ("sig", "n", "__gone", "__row", "ids", "label")})
 
