@@ -19,6 +19,34 @@ scored AS (SELECT q.vec_id AS query_id, c.vec_id,
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank
            FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op11_hard_negatives": f"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS e
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND {_VALID}),
+s AS (SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id,
+             CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+      FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+             CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
+                  AS INT) AS rank
+      FROM p JOIN s USING (anchor_id)
+      WHERE NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10""",
+    "op12_chat_format": r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+           UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, length(regexp_replace(text, '([<\[])(\\*/?(?:s>|INST\]|ROLE\]))', '\1\\\2', 'g')) AS n,
+             length(regexp_replace(role, '([<\[])(\\*/?(?:s>|INST\]|ROLE\]))', '\1\\\2', 'g')) AS m FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(n + CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 4 ELSE 17 + m END) AS BIGINT)
+         AS formatted_chars
+FROM e GROUP BY conv_id""",
     "op4_vector_dedup": f"""
 WITH RECURSIVE v AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings

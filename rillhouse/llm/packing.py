@@ -63,6 +63,10 @@ class ByteEncoder:
         head, *rest = text.split(" ")
         return self.first[head] + b"".join(map(self.units.__getitem__, rest))
 
+    def plain(self, text: str) -> bytes:
+        """Packed ids of a text in which special strings are text as any other."""
+        return self._plain(text) if text else b""
+
     def encode(self, text: str | None) -> bytes:
         """Ids as packed little-endian 32-bit numbers."""
         if not text:

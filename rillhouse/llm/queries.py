@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, language, lines, packing, pii, shingle_join, sites, token_counts, topk,
-               vector_dedup)
+from . import (alignment, bpe, chat, hard_negatives, language, lines, packing, pii, shingle_join,
+               sites, token_counts, topk, vector_dedup)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,3 +89,30 @@ def op9_language(spark, sf):
 def op10_token_counts(spark, sf):
     return token_counts.count_tokens(table(spark, sf, "documents"),
                                      public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+@query
+def op11_hard_negatives(spark, sf):
+    """Labels of the rows divisible by seven are moved on by one before anything else."""
+    table_ = table(spark, sf, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table_, F.col("vec_id") % 100 == 0, label)
+
+
+@query
+def op12_chat_format(spark, sf):
+    """All conversations and one more, number -7, whose texts look like the template's marks."""
+    asked = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"))
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.format_log(chat.as_events(rows.unionByName(asked))))
+
+
+@query
+def op13_token_alignment(spark, sf):
+    done = alignment.align(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.coalesce(F.sha2(F.col("groups"), 256), F.lit(""))
+    return done.withColumn("groups_sha256", digest).drop("groups")
