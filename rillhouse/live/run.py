@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from ..session import configure
 from ..sources import paths, tables
@@ -48,6 +49,35 @@ def await_any(spark: SparkSession) -> None:
     spark.streams.awaitAnyTermination()
 
 
+def observed_totals(query: StreamingQuery, name: str) -> dict[str, int]:
+    """Sums of the metrics a stream's ``observe(name, …)`` gathered, over its progress reports
+    (Spark keeps the newest hundred; sum them as they come for a stream that runs on)."""
+    totals: dict[str, int] = {}
+    for report in query.recentProgress:
+        row = (report.observedMetrics or {}).get(name)
+        for metric, value in (row.asDict() if row is not None else {}).items():
+            totals[metric] = totals.get(metric, 0) + (value or 0)
+    return totals
+
+
+def state_rows(spark: SparkSession, checkpoint: str, operator: str, variable: str | None = None
+               ) -> DataFrame:
+    """What a stopped stream holds as state, as a table of ``key`` and ``value``.
+
+    ``operator`` is the beginning of the stateful operator's name, of which there must be one;
+    ``variable`` names the state variable of a processor.
+    """
+    known = spark.read.format("state-metadata").load(checkpoint)
+    found = {r.operatorId for r in known.select("operatorId", "operatorName").distinct().collect()
+             if r.operatorName.lower().startswith(operator.lower())}
+    if len(found) != 1:
+        raise LookupError(f"{len(found)} operators of {checkpoint} begin with {operator!r}")
+    reader = spark.read.format("statestore").option("operatorId", found.pop())
+    if variable:
+        reader = reader.option("stateVarName", variable)
+    return reader.load(checkpoint)
+
+
 def observed(df: DataFrame, *metrics: Column, name: str = "observed") -> tuple[DataFrame, Observation]:
     """The batch frame, and metrics gathered while it is written (no extra pass).
 

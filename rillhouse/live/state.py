@@ -230,12 +230,14 @@ def flag_batch(batch: DataFrame, batch_id: int, store: KeyedTable, ts: str, arri
     carried = store.read_for(batch, device, before=batch_id)
     accepted = accept_and_flag(batch, device, ts, arrival, flag, late_seconds, trust_reported_old,
                                carried=carried)
-    store.put(device_records(batch, device, ts, arrival, flag, trust_reported_old, carried), batch_id)
+    records = device_records(batch, device, ts, arrival, flag, trust_reported_old, carried)
+    if not batch.isEmpty():
+        store.put(records, batch_id)
     return accepted
 
 
-def device_store(path: str, device: str, kind: T.DataType) -> KeyedTable:
+def device_store(path: str, device: str, kind: T.DataType, buckets: int = 16) -> KeyedTable:
     """The table ``flag_batch`` keeps its records in."""
-    return KeyedTable(path, [device], partition=None, schema=T.StructType([
+    return KeyedTable(path, [device], partition=None, buckets=buckets, schema=T.StructType([
         T.StructField(device, kind), T.StructField(FIRST_DATE, T.DateType()),
         T.StructField(NEWEST, T.LongType())]))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -54,7 +54,8 @@ def _narrow(right: Interval, suffix: str, width: int, slots: bool) -> tuple[Data
 
 
 def chain_interval_joins(left: DataFrame, key: str | Sequence[str], ts: str,
-                         rights: Sequence[Interval], split_hot_keys: bool = True) -> DataFrame:
+                         rights: Sequence[Interval], split_hot_keys: bool = True,
+                         slot_seconds: int | None = None) -> DataFrame:
     """Join ``left`` with each right side in turn, every time on its own key and time.
 
     ``key`` is the left key, one for all steps or one per step. With
@@ -65,11 +66,15 @@ def chain_interval_joins(left: DataFrame, key: str | Sequence[str], ts: str,
     task compares all pairs of a key. The left slot is computed once, so steps
     that share the key also share the shuffle.
 
+    Where one key has very many rows within one interval, give narrower slots
+    (``slot_seconds``): a right row is then repeated into all slots it reaches, about
+    interval / slot of them, and the left rows of the key spread over as many tasks.
+
     As streams, all sides need watermarks. The right time is dropped after each
     step, because a stream may carry only one event-time column onward.
     """
     keys = [key] * len(rights) if isinstance(key, str) else list(key)
-    width = max(r.width for r in rights)
+    width = slot_seconds or max(r.width for r in rights)
     out_columns = list(left.columns)
     current = left.withColumn(_SLOT, _slot_of(F.col(ts), width)) if split_hot_keys else left
     for at, (left_key, right) in enumerate(zip(keys, rights, strict=True)):
@@ -90,10 +95,11 @@ def chain_interval_joins(left: DataFrame, key: str | Sequence[str], ts: str,
 
 def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                   left_ts: str, right_ts: str, lower: int, upper: int, how: str = "inner",
-                  keep: Sequence[str] | None = None, split_hot_keys: bool = True) -> DataFrame:
+                  keep: Sequence[str] | None = None, split_hot_keys: bool = True,
+                  slot_seconds: int | None = None) -> DataFrame:
     """Equal keys and left time within ``[right time + lower, right time + upper]`` seconds."""
     side = Interval(right, right_key, right_ts, lower, upper, how, keep)
-    return chain_interval_joins(left, left_key, left_ts, [side], split_hot_keys)
+    return chain_interval_joins(left, left_key, left_ts, [side], split_hot_keys, slot_seconds)
 
 
 def dictionary_entries(dictionary: DataFrame, parent: str | int) -> DataFrame:
@@ -132,9 +138,12 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, take: Mapping[
 
 @dataclass(frozen=True)
 class Hop:
-    """One step of a snowflake lookup; ``key`` may come from an earlier step."""
+    """One step of a snowflake lookup; ``key`` may come from an earlier step.
+
+    ``dim`` is the dimension, or is called with the rows found so far and reads it for them.
+    """
 
-    dim: DataFrame
+    dim: DataFrame | Callable[[DataFrame], DataFrame]
     key: str
     dim_key: str
     take: Mapping[str, str]
@@ -143,5 +152,6 @@ class Hop:
 def snowflake_lookup(df: DataFrame, hops: Sequence[Hop]) -> DataFrame:
     """Follow several dimensions one after the other."""
     for hop in hops:
-        df = lookup(df, hop.dim, hop.key, hop.dim_key, hop.take)
+        dim = hop.dim(df) if callable(hop.dim) else hop.dim
+        df = lookup(df, dim, hop.key, hop.dim_key, hop.take)
     return df

@@ -72,7 +72,19 @@ def fold_changes(changes: DataFrame, key: str, order_by: Sequence[str], op: str,
 
 def apply_changes(target: DataFrame, changes: DataFrame, key: str, order_by: Sequence[str],
                   op: str = "type", policy: Policy = STRICT) -> DataFrame:
-    """The target table after the changes; ``target`` must hold each key once.
+    """The target table after the changes; ``target`` must hold each key once."""
+    folded = fold_changes(typed_as(target, changes), key, order_by, op, policy, target.columns)
+    return apply_folded(target, folded, key)
+
+
+def typed_as(target: DataFrame, changes: DataFrame) -> DataFrame:
+    """The changes with the target's column types."""
+    return changes.withColumns({c: F.col(c).cast(target.schema[c].dataType) for c in target.columns})
+
+
+def apply_folded(target: DataFrame, folded: DataFrame, key: str) -> DataFrame:
+    """The target after changes that ``fold_changes`` folded; hold them (``persist``) if they are
+    costly, as they are met three times here.
 
     The target side is joined twice from the left, once whole and once by key
     only, instead of with a full outer join: the folded changes are the small
@@ -81,8 +93,7 @@ def apply_changes(target: DataFrame, changes: DataFrame, key: str, order_by: Seq
     sort-merge joins on the unique key.
     """
     columns = target.columns
-    changes = changes.withColumns({c: F.col(c).cast(target.schema[c].dataType) for c in columns})
-    folded = fold_changes(changes, key, order_by, op, policy, columns).withColumnRenamed(key, "_k")
+    folded = folded.withColumnRenamed(key, "_k")
     touched = F.col("_k").isNotNull()
     joined = target.join(folded, F.col(key) == F.col("_k"), "left")
     # After a cut the old row is gone, so only a created row may stand.

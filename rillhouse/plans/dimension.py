@@ -55,7 +55,8 @@ def config_table(path: str) -> MergedTable:
 
 def sync_config(messages: DataFrame, batch_id: int, table: MergedTable,
                 database: str | None = None) -> None:
-    """Merge one micro-batch of configuration changes."""
+    """Merge one micro-batch of configuration changes; the table is made if it is absent."""
+    table.create_if_absent(messages.sparkSession)
     with cached(config_changes(messages, database)) as changes:
         if not changes.isEmpty():
             table.merge(changes, batch_id, "id", ["time", ORDER], policy=UPSERT)
@@ -102,9 +103,12 @@ def _each_changed(changes: DataFrame, config: DataFrame, keyed_store: bool,
 
 def sync_dimensions(messages: DataFrame, batch_id: int, config: DataFrame,
                     table: Callable[[DimensionMeta], MergedTable], parallel: int = 4) -> list[str]:
-    """Merge one micro-batch into the merged dimension tables; returns the tables touched."""
+    """Merge one micro-batch into the merged dimension tables, which are made where they are
+    absent; returns the tables touched."""
     def merge(meta: DimensionMeta, rows: DataFrame) -> None:
-        table(meta).merge(rows, batch_id, meta.row_key, [ORDER], "_type_", STRICT)
+        store = table(meta)
+        store.create_if_absent(rows.sparkSession)
+        store.merge(rows, batch_id, meta.row_key, [ORDER], "_type_", STRICT)
 
     with cached(dimension_changes(messages, config.where(F.col("to_hbase") == 0))) as changes:
         return _each_changed(changes, config, False, merge, parallel)

@@ -38,6 +38,14 @@ def split_log(messages: DataFrame, *extra: str) -> tuple[DataFrame, DataFrame]:
             bad.select("value", F.date_format(F.current_date(), "yyyy-MM-dd").alias("date")))
 
 
+def classified_log(messages: DataFrame, *extra: str) -> DataFrame:
+    """Every line with ``valid``, which tells whether ``split_log`` accepts it; for counting both
+    kinds in one pass (``observe``) and for writing them apart by that column."""
+    parsed = cdc.parse_once(messages, {"log": F.from_json("value", _HEAD)}, "value", *extra)
+    valid = F.col("log.ts").isNotNull() & F.col("log.common.mid").isNotNull()
+    return parsed.select("value", F.coalesce(valid, F.lit(False)).alias("valid"), *extra)
+
+
 def open_log(accepted: DataFrame, corrected: bool = True) -> DataFrame:
     """Parse accepted lines again in full; the device flag goes into ``common``.
 
@@ -93,11 +101,12 @@ LOG_TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
 # --- orders and payments -------------------------------------------------------------------
 
 def order_details(messages: DataFrame, database: str | None = None, delay: str = "1 minute",
-                  around: int = 10) -> DataFrame:
+                  around: int = 10, slot_seconds: int | None = None) -> DataFrame:
     """Order lines with their order, activity and coupon, each within ``around`` seconds.
 
     The activity and coupon messages name only the order, so an order with several
-    lines and several of these yields every combination.
+    lines and several of these yields every combination. Narrow ``slot_seconds`` spread a
+    very busy key over more tasks.
     """
     def rows(table: str) -> DataFrame:
         frame = cdc.table_rows(messages, table, cdc_data_schema(table), database=database)
@@ -109,7 +118,7 @@ def order_details(messages: DataFrame, database: str | None = None, delay: str =
     wide = chain_interval_joins(rows("order_detail"), "order_id", "create_time", [
         near("order_info", "id", "inner", ["province_id"]),
         near("order_detail_activity", "order_id", "left", ["activity_id", "activity_rule_id"]),
-        near("order_detail_coupon", "order_id", "left", ["coupon_id"])])
+        near("order_detail_coupon", "order_id", "left", ["coupon_id"])], slot_seconds=slot_seconds)
     return wide.withColumn("date", date_text("create_time"))
 
 
@@ -128,7 +137,7 @@ def paid(messages: DataFrame, database: str | None = None) -> DataFrame:
 
 
 def payments_with_orders(payments: DataFrame, orders: DataFrame, delay: str = "1 minute",
-                         within: int = 15 * 60) -> DataFrame:
+                         within: int = 15 * 60, slot_seconds: int | None = None) -> DataFrame:
     """Payments with the lines of the order paid at most ``within`` seconds after it was placed.
 
     One row per order line, each repeating the paid amount; both sides carry a
@@ -138,7 +147,7 @@ def payments_with_orders(payments: DataFrame, orders: DataFrame, delay: str = "1
         payments = payments.withWatermark("payment_time", delay)
         orders = orders.withWatermark("create_time", delay)
     joined = interval_join(payments, orders, "order_id", "order_id", "payment_time", "create_time",
-                           0, within, "left", keep=ORDER_COLUMNS)
+                           0, within, "left", keep=ORDER_COLUMNS, slot_seconds=slot_seconds)
     return joined.drop("id")
 
 

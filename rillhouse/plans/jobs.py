@@ -18,8 +18,9 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import names as N
 from ..functions.text import tokenize
 from ..functions.types import DimensionMeta
-from ..sources import tables
-from ..sources.readers import MESSAGE, RefreshingSnapshot, table_stream
+from ..sources import paths, tables
+from ..sources.readers import MESSAGE, VersionedSnapshot, table_stream
+from ..live import daily
 from ..live.state import accept_and_flag_stream, device_store, flag_batch
 from . import dimension, facts, metrics
 
@@ -28,8 +29,9 @@ from . import dimension, facts, metrics
 class Warehouse:
     """Where the warehouse lives and how its streams run.
 
-    ``dimension_minutes`` bounds the age of the cached dimension frames the metric
-    jobs look names up in. ``available_now`` stops each query at the end of its input.
+    Dimension frames are cached and loaded anew when the stored dimension has changed, so a
+    new name shows in the next micro-batch. ``available_now`` stops each query at the end of
+    its input.
     """
 
     spark: SparkSession
@@ -41,8 +43,8 @@ class Warehouse:
     trigger: str | None = None
     max_files: int | None = 5
     compact_every: int = 100
-    dimension_minutes: float = 10
-    _dims: dict[str, RefreshingSnapshot] = field(default_factory=dict)
+    buckets: int = 16
+    _dims: dict[str, VersionedSnapshot] = field(default_factory=dict)
 
     # --- places ----------------------------------------------------------------------------
 
@@ -56,12 +58,13 @@ class Warehouse:
         return dimension.config_table(self.path(N.DIM, N.CONFIG_TABLE))
 
     def merged(self, meta: DimensionMeta) -> tables.MergedTable:
-        return tables.MergedTable(self.path(N.DIM, meta.sink_table), meta.schema, meta.partition_by)
+        return tables.MergedTable(self.path(N.DIM, meta.sink_table), meta.schema, meta.partition_by,
+                                  self.buckets)
 
     def keyed(self, meta: DimensionMeta) -> tables.KeyedTable:
         texts = T.StructType([T.StructField(c, T.StringType()) for c in meta.schema.fieldNames()])
         return tables.KeyedTable(self.path(N.DIM, meta.sink_table), [meta.row_key],
-                                 partition=None, schema=texts)
+                                 partition=None, schema=texts, buckets=self.buckets)
 
     def metric(self, table: str) -> tables.KeyedTable:
         return tables.KeyedTable(self.path(N.DWS, table), N.METRIC_KEYS[table])
@@ -73,28 +76,32 @@ class Warehouse:
                 return meta
         raise LookupError(f"no configuration row has the sink table {table!r}")
 
+    def _stored(self, meta: DimensionMeta) -> tables.KeyedTable | tables.MergedTable:
+        return self.keyed(meta) if meta.keyed_store else self.merged(meta)
+
     def read_dimension(self, table: str) -> DataFrame:
         """A dimension as its configuration row stores it."""
-        meta = self._meta(table)
-        return (self.keyed(meta) if meta.keyed_store else self.merged(meta)).read(self.spark)
+        return self._stored(self._meta(table)).read(self.spark)
 
     def dimension_for(self, table: str, rows: DataFrame, on: str) -> DataFrame:
         """Only the dimension rows that ``rows`` ask for, read now; for very large dimensions."""
         meta = self._meta(table)
         if meta.keyed_store:
             return self.keyed(meta).read_for(rows, on)
-        return self.merged(meta).read(self.spark)
+        return self.merged(meta).read_for(rows, on, meta.row_key)
 
     def dimension(self, table: str) -> DataFrame:
-        """Cached dimension, re-read when it is older than ``dimension_minutes``."""
+        """Cached dimension, loaded anew when a newer batch of it or of its configuration is stored."""
         if table not in self._dims:
-            self._dims[table] = RefreshingSnapshot(lambda: self.read_dimension(table),
-                                                   self.dimension_minutes)
+            self._dims[table] = VersionedSnapshot(
+                lambda: self.read_dimension(table),
+                lambda: (self.config().version(self.spark),
+                         self._stored(self._meta(table)).version(self.spark)))
         return self._dims[table].get()
 
     def _append(self, df: DataFrame, table: str) -> StreamingQuery:
-        return tables.append_stream(df, self.path(N.DWD, table), self.checkpoint(N.DWD, table),
-                                    available_now=self.available_now, trigger=self.trigger)
+        return tables.append_batches(df, self.path(N.DWD, table), self.checkpoint(N.DWD, table),
+                                     available_now=self.available_now, trigger=self.trigger)
 
     def _each(self, df: DataFrame, layer: str, name: str,
               fn: Callable[[DataFrame, int], object]) -> StreamingQuery:
@@ -117,12 +124,19 @@ class Warehouse:
     def _no_messages(self) -> DataFrame:
         return self.spark.createDataFrame([], MESSAGE)
 
-    def _facts(self, table: str, schema: T.StructType, labelled: bool = False) -> DataFrame:
-        """A fact table as a stream; ``labelled`` ones are written per micro-batch."""
-        if labelled:
-            schema = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    def _facts(self, table: str, schema: T.StructType) -> DataFrame:
+        """A fact table as a stream; each is written in a folder per micro-batch."""
+        schema = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
         return table_stream(self.spark, self.path(N.DWD, table), schema, max_files=self.max_files)
 
+    def compact_facts(self, settled_minutes: float = 60) -> dict[str, int]:
+        """Join the small files of every fact table; how many files went into larger ones."""
+        return {name: tables.compact_files(self.spark, self.path(N.DWD, name),
+                                           settled_minutes=settled_minutes)
+                for name in (*facts.LOG_TABLES, N.LOG_INVALID, N.DWD_ORDER_DETAIL, N.DWD_PAYMENT,
+                             N.DWD_CART, N.DWD_COMMENT, N.DWD_USER)
+                if paths.exists(self.spark, self.path(N.DWD, name))}
+
     # --- dimensions ------------------------------------------------------------------------
 
     def config_sync(self) -> StreamingQuery:
@@ -208,10 +222,45 @@ class Warehouse:
 
     # --- metrics ---------------------------------------------------------------------------
 
+    def _by_table(self, rows: DataFrame, name: str, keys: Sequence[str], columns: str,
+                  step: Callable[[DataFrame, int, tables.KeyedTable], DataFrame],
+                  windows: Callable[[DataFrame], DataFrame], table: str) -> list[StreamingQuery]:
+        """Two streams: increments with the keys' last days kept in a table, then windows over them.
+
+        Where streams stop at the end of their input, the first is awaited before the second begins.
+        """
+        store = daily.visit_store(self.path(N.DWS, f"{name}_days"), dict.fromkeys(keys, T.StringType()),
+                                  self.buckets)
+        path = self.path(N.DWS, f"{name}_increments")
+        first = daily.increments_stream(rows, lambda batch, n: step(batch, n, store), path,
+                                        self.checkpoint(N.DWS, f"{name}_increments"),
+                                        self.available_now, self.trigger)
+        if self.available_now:
+            first.awaitTermination()
+        made = table_stream(self.spark, path, T.StructType.fromDDL(columns + ", batch bigint"),
+                            max_files=self.max_files)
+        return [first, self._put(windows(made.drop("batch")), table)]
+
+    def page_views_by_table(self) -> list[StreamingQuery]:
+        """``page_views`` without a state store or Python; for streams with very many devices."""
+        return self._by_table(self.pages(), "page_views", ["mid"], metrics.PAGE_VIEW_INCREMENTS,
+                              metrics.page_view_increments, metrics.page_view_windows,
+                              "dws_traffic_page_view_count")
+
+    def home_detail_by_table(self) -> list[StreamingQuery]:
+        return self._by_table(self.pages(), "home_detail", ["page_id", "mid"],
+                              metrics.HOME_DETAIL_INCREMENTS, metrics.home_detail_increments,
+                              metrics.home_detail_windows, "dws_traffic_home_detailPage_view_count")
+
+    def cart_add_by_table(self) -> list[StreamingQuery]:
+        carts = self._facts(N.DWD_CART, facts.cart_adds(self._no_messages()).schema)
+        return self._by_table(carts, "cart_add", ["user_id"], metrics.CART_ADD_INCREMENTS,
+                              metrics.cart_add_increments, metrics.cart_add_windows, "dws_trade_cart_add")
+
     def pages(self) -> DataFrame:
         empty = self.spark.createDataFrame([], "value string, is_new string, ts timestamp")
         schema = facts.log_pages(facts.open_log(empty)).schema
-        return self._facts(N.LOG_PAGE, schema, labelled=True)
+        return self._facts(N.LOG_PAGE, schema)
 
     def search_keywords(self, split: Callable[[str | Column], Column] = tokenize) -> StreamingQuery:
         return self._put(metrics.search_keywords(self.pages(), split=split),
@@ -238,14 +287,16 @@ class Warehouse:
 
     def payment_users(self, salts: int = 8) -> StreamingQuery:
         columns = "user_id string, payment_time timestamp, date string"
-        paid = self._facts(N.DWD_PAYMENT, T.StructType.fromDDL(columns), labelled=True)
+        paid = self._facts(N.DWD_PAYMENT, T.StructType.fromDDL(columns))
         return self._put(metrics.payment_users(paid, salts=salts), "dws_trade_payment_suc")
 
-    def sku_orders(self, dims: Sequence[str] = tuple(t for t, _, _ in metrics.SKU_HOPS)
-                   ) -> StreamingQuery:
+    def sku_orders(self, cached: bool = True) -> StreamingQuery:
+        """Names from cached dimensions, or (``cached=False``, for very large ones) from the rows
+        that the closed windows ask for, hop by hop."""
         details = self._facts(N.DWD_ORDER_DETAIL, self.order_schema())
-        return self._put(metrics.sku_orders(details), "dws_trade_sku_order", lambda closed: (
-            metrics.name_sku_orders(closed, {t: self.dimension(t) for t in dims})))
+        read = (lambda table, rows, on: self.dimension(table)) if cached else self.dimension_for
+        return self._put(metrics.sku_orders(details), "dws_trade_sku_order",
+                         lambda closed: metrics.name_sku_orders(closed, read))
 
     def province_orders(self) -> StreamingQuery:
         details = self._facts(N.DWD_ORDER_DETAIL, self.order_schema())

@@ -7,6 +7,7 @@ warehouse runs with.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,12 +15,20 @@ from pyspark.sql import functions as F
 from .. import names as N
 from ..functions.dates import number, parse_ts
 from ..functions.text import explode_words, tokenize
+from ..live import daily
 from ..operators.joins import Hop, lookup, snowflake_lookup
 from ..operators.visits import first_ever, first_of_day, returned_after
 from ..operators.windows import union_flagged, windowed_agg
+from ..sources.tables import KeyedTable
 
 PAGE_KEYS = ("ar", "ch", "vc", "is_new")
 
+# Stored columns of the increments.
+PAGE_VIEW_INCREMENTS = ", ".join(f"{k} string" for k in PAGE_KEYS) + (
+    ", ts timestamp, pvCt bigint, svCt bigint, durSum double, uvCt bigint")
+HOME_DETAIL_INCREMENTS = "ts timestamp, homeUvCt bigint, goodDetailUvCt bigint"
+CART_ADD_INCREMENTS = "create_time timestamp, cartAddUuCt bigint"
+
 
 def _sum(column: str, kind: str = "bigint") -> Column:
     return F.sum(column).cast(kind).alias(column)
@@ -59,6 +68,63 @@ def page_views(pages: DataFrame, size: str = "10 seconds", delay: str = "3 secon
         [_sum("pvCt"), _sum("uvCt"), _sum("svCt"), F.sum("durSum").alias("durSum")], keys)
 
 
+def page_view_increments(batch: DataFrame, batch_id: int, store: KeyedTable,
+                         keys: Sequence[str] = PAGE_KEYS) -> DataFrame:
+    """What one micro-batch adds to ``page_views``; visitors go on from the store's days."""
+    (device,) = store.keys
+    keys = list(keys)
+    rows = batch.select(device, *keys, "ts", "last_page_id", "during_time").where(F.col("ts").isNotNull())
+    views = rows.select(*keys, "ts", F.lit(1).alias("pvCt"),
+                        F.col("last_page_id").isNull().cast("int").alias("svCt"),
+                        number("during_time").alias("durSum"))
+    first = daily.first_of_day_batch(rows, batch_id, store, "ts", keys)
+    visitors = first.select(*keys, "ts", F.lit(1).alias("uvCt"), F.lit(None).cast("double").alias("durSum"))
+    return daily.increments([views, visitors], keys, "ts")
+
+
+def page_view_windows(increments: DataFrame, size: str = "10 seconds", delay: str = "3 seconds",
+                      keys: Sequence[str] = PAGE_KEYS) -> DataFrame:
+    """Windows over ``page_view_increments``: the same rows as ``page_views``."""
+    return windowed_agg(increments, "ts", size, [
+        _sum("pvCt"), _sum("uvCt"), _sum("svCt"), F.sum("durSum").alias("durSum")], list(keys), delay=delay)
+
+
+def home_detail_increments(batch: DataFrame, batch_id: int, store: KeyedTable, home: str = "home",
+                           detail: str = "good_detail") -> DataFrame:
+    """What one micro-batch adds to ``home_detail_visitors``; the store's keys are (page, device)."""
+    page, device = store.keys
+    seen = batch.select(page, device, "ts").where(F.col(page).isin(home, detail))
+    first = daily.first_of_day_batch(seen, batch_id, store, "ts")
+    flagged = first.select("ts", (F.col(page) == home).cast("int").alias("homeUvCt"),
+                           (F.col(page) == detail).cast("int").alias("goodDetailUvCt"))
+    return daily.increments([flagged, daily.beat(seen, "ts")], [], "ts")
+
+
+def home_detail_windows(increments: DataFrame, size: str = "10 seconds", delay: str = "3 seconds"
+                        ) -> DataFrame:
+    return _counted(windowed_agg(increments, "ts", size, [_sum("homeUvCt"), _sum("goodDetailUvCt")],
+                                 delay=delay), "homeUvCt", "goodDetailUvCt")
+
+
+def cart_add_increments(batch: DataFrame, batch_id: int, store: KeyedTable) -> DataFrame:
+    """What one micro-batch adds to ``cart_add_users``."""
+    rows = batch.select("user_id", parse_ts("create_time").alias("create_time")).na.drop()
+    first = daily.first_of_day_batch(rows, batch_id, store, "create_time")
+    return daily.increments([first.select("create_time", F.lit(1).alias("cartAddUuCt")),
+                             daily.beat(rows, "create_time")], [], "create_time")
+
+
+def cart_add_windows(increments: DataFrame, size: str = "10 seconds", delay: str = "5 seconds"
+                     ) -> DataFrame:
+    return _counted(windowed_agg(increments, "create_time", size, [_sum("cartAddUuCt")], delay=delay),
+                    "cartAddUuCt")
+
+
+def _counted(windows: DataFrame, *counts: str) -> DataFrame:
+    """Windows with something in them; beats alone make none."""
+    return windows.where(F.greatest(*[F.col(c) for c in (*counts, counts[0])]) > 0)
+
+
 def home_detail_visitors(pages: DataFrame, size: str = "10 seconds", delay: str = "3 seconds",
                          home: str = "home", detail: str = "good_detail", device: str = "mid",
                          page: str = "page_id", salts: int = 1) -> DataFrame:
@@ -139,13 +205,19 @@ SKU_HOPS = (
 )
 
 
-def name_sku_orders(metrics: DataFrame, dims: dict[str, DataFrame], key: str = "id") -> DataFrame:
+def name_sku_orders(metrics: DataFrame, dims: dict[str, DataFrame] | Callable[..., DataFrame],
+                    key: str = "id") -> DataFrame:
     """Names along item → product, categories 3 → 2 → 1, trademark.
 
+    ``dims`` holds the dimensions, or reads one: called with its name, the rows named so far
+    and the column that holds its key, so that only the rows asked for need be read.
+
     Runs on closed windows, after the aggregation, so the lookups see one row per
     item and window instead of one per order line.
     """
-    named = snowflake_lookup(metrics, [Hop(dims[t], on, key, take) for t, on, take in SKU_HOPS])
+    read = dims if callable(dims) else lambda table, rows, on: dims[table]
+    named = snowflake_lookup(metrics, [Hop(partial(read, t, on=on), on, key, take)
+                                       for t, on, take in SKU_HOPS])
     named = named.withColumnRenamed("sku_id", "skuId")
     return named.select(*N.METRIC_KEYS["dws_trade_sku_order"], "totalSkuNum", "totalOrderPrice")
 

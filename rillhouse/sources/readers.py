@@ -121,15 +121,47 @@ class RefreshingSnapshot:
         return self._frame
 
 
+class VersionedSnapshot:
+    """A cached frame of a stored table, loaded anew when the table's version changes.
+
+    Ask for it inside ``foreachBatch``: a change shows in the next micro-batch, and a table
+    that stays as it is is read once, however long the stream runs.
+    """
+
+    def __init__(self, load: Callable[[], DataFrame], version: Callable[[], object]):
+        self._load, self._version = load, version
+        self._frame: DataFrame | None = None
+        self._seen: object = None
+
+    def get(self) -> DataFrame:
+        now = self._version()
+        if self._frame is None or now != self._seen:
+            stale, self._frame = self._frame, self._load().persist()
+            self._seen = now
+            if stale is not None:
+                stale.unpersist()
+        return self._frame
+
+
 def ticks(spark: SparkSession, per_second: int = 1) -> DataFrame:
     """A rate stream, used as a timer."""
     return (spark.readStream.format("rate").option("rowsPerSecond", per_second)
             .option("numPartitions", 1).load())
 
 
-def row_key(column: str) -> Column:
-    """Row keys are texts and compare as texts."""
-    return F.col(column).cast("string")
+def row_key(table: DataFrame, column: str) -> Column:
+    """Row keys are texts and compare as texts; a key stored as text stays as it is, so that
+    conditions on it reach the files."""
+    kind = table.schema[column].dataType
+    return F.col(column) if isinstance(kind, T.StringType) else F.col(column).cast("string")
+
+
+def write_row_keys(df: DataFrame, path: str, key: str, partitions: int | None = None) -> None:
+    """Store rows in the order of a text key: each file holds a range of keys, sorted, so a scan
+    of a range opens few files and, in these, few row groups."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.withColumn(key, F.col(key).cast("string")).repartitionByRange(n, key)
+     .sortWithinPartitions(key).write.mode("overwrite").parquet(path))
 
 
 def point_get(table: DataFrame, key: str, value: str, columns: Sequence[str]) -> DataFrame:
@@ -140,7 +172,7 @@ def point_get(table: DataFrame, key: str, value: str, columns: Sequence[str]) ->
 def range_scan(table: DataFrame, key: str, start: str, stop: str, columns: Sequence[str]
                ) -> DataFrame:
     """Rows with ``start <= key < stop`` in text order, sorted by key."""
-    text = row_key(key)
+    text = row_key(table, key)
     return table.where((text >= start) & (text < stop)).orderBy(text).select(*columns)
 
 

@@ -271,7 +271,8 @@ def sku_dimensions(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """part → supplier (as product and category 3) → nation → region, brand as trademark."""
     part, supplier = table(spark, sf, "part"), table(spark, sf, "supplier")
     nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
-    supplied = (F.col("p_partkey") % 100).cast("string")
+    suppliers = max(supplier.count(), 1)   # keys run from 0; one number comes to the driver
+    supplied = (F.col("p_partkey") % suppliers).cast("string")
     key = F.col("s_suppkey").cast("string").alias("id")
     return {
         "dim_sku_info": part.select(

@@ -105,7 +105,7 @@ def _search(where: str = "TRUE") -> str:
 
 
 _SKU_NAMES = """
-    sku AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_name, p_brand, p_partkey % 100 AS supp FROM part)
+    sku AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_name, p_brand, p_partkey % (SELECT count(*) FROM supplier) AS supp FROM part)
 """
 _SKU_COLUMNS = """sku_id AS "skuId", p_name AS "skuName", CAST(supp AS VARCHAR) AS "spuId",
            s_name AS "spuName", p_brand AS "trademarkId", upper(p_brand) AS "trademarkName",
@@ -203,6 +203,9 @@ _REPLACED = f"""
     SELECT {_bounds('a.b', '1 HOUR')}, a.event_type, CAST(coalesce(z.n, a.n) AS BIGINT) AS n
     FROM a LEFT JOIN z ON a.b = z.b AND a.event_type = z.event_type"""
 
+# Names after the second batch of changes: an update replaces, an insert only creates.
+_NEXT_NAME = ("c_name || CASE WHEN c_custkey % 4 = 0 THEN '*' WHEN c_custkey % 4 = 2 AND NOT stored "
+              "THEN '+' ELSE '' END")
 _KEPT = ("c_custkey % 5 IN ({}) AND " + _USER_KIND + " IN ('insert', 'bootstrap-insert'{})").format
 
 # The log, in arrival order per device.
@@ -323,16 +326,20 @@ ORACLES: dict[str, str] = {
     "keyed_table_batches": _REPLACED,
     "dimension_config": """
     SELECT CAST(r_regionkey AS VARCHAR) AS id, 'dim_source_' || r_regionkey AS source_table,
-           'dim_sink_' || r_regionkey AS sink_table, 'id' AS row_key,
-           CAST(r_regionkey % 2 AS INTEGER) AS to_hbase, '2023-11-14 22:13:20' AS "time" FROM region""",
+           CASE WHEN r_regionkey = 3 THEN 'moved_' ELSE 'dim_sink_' END || r_regionkey AS sink_table,
+           'id' AS row_key, CAST(r_regionkey % 2 AS INTEGER) AS to_hbase,
+           CASE WHEN r_regionkey = 3 THEN '2023-11-14 22:13:21' ELSE '2023-11-14 22:13:20' END AS "time"
+    FROM region WHERE r_regionkey <> 4""",
     "dimension_sync": f"""
-    SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS user_level,
+    SELECT CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS user_level, {_NEXT_NAME} AS name,
            'dim_sink_' || (c_custkey % 5) AS sink_table
-    FROM customer WHERE {_KEPT('0, 2, 4', '')}""",
+    FROM (SELECT *, {_KEPT('0, 2, 4', '')} AS stored FROM customer)
+    WHERE c_custkey % 5 IN (0, 2, 4) AND c_custkey % 4 <> 1 AND (stored OR c_custkey % 4 = 2)""",
     "dimension_sync_keyed": f"""
-    SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS user_level,
-           'dim_sink_' || (c_custkey % 5) AS sink_table
-    FROM customer WHERE {_KEPT('1, 3', ", 'update'")}""",
+    SELECT CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS user_level, 'dim_sink_' || (c_custkey % 5) AS sink_table,
+           c_name || CASE c_custkey % 4 WHEN 0 THEN '*' WHEN 2 THEN '+' ELSE '' END AS name
+    FROM (SELECT *, {_KEPT('1, 3', ", 'update'")} AS stored FROM customer)
+    WHERE c_custkey % 5 IN (1, 3) AND (c_custkey % 4 IN (0, 2) OR (c_custkey % 4 = 3 AND stored))""",
     "dimension_sync_files": """
     SELECT CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS user_level,
            CASE WHEN c_custkey % 4 <> 0 THEN c_name || ' as the newer file has it' ELSE 'old' END AS name,
@@ -342,7 +349,7 @@ ORACLES: dict[str, str] = {
     SELECT CAST(user_id AS VARCHAR) AS mid, CAST(user_id % 2 AS VARCHAR) AS is_new,
            strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS ts
     FROM events WHERE NOT {I.BAD_LINE}""",
-    "log_invalid": f"SELECT {I.log_line('epoch_us(ts) // 1000')} AS value FROM events WHERE {I.BAD_LINE}",
+    "log_invalid": f"SELECT {I.log_line('epoch_us(ts) // 1000')} AS value, TRUE AS today FROM events WHERE {I.BAD_LINE}",
     "log_pages": f"""WITH {_ACCEPTED}
     SELECT 'a' || (user_id % 4) AS ar, event_type AS ch, flag AS is_new, CAST(user_id AS VARCHAR) AS mid,
            CAST(user_id AS VARCHAR) AS uid, 'v' || (event_id % 3) AS vc, event_type AS page_id,
@@ -383,6 +390,10 @@ ORACLES: dict[str, str] = {
     SELECT strftime(o_orderdate, '%Y') AS "year", CASE WHEN year(o_orderdate) = 1997 THEN 'again'
            ELSE o_orderstatus END AS o_orderstatus, count(*) AS n FROM orders GROUP BY ALL""",
     "compacted_files": "SELECT p_partkey, p_type, p_size FROM part",
+    "compacted_fact_files": """
+    SELECT "table", strftime(ts, '%Y-%m-%d') AS "date", count(*) AS n, CAST(1 AS BIGINT) AS files_after,
+           count(DISTINCT event_id % 4) > 1 AS fewer
+    FROM events, (VALUES ('facts'), ('stream')) t("table") GROUP BY ALL""",
     "keyed_lookup_for_batch": """
     SELECT CAST(user_id AS VARCHAR) AS user_id, coalesce(CASE WHEN c_custkey % 2 = 0 THEN upper(c_name)
            ELSE c_name END, '') AS name, count(*) AS n
@@ -411,13 +422,15 @@ ORACLES: dict[str, str] = {
     "stream_page_view_metrics": _page_views(_closed("1 HOUR", "3 SECOND")),
     "stream_home_detail_uv": _home_detail(_closed(
         "1 HOUR", "3 SECOND", rows="pages WHERE page_id IN ('home', 'good_detail')")),
+    "stream_home_detail_state": _home_detail(_closed(
+        "1 HOUR", "3 SECOND", rows="pages WHERE page_id IN ('home', 'good_detail')")),
     "stream_user_login_returning": _logins(_closed("1 HOUR", "3 SECOND", rows="logins")),
     "stream_register_sliding": _register(_closed("2 HOUR", "3 SECOND", rows="signups")),
     "stream_cart_add_users": _carts(_closed("1 HOUR", "5 SECOND", rows="flagged")),
     "stream_payment_success_users": _payers(_closed("1 HOUR", "5 SECOND", rows="flagged")),
     "stream_search_keyword_windows": _search(_closed("1 HOUR", "30 SECOND", rows="words")),
     "stream_device_is_new": _device("SELECT event_id, user_id, is_new FROM kept"),
-    "stream_log_invalid": f"SELECT {I.log_line('epoch_us(ts) // 1000')} AS value FROM events WHERE {I.BAD_LINE}",
+    "stream_log_invalid": f"SELECT {I.log_line('epoch_us(ts) // 1000')} AS value, TRUE AS today FROM events WHERE {I.BAD_LINE}",
     "stream_sku_orders": f"""
     WITH {_SKU_NAMES}, clicks AS (SELECT * FROM events WHERE event_type = 'click'),
     counted AS (SELECT {HOUR('ts')} AS b, CAST(event_id AS VARCHAR) AS sku_id, 2 * count(*) AS qty,
@@ -446,3 +459,53 @@ ORACLES["stream_log_pages"] = ORACLES["log_pages"]
 ORACLES["stream_device_delivered"] = """
     SELECT event_id, user_id, CASE WHEN CAST(ts AS DATE) = min(CAST(ts AS DATE)) OVER
            (PARTITION BY user_id) THEN '1' ELSE '0' END AS is_new FROM events"""
+
+_SIX_HOURS = "time_bucket(INTERVAL 6 HOUR, {}, TIMESTAMP '2024-01-01')".format
+_LATE = "epoch_us(ts) + CASE WHEN event_id % 97 = 0 THEN 604800000000 ELSE 0 END"
+# The slice each row is staged in, and the newest time of all slices before it.
+_SLICED = f"""
+    WITH placed AS (SELECT *, {_LATE} AS place FROM events),
+    sliced AS (SELECT *, (place - low) // ((high - low) // 4 + 1) AS slice
+               FROM placed, (SELECT min(place) AS low, max(place) AS high FROM placed)),
+    marks AS (SELECT slice, max(max(ts)) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING
+                                               AND 1 PRECEDING) AS mark,
+                     max(max(ts)) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING
+                                        AND 2 PRECEDING) AS closed FROM sliced GROUP BY slice),
+    told AS (SELECT s.*, mark, closed, coalesce(ts <= mark - INTERVAL 1 MINUTE, FALSE) AS late
+             FROM sliced s JOIN marks USING (slice))"""
+
+ORACLES |= {
+    "stream_cart_delta": ORACLES["cdc_cart_delta"],
+    "stream_new_users": ORACLES["cdc_new_users"],
+    "stream_comment_dictionary": ORACLES["comment_dictionary"],
+    "stream_province_orders": f"""
+    WITH lines AS (SELECT CAST(floor(event_id / 3) AS BIGINT) AS o, user_id % 5 AS p, value, ts FROM events
+                   WHERE event_type IN ('click', 'purchase')),
+    counted AS (SELECT {_SIX_HOURS('ts')} AS b, p, count(DISTINCT o) AS n, sum(value) AS price
+                FROM lines GROUP BY ALL)
+    SELECT {_bounds('b', '6 HOUR', 'end')}, CAST(p AS VARCHAR) AS "provinceId", n_name AS "provinceName",
+           n AS orders, TRUE AS near, round(price, 2) AS "totalOrderPrice"
+    FROM counted JOIN nation ON n_nationkey = p
+    WHERE {_closed('6 HOUR', '1 SECOND', rows='lines')}""",
+    "province_orders_sketch": """
+    WITH o AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, CAST(c_nationkey AS VARCHAR) AS province, o_orderkey
+               FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey IS NOT NULL)
+    SELECT month, province, count(DISTINCT o_orderkey) AS orders, TRUE AS near FROM o GROUP BY ALL
+    UNION ALL SELECT month, 'all', count(DISTINCT o_orderkey), TRUE FROM o GROUP BY ALL""",
+    "stream_state_days": f"""
+    WITH pages AS ({I.PAGES_SQL}),
+    last AS (SELECT uid, max(CAST(ts AS DATE)) AS d FROM pages WHERE last_page_id IS NULL GROUP BY 1)
+    SELECT strftime(d, '%Y-%m-%d') AS last_day, count(*) AS keys FROM last GROUP BY 1""",
+    "stream_log_observed": f"""
+    SELECT CASE WHEN {I.BAD_LINE} THEN 'invalid' ELSE 'valid' END AS kind, count(*) AS observed,
+           count(*) AS written FROM events GROUP BY 1""",
+    "stream_late_rows": f"{_SLICED} SELECT event_id, late FROM told",
+    "stream_late_dropped": f"""{_SLICED},
+    counted AS (SELECT date_trunc('day', ts) AS b, event_type, count(*) AS n FROM told
+                WHERE closed IS NULL OR date_trunc('day', ts) + INTERVAL 1 DAY > closed - INTERVAL 1 MINUTE
+                GROUP BY ALL)
+    SELECT {_bounds('b', '1 DAY')}, event_type, n FROM counted
+    WHERE {_closed('1 DAY', '1 MINUTE')}""",
+    "catalog_table": """
+    SELECT r_regionkey, r_name, count(*) OVER () AS seen, TRUE AS dropped FROM region""",
+}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,13 +12,15 @@ from pyspark.sql import types as T
 from rillhouse import names as N
 from rillhouse.functions import dates
 from rillhouse.functions.text import explode_words, register_split_keywords
-from rillhouse.operators import cdc, merge, visits
+from rillhouse.operators import cdc, merge, sketches, visits
 from rillhouse.operators.joins import interval_join
 from rillhouse.operators.windows import windowed_agg
 from rillhouse.plans import dimension, facts, metrics
 from rillhouse.sources import paths, readers, tables
 from rillhouse.session import configure
-from rillhouse.live.run import drain_to_scratch, state_partitions
+from rillhouse.live import daily, late
+from rillhouse.live.run import (await_any, drain, drain_to_scratch, observed_totals, state_partitions,
+                                state_rows)
 from rillhouse.live.state import accept_and_flag_stream, device_store, flag_batch
 
 from . import inputs as I
@@ -319,45 +322,68 @@ def _configured(spark, sf) -> DataFrame:
     return config.read(spark)
 
 
-def _customer_messages(spark, sf) -> DataFrame:
+def _customer_messages(spark, sf, kind: str = I.USER_KIND, name: str = "c_name") -> DataFrame:
     """Customers as changes of five source tables, by key."""
-    customers = I.table(spark, sf, "customer")
+    customers = I.table(spark, sf, "customer").withColumn("kind", F.expr(kind)).where("kind IS NOT NULL")
     source = F.concat(F.lit("dim_source_"), (F.col("c_custkey") % 5).cast("string"))
-    data = F.struct(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"),
+    data = F.struct(F.col("c_custkey").cast("string").alias("id"), F.expr(name).alias("name"),
                     F.col("c_mktsegment").alias("user_level"), F.col("c_acctbal").alias("unlisted"))
     return customers.select(F.lit(None).cast("string").alias("key"), F.to_json(F.struct(
-        F.lit("shop").alias("database"), source.alias("table"), F.expr(I.USER_KIND).alias("type"),
+        F.lit("shop").alias("database"), source.alias("table"), F.col("kind").alias("type"),
         data.alias("data"))).alias("value"))
 
 
+def _later_messages(spark, sf) -> DataFrame:
+    """A second batch of changes: three quarters of all keys updated, deleted or inserted (again)."""
+    return _customer_messages(
+        spark, sf, "CASE c_custkey % 4 WHEN 0 THEN 'update' WHEN 1 THEN 'delete' WHEN 2 THEN 'insert' END",
+        "concat(c_name, CASE c_custkey % 4 WHEN 0 THEN '*' ELSE '+' END)")
+
+
 @query
 def dimension_config(spark, sf):
-    return _configured(spark, sf).select(
+    """Two batches of configuration changes: rows created, then one moved and one removed."""
+    config = dimension.config_table(paths.scratch(spark, "config"))
+    messages = _config_messages(spark, sf)
+    dimension.sync_config(messages, 0, config)
+    later = F.replace(F.replace("value", F.lit("1700000000"), F.lit("1700000001")),
+                      F.lit("dim_sink_"), F.lit("moved_"))
+    for key, kind in (("3", "update"), ("4", "delete")):
+        messages = messages.union(_config_messages(spark, sf).where(
+            F.get_json_object("value", "$.data.id") == key).select("key", F.replace(
+                later, F.lit('"type":"insert"'), F.lit(f'"type":"{kind}"')).alias("value")))
+    dimension.sync_config(messages, 1, config)
+    return config.read(spark).select(
         "id", "source_table", "sink_table", "row_key", "to_hbase",
         F.date_format("time", dates.SECOND).alias("time"))
 
 
 @query
 def dimension_sync(spark, sf):
-    """Configuration, then one batch of changes into the merged dimension tables."""
+    """Configuration, then two batches of changes into the merged dimension tables, the second of
+    updates, deletes and inserts over stored rows; it is replayed once."""
     config, root = _configured(spark, sf), paths.scratch(spark, "dims")
 
     def place(meta):
-        return tables.MergedTable(f"{root}/{meta.sink_table}", meta.schema, meta.partition_by)
+        return tables.MergedTable(f"{root}/{meta.sink_table}", meta.schema, meta.partition_by, buckets=4)
 
     dimension.sync_dimensions(_customer_messages(spark, sf), 0, config, place)
+    for _ in range(2):
+        dimension.sync_dimensions(_later_messages(spark, sf), 1, config, place)
     return _all_tables(spark, config, False, lambda meta: place(meta).read(spark))
 
 
 @query
 def dimension_sync_keyed(spark, sf):
-    """The same for the row-keyed dimension tables."""
+    """The same for the row-keyed dimension tables, whose last change is the whole row."""
     config, root = _configured(spark, sf), paths.scratch(spark, "keyed-dims")
 
     def place(meta):
-        return tables.KeyedTable(f"{root}/{meta.sink_table}", [meta.row_key], partition=None)
+        return tables.KeyedTable(f"{root}/{meta.sink_table}", [meta.row_key], partition=None, buckets=4)
 
     dimension.sync_keyed_dimensions(_customer_messages(spark, sf), 0, config, place)
+    for _ in range(2):
+        dimension.sync_keyed_dimensions(_later_messages(spark, sf), 1, config, place)
     return _all_tables(spark, config, True, lambda meta: place(meta).read(spark))
 
 
@@ -405,10 +431,16 @@ def log_valid(spark, sf):
     return valid.select("mid", "is_new", F.date_format("ts", dates.SECOND).alias("ts"))
 
 
+def _set_aside(invalid: DataFrame) -> DataFrame:
+    """Quarantined lines; their processing date is that of today."""
+    today = F.col("date").cast("string") == F.date_format(F.current_date(), dates.DATE)
+    return invalid.select("value", today.alias("today"))
+
+
 @query
 def log_invalid(spark, sf):
     _, invalid = facts.split_log(I.log_messages(I.events(spark, sf)))
-    return invalid.select("value")
+    return _set_aside(invalid)
 
 
 @query
@@ -493,18 +525,25 @@ def point_lookup(spark, sf):
                              ["c_custkey", "c_name", "c_mktsegment"])
 
 
+def _customers_by_text(spark, sf) -> DataFrame:
+    """Customers stored in the order of their keys as texts."""
+    path = paths.scratch(spark, "row-keys")
+    customer = I.table(spark, sf, "customer").withColumns({
+        "row_key": F.col("c_custkey").cast("string"),
+        "segment": F.when(F.col("c_custkey") % 10 != 0, F.col("c_mktsegment"))})
+    readers.write_row_keys(customer.select("row_key", "c_custkey", "c_name", "segment"), path, "row_key")
+    return spark.read.parquet(path)
+
+
 @query
 def range_scan(spark, sf):
-    return readers.range_scan(I.table(spark, sf, "customer"), "c_custkey", "10", "2",
-                              ["c_custkey", "c_name"])
+    return readers.range_scan(_customers_by_text(spark, sf), "row_key", "10", "2", ["c_custkey", "c_name"])
 
 
 @query
 def range_scan_filtered(spark, sf):
-    customer = I.table(spark, sf, "customer").withColumn(
-        "segment", F.when(F.col("c_custkey") % 10 != 0, F.col("c_mktsegment")))
-    return readers.range_scan_filtered(customer, "c_custkey", "10", "2", "segment", "BUILDING",
-                                       ["c_custkey", "c_name"])
+    return readers.range_scan_filtered(_customers_by_text(spark, sf), "row_key", "10", "2", "segment",
+                                       "BUILDING", ["c_custkey", "c_name"])
 
 
 @query
@@ -541,14 +580,49 @@ def compacted_files(spark, sf):
     path = paths.scratch(spark, "compact")
     part = I.table(spark, sf, "part").select("p_partkey", "p_type", "p_size")
     part.repartition(8).write.partitionBy("p_type").parquet(path)
-    tables.compact_files(spark, path, partition_by="p_type", where=F.col("p_type") == "ECONOMY")
+    tables.compact_files(spark, path, settled_minutes=0, where=F.col("folder") == "/p_type=ECONOMY")
     return spark.read.parquet(path)
 
 
+@query
+def compacted_fact_files(spark, sf):
+    """Facts written by four batches and by a stream of four micro-batches, with a newer one that is
+    left alone, then compacted: rows per day and files left, which are fewer."""
+    root = paths.scratch(spark, "facts")
+    date = F.date_format("ts", dates.DATE).alias("date")
+    ev = I.events(spark, sf).select("event_id", date)
+    for n in range(4):
+        tables.append_batch(ev.where(F.col("event_id") % 4 == n), f"{root}/facts", batch_id=n)
+    stream = event_stream(spark, sf, "event_id % 4").select("event_id", date)
+    with state_partitions(spark):
+        tables.append_batches(stream, f"{root}/stream", f"{root}/checkpoint", available_now=True).awaitTermination()
+    counted = []
+    for name in ("facts", "stream"):
+        path = f"{root}/{name}"
+        tables.append_batch(spark.createDataFrame([(-1, "none")], "event_id long, date string"), path, batch_id=9)
+        before = _files_by_date(spark, path)
+        tables.compact_files(spark, path, settled_minutes=0)
+        after = _files_by_date(spark, path)
+        rows = spark.read.schema("event_id long, date string").parquet(path).groupBy("date").agg(
+            F.count("*").alias("n"))
+        counted.append(rows.join(before.withColumnRenamed("files", "files_before"), "date")
+                       .join(after.withColumnRenamed("files", "files_after"), "date")
+                       .select(F.lit(name).alias("table"), "date", "n", "files_after",
+                               (F.col("files_after") < F.col("files_before")).alias("fewer")))
+    return counted[0].unionByName(counted[1]).where("date <> 'none'")
+
+
+def _files_by_date(spark, path) -> DataFrame:
+    """How many files hold rows of each date, as they are now."""
+    rows = spark.read.schema("event_id long, date string").parquet(path)
+    counts = rows.groupBy("date").agg(F.count_distinct("_metadata.file_path").alias("files")).collect()
+    return spark.createDataFrame([tuple(r) for r in counts], "date string, files long")   # one row a day
+
+
 @query
 def keyed_lookup_for_batch(spark, sf):
     """Names of the users of one event kind, read from a row-keyed table by key."""
-    store = tables.KeyedTable(paths.scratch(spark, "users"), ["id"], partition=None)
+    store = tables.KeyedTable(paths.scratch(spark, "users"), ["id"], partition=None, buckets=8)
     users = I.known_users(spark, sf)
     store.put(users, 0)
     store.put(users.where("id % 2 = 0").withColumn("name", F.upper("name")), 1)
@@ -604,14 +678,37 @@ def event_stream(spark: SparkSession, sf: str, by: str = TIME) -> DataFrame:
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def _through_increments(rows: DataFrame, keys: list[str], columns: str, step, windows) -> DataFrame:
+    """A stream drained into increments, with the keys' days in a table, then windows over these."""
+    spark = configure(rows.sparkSession)
+    folder = paths.scratch(spark, "increments")
+    store = daily.visit_store(f"{folder}/days", {k: T.StringType() for k in keys}, buckets=4)
+    with state_partitions(spark):
+        daily.increments_stream(rows, lambda batch, n: step(batch, n, store), f"{folder}/increments",
+                                f"{folder}/checkpoint", available_now=True).awaitTermination()
+        stream = readers.table_stream(spark, f"{folder}/increments",
+                                      T.StructType.fromDDL(columns + ", batch bigint"), max_files=1)
+        return drain_to_scratch(windows(stream.drop("batch")), "windows")
+
+
 @query
 def stream_page_view_metrics(spark, sf):
-    views = metrics.page_views(I.pages(event_stream(spark, sf)), "1 hour")
-    return _out(drain_to_scratch(views, "page-views"), "durSum")
+    views = _through_increments(
+        I.pages(event_stream(spark, sf)), ["mid"], metrics.PAGE_VIEW_INCREMENTS,
+        metrics.page_view_increments, lambda made: metrics.page_view_windows(made, "1 hour"))
+    return _out(views, "durSum")
 
 
 @query
 def stream_home_detail_uv(spark, sf):
+    return _out(_through_increments(
+        I.pages(event_stream(spark, sf)), ["page_id", "mid"], metrics.HOME_DETAIL_INCREMENTS,
+        metrics.home_detail_increments, lambda made: metrics.home_detail_windows(made, "1 hour")))
+
+
+@query
+def stream_home_detail_state(spark, sf):
+    """The same by the state processor, with salted first stages."""
     return _out(drain_to_scratch(
         metrics.home_detail_visitors(I.pages(event_stream(spark, sf)), "1 hour", salts=4), "home"))
 
@@ -630,8 +727,9 @@ def stream_register_sliding(spark, sf):
 
 @query
 def stream_cart_add_users(spark, sf):
-    return _out(drain_to_scratch(
-        metrics.cart_add_users(_carts(event_stream(spark, sf)), "1 hour"), "carts"))
+    return _out(_through_increments(
+        _carts(event_stream(spark, sf)), ["user_id"], metrics.CART_ADD_INCREMENTS,
+        metrics.cart_add_increments, lambda made: metrics.cart_add_windows(made, "1 hour")))
 
 
 @query
@@ -711,7 +809,11 @@ def stream_log_pages(spark, sf):
 @query
 def stream_log_invalid(spark, sf):
     _, invalid = facts.split_log(I.log_messages(event_stream(spark, sf)))
-    return drain_to_scratch(invalid.select("value"), "invalid")
+    folder = paths.scratch(configure(spark), "invalid")
+    with state_partitions(spark):
+        tables.append_stream(invalid, f"{folder}/table", f"{folder}/checkpoint", "date",
+                             available_now=True).awaitTermination()
+    return _set_aside(spark.read.schema(invalid.schema).parquet(f"{folder}/table"))
 
 
 @query
@@ -733,3 +835,198 @@ def stream_keyed_metric_table(spark, sf):
     with state_partitions(spark):
         tables.metric_stream(metric, store, f"{folder}/checkpoint", available_now=True).awaitTermination()
     return _out(store.read(spark)).select("startTime", "endTime", "date", "registerCt")
+
+
+def message_files(messages: DataFrame, label: str, files: int = 4) -> DataFrame:
+    """Messages staged as text files and opened as a message stream of one file a micro-batch."""
+    spark = configure(messages.sparkSession)
+    path = paths.scratch(spark, label)
+    messages.select("value").repartition(files).write.text(path)
+    return readers.message_stream(spark, "text", path, {"maxFilesPerTrigger": "1"})
+
+
+def _appended(rows: DataFrame, label: str, date: str | None) -> DataFrame:
+    """A fact stream appended in a folder per micro-batch, by date if given, and read back."""
+    spark, folder = rows.sparkSession, paths.scratch(rows.sparkSession, label)
+    with state_partitions(spark):
+        tables.append_batches(rows, f"{folder}/table", f"{folder}/checkpoint", date, available_now=True)
+        spark.streams.resetTerminated()
+        await_any(spark)
+        for running in spark.streams.active:
+            running.awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{folder}/table").select(*rows.columns)
+
+
+@query
+def stream_cart_delta(spark, sf):
+    # The stand-in rows spread over thousands of dates, so the facts are not parted by them.
+    adds = _appended(facts.cart_adds(message_files(I.cart_messages(spark, sf), "cart-messages")), "cart-facts", None)
+    return (adds.groupBy("date", "sku_id")
+            .agg(F.count("*").alias("n"), F.sum("sku_num").alias("sku_num"),
+                 F.round(F.sum("cart_price"), 2).alias("cart_price")))
+
+
+@query
+def stream_new_users(spark, sf):
+    rows = _appended(facts.registered_users(message_files(I.user_messages(spark, sf), "user-messages")),
+                     "user-facts", "date")
+    return rows.select("id", "name", "user_level",
+                       F.date_format("create_time", dates.SECOND).alias("create_time"), "date")
+
+
+@query
+def stream_comment_dictionary(spark, sf):
+    """Comments named in each micro-batch from a stored dictionary, which is read anew when it is
+    older than the refreshing allows."""
+    raw = facts.comment_rows(message_files(I.comment_messages(spark, sf), "comment-messages"))
+    folder = paths.scratch(spark, "comments")
+    I.appraisal_dictionary(spark, sf).write.parquet(f"{folder}/dictionary")
+    names = readers.RefreshingSnapshot(lambda: readers.snapshot(spark, f"{folder}/dictionary"), minutes=0)
+
+    def write(batch: DataFrame, n: int) -> None:
+        with tables.cached(facts.name_comments(batch, names.get())) as named:
+            tables.append_batch(named, f"{folder}/table", None, batch_id=n)
+
+    with state_partitions(spark):
+        tables.each_batch(raw, write, f"{folder}/checkpoint", available_now=True).awaitTermination()
+    return readers.snapshot(spark, f"{folder}/table").select(
+        "id", "user_id", "appraise", "create_time", F.col("date").cast("string").alias("date"))
+
+
+def _province_lines(ev: DataFrame) -> DataFrame:
+    """Clicks and purchases as order lines of provinces; several lines make an order."""
+    return ev.where("event_type IN ('click', 'purchase')").select(
+        F.expr("CAST(floor(event_id / 3) AS STRING)").alias("order_id"),
+        F.expr("CAST(user_id % 5 AS STRING)").alias("province_id"),
+        F.col("value").alias("order_price"), F.col("ts").alias("create_time"))
+
+
+@query
+def stream_province_orders(spark, sf):
+    """Orders per province and six hours into a metric table, batch by batch; the approximate counts
+    are held against exact ones."""
+    spark = configure(spark)
+    folder = paths.scratch(spark, "provinces")
+    store = tables.KeyedTable(f"{folder}/metric", N.METRIC_KEYS["dws_trade_province_order"])
+    closed = metrics.province_orders(_province_lines(event_stream(spark, sf)), "6 hours")
+
+    def write(batch: DataFrame, n: int) -> None:
+        with tables.cached(batch) as rows:
+            if not rows.isEmpty():
+                store.put(metrics.name_province_orders(rows, I.provinces(spark, sf)), n)
+
+    with state_partitions(spark):
+        tables.each_batch(closed, write, f"{folder}/checkpoint", available_now=True).awaitTermination()
+    exact = metrics.province_orders(_province_lines(I.events(spark, sf)), "6 hours", exact=True)
+    exact = exact.select("startTime", F.col("province_id").alias("provinceId"),
+                         F.col("totalOrderNum").alias("exact"))
+    near = F.abs(F.col("totalOrderNum") - F.col("exact")) <= 0.2 * F.col("exact") + 0.5
+    return _out(store.read(spark).join(exact, ["startTime", "provinceId"]).select(
+        "startTime", "endTime", "date", "provinceId", "provinceName",
+        F.col("exact").alias("orders"), near.alias("near"), "totalOrderPrice"), "totalOrderPrice")
+
+
+@query
+def province_orders_sketch(spark, sf):
+    """Daily sketches of orders per province, stored, then united per month and nation-wide."""
+    path = paths.scratch(spark, "sketches")
+    details = I.province_details(spark, sf)
+    sketches.windowed_sketches(details, "create_time", "1 day", "order_id", ["province_id"]) \
+        .write.parquet(path)
+    month = F.date_format("date", "yyyy-MM").alias("month")
+    parts = []
+    for keys, names in (([month, "province_id"], ["month", "province_id"]), ([month], ["month"])):
+        estimated = sketches.united(spark.read.parquet(path), keys).select(
+            *names, sketches.estimate().alias("estimated"))
+        exact = details.where("province_id IS NOT NULL").withColumn(
+            "month", F.date_format("create_time", "yyyy-MM")).groupBy(*names).agg(
+            F.count_distinct("order_id").alias("orders"))
+        parts.append(estimated.join(exact, names).select(
+            "month", (F.col("province_id") if len(names) > 1 else F.lit("all")).alias("province"), "orders",
+            sketches.within_error(F.col("estimated"), F.col("orders")).alias("near")))
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def stream_state_days(spark, sf):
+    """Logins streamed to the end, then the state read as a table: keys by the day of their last login."""
+    spark = configure(spark)
+    folder = paths.scratch(spark, "state")
+    logins = I.pages(event_stream(spark, sf)).where("uid IS NOT NULL AND last_page_id IS NULL")
+    first = visits.first_of_day(logins.select("uid", "ts"), "uid", "ts")
+    drain(first, f"{folder}/table", f"{folder}/checkpoint")
+    held = state_rows(spark, f"{folder}/checkpoint", "transformWithState", "last_day")
+    day = F.date_from_unix_date("value.day").cast("string").alias("last_day")
+    return held.groupBy(day).agg(F.count("*").alias("keys"))
+
+
+@query
+def stream_log_observed(spark, sf):
+    """Valid and invalid log lines written apart in one pass, and counted on the way."""
+    spark = configure(spark)
+    folder = paths.scratch(spark, "observed")
+    lines = facts.classified_log(I.log_messages(event_stream(spark, sf)))
+    watched = lines.observe("log_lines", F.count_if("valid").alias("valid"),
+                            F.count_if(~F.col("valid")).alias("invalid"))
+    with state_partitions(spark):
+        run = tables.append_stream(watched, f"{folder}/table", f"{folder}/checkpoint", "valid",
+                                   available_now=True)
+        run.awaitTermination()
+    counted = spark.createDataFrame(list(observed_totals(run, "log_lines").items()), "kind string, observed long")
+    written = spark.read.parquet(f"{folder}/table").groupBy(
+        F.when(F.col("valid").cast("boolean"), "valid").otherwise("invalid").alias("kind")).agg(F.count("*").alias("written"))
+    return counted.join(written, "kind", "left").na.fill(0, ["written"])
+
+
+#: Every 97th event comes a week after its time.
+LATE_PLACE = "unix_micros(CAST(ts AS TIMESTAMP)) + CASE WHEN event_id % 97 = 0 THEN 604800000000 ELSE 0 END"
+
+
+@query
+def stream_late_rows(spark, sf):
+    """Rows behind the watermark set aside, the others counted by the hour."""
+    spark = configure(spark)
+    folder = paths.scratch(spark, "late")
+    marks = late.high_marks(f"{folder}/marks")
+
+    def write(batch: DataFrame, n: int) -> None:
+        with tables.cached(batch) as rows:
+            told = late.with_late(rows, n, marks, "ts", "1 minute")
+            tables.append_batch(told, f"{folder}/rows", "late", batch_id=n)
+
+    with state_partitions(spark):
+        tables.each_batch(event_stream(spark, sf, LATE_PLACE).select("event_id", "event_type", "ts"), write,
+                          f"{folder}/checkpoint", available_now=True).awaitTermination()
+    return spark.read.parquet(f"{folder}/rows").select("event_id", F.col("late").cast("boolean").alias("late"))
+
+
+@query
+def stream_late_dropped(spark, sf):
+    """The same stream through daily windows, which drop rows of windows that have closed. A window
+    closes by the newest time of the micro-batches before the one before."""
+    spark = configure(spark)
+    folder = paths.scratch(spark, "dropped")
+    counted = windowed_agg(event_stream(spark, sf, LATE_PLACE), "ts", "1 day", [F.count("*").alias("n")],
+                           ["event_type"], delay="1 minute")
+    with state_partitions(spark):
+        run = tables.append_stream(counted, f"{folder}/table", f"{folder}/checkpoint", None, available_now=True)
+        run.awaitTermination()
+    return _out(spark.read.schema(counted.schema).parquet(f"{folder}/table"))
+
+
+@query
+def catalog_table(spark, sf):
+    """A table made if absent (twice), filled by INSERT … VALUES and by a batch, looked at, and dropped;
+    its files stay."""
+    name, path = f"regions_{uuid.uuid4().hex}", paths.scratch(spark, "catalog")
+    region = I.table(spark, sf, "region").select("r_regionkey", "r_name")
+    for _ in range(2):
+        tables.create_table(spark, name, region.schema, path)
+    region.where("r_regionkey >= 2").write.mode("append").insertInto(name)
+    for row in region.where("r_regionkey < 2").toLocalIterator():
+        tables.insert_values(spark, name, row.asDict())
+    seen = tables.preview(spark.table(name)).count()
+    tables.drop_table(spark, name)
+    rows = spark.read.schema(region.schema).parquet(path)
+    return rows.withColumns({"seen": F.lit(seen).cast("long"),
+                             "dropped": F.lit(not spark.catalog.tableExists(name))})
