@@ -9,9 +9,7 @@ all its lines goes too (``kept`` is false).
 A line is what stands between line feeds, without outer white space of any kind. A letter of a
 script without spaces counts as a word. Lines of fewer than ``min_words`` words are often everyday
 sentences: they are judged by ``short_sites``, a number of sites that should be well above
-``min_sites``, and stay if it is None. Null sites are no site; null or empty texts stay as they are; repeated rows are the same document and are treated alike; a null
-doc_id is never the first. Extra columns are kept.
-"""
+`X"""
 
 from __future__ import annotations
 
@@ -35,16 +33,15 @@ def _trimmed(text: Column) -> Column:
     return F.trim(text, F.lit(WHITE))
 
 
-def _need(line: Column, min_sites: int, min_words: int, short_sites: int | None) -> Column:
-    """How many sites must show the line; null for a line that is never judged."""
+def _need(line: Column, min_sites: int, min_words: int, short_sites: int) -> Column:
+    """How many sites must show the line; null for an empty one."""
     words = F.size(F.split(line, r"\s+"))
     long = (words >= min_words) | (words + F.regexp_count(line, F.lit(UNSPACED)) >= min_words)
-    return F.when(line == "", None).when(long, min_sites).otherwise(F.lit(short_sites).cast("int"))
+    return F.when(line == "", None).when(long, min_sites).otherwise(short_sites)
 
 
 def boilerplate(docs: DataFrame, min_sites: int, min_words: int, site: str = "source",
-                log_size: int = 10, margin: float = 0.25, short_sites: int | None = None
-                ) -> DataFrame:
+                log_size: int = 10, margin: float = 0.25, short_sites: int = 20) -> DataFrame:
     """hash, first_doc, first_line of every line shown by at least ``min_sites`` sites, or
     ``short_sites`` if it is short.
 
@@ -77,7 +74,7 @@ def boilerplate(docs: DataFrame, min_sites: int, min_words: int, site: str = "so
 
 
 def drop_boilerplate(docs: DataFrame, min_sites: int = 5, min_words: int = 5,
-                     site: str = "source", short_sites: int | None = None) -> DataFrame:
+                     site: str = "source", short_sites: int = 20) -> DataFrame:
     """The columns of ``docs`` with cleaned texts, and __n_lines, __n_removed, __kept."""
     bad = common.written(boilerplate(docs, min_sites, min_words, site, short_sites=short_sites),
                          "boilerplate")
@@ -93,7 +90,8 @@ def drop_boilerplate(docs: DataFrame, min_sites: int = 5, min_words: int = 5,
     goes = (common.with_side(shown, bad, "hash", "inner", n_bad).where(~stays)
             .groupBy("row").agg(F.collect_set("nth").alias("gone")))
     touched = common.written(goes, "line-drops")
-    n_touched = touched.count()
+    # Numbers in it, not rows: a row holds an array.
+    n_touched = touched.agg(F.sum(F.size("gone") + 2)).first()[0] or 0
     joined = common.with_side(keyed, touched.withColumnRenamed("row", key)
                               .withColumnRenamed("gone", gone), key, "left", n_touched)
     parts = _lines(F.col("text").cast("string"))

@@ -1,5 +1,7 @@
 """SQL for the numbered queries that SQL can express."""
 
+from .lines import WHITE
+
 _VALID = "embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR isnan(x) OR isinf(x)]) = 0"
 
 #: Components of pairs (a, b): the smallest node that each node reaches.
@@ -71,17 +73,19 @@ links AS (SELECT p.doc_id AS a, q.doc_id AS b FROM e p JOIN e q ON p.x = q.x AND
           GROUP BY p.doc_id, q.doc_id, p.n, q.n HAVING 100 * count(*) >= 75 * (p.n + q.n - count(*))),{_REACH}
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(g.low, doc_id)) AS component_id
 FROM s LEFT JOIN groups g ON g.node = doc_id""",
-    "op8_line_spread": """
+    "op8_line_spread": f"""
 WITH l AS (SELECT doc_id, source, text, generate_subscripts(string_split(text, chr(10)), 1) AS nth,
                   unnest(string_split(text, chr(10))) AS part FROM documents),
-c AS (SELECT *, trim(part, ' ') AS line FROM l),
-m AS (SELECT *, len(string_split_regex(line, '\\s+')) >= 5 AS counts FROM c),
-bad AS (SELECT line, min(doc_id * 1000000 + nth) AS first FROM m WHERE counts
-        GROUP BY line HAVING count(DISTINCT source) >= 5),
-f AS (SELECT m.*, bad.line IS NOT NULL AND doc_id * 1000000 + nth <> first AS gone
-      FROM m LEFT JOIN bad ON m.counts AND m.line = bad.line),
+c AS (SELECT *, trim(part, '{WHITE}') AS line FROM l),
+m AS (SELECT *, CASE WHEN len(string_split_regex(line, '\\s+'))
+                          + len(regexp_extract_all(line, '[\\p{{Han}}\\p{{Hiragana}}\\p{{Katakana}}\\p{{Thai}}]')) >= 5
+                     THEN 5 ELSE 20 END AS need FROM c),
+bad AS (SELECT line, min([doc_id, nth]) AS first FROM m WHERE line <> ''
+        GROUP BY line, need HAVING count(DISTINCT source) >= need),
+f AS (SELECT m.*, bad.line IS NOT NULL AND [doc_id, nth] <> first AS gone
+      FROM m LEFT JOIN bad ON m.line = bad.line),
 d AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
              coalesce(string_agg(part, chr(10) ORDER BY nth) FILTER (NOT gone), '') AS text
       FROM f GROUP BY doc_id)
-SELECT doc_id, d.text, n_lines, n_removed, n_removed = 0 OR trim(d.text, ' ') <> '' AS kept FROM d""",
+SELECT doc_id, d.text, n_lines, n_removed, n_removed = 0 OR trim(d.text, '{WHITE}') <> '' AS kept FROM d""",
 }
