@@ -1,16 +1,19 @@
 """Near-duplicate vectors by an inverted multi-index.
 
 Unit vectors are cut into halves with a codebook each; the two nearest codewords name a cell of
-the product grid, per label. A page of a cell visits other cells in order of their distance, as a
+the product grid, per label. Each vector visits other cells in order of their distance, as a
 multi-sequence walk over the two sorted codeword lists. A half that is nearer to codeword a lies at
 least (|u - c|^2 - |u - a|^2) / (2 |c - a|) from the border to codeword c, so the squared sums of
 both halves bound the distance of anything in a cell. With ``target_recall`` 1 the walk ends where
 that bound passes the link distance, sqrt(2 - 2 cos): no link is lost. A lower target ends it where
 the share of a bounded sample's true links that lie nearer reaches the target.
 
-Each pair of pages is then verified by cosine in double precision. Equal vectors of a label are
-one row with a count until the end, so copies are never paired. Pages give per vector how many it
-links to, and for connectivity a star per linked group, not all pairs.
+The codebooks grow with the table, so that a cell holds about ``per_cell`` vectors of a label at any
+size. A row of the grid (one left codeword) is stored as pages sorted by cell. A vector is sent once
+to each row it reaches, packed with others, and there verified, by cosine in double precision, with
+the cells it reaches only; of two cells the vectors of the earlier one are sent. Equal vectors of a
+label are one row with a count until the end, so copies are never paired. Verification gives per
+vector how many it links to, and for connectivity a star per linked group, not all pairs.
 
 A vector that is null or zero, holds null or non-finite numbers, or whose label is null links with
 nothing. Repeated rows are vectors of their own that link with each other. Vectors of different
@@ -21,6 +24,7 @@ named. An empty table gives no rows.
 from __future__ import annotations
 
 import heapq
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common, pages
+from .alignment import _rows, beside
 from .components import components
 
-_PAGE = "label long, cell int, n int, ids binary, copies binary, vectors binary, reach binary"
+_PAGE = "label long, row int, n int, ids binary, copies binary, columns binary, vectors binary"
 
 
 def walk(left: np.ndarray, right: np.ndarray, until: float):
@@ -45,6 +50,15 @@ def walk(left: np.ndarray, right: np.ndarray, until: float):
                 heapq.heappush(heap, (left[a] + right[b], a, b))
 
 
+def reached(l2: np.ndarray, r2: np.ndarray, until: float) -> list[tuple[int, list[int]]]:
+    """Rows of the grid that the walk of one vector meets, nearest first, and the columns met there."""
+    by_l, by_r = np.argsort(l2, kind="stable"), np.argsort(r2, kind="stable")
+    met: dict[int, list[int]] = {}
+    for a, b, _ in walk(l2[by_l], r2[by_r], until):
+        met.setdefault(int(by_l[a]), []).append(int(by_r[b]))
+    return list(met.items())
+
+
 def border_squares(half: np.ndarray, book: np.ndarray) -> np.ndarray:
     """Per row and codeword: square of the least distance to that codeword's region."""
     d2 = pages.squared_distances(half, book)
@@ -79,9 +93,12 @@ def local_groups(linked: np.ndarray, a_ids: np.ndarray, b_ids: np.ndarray) -> li
 
 
 def link(table: DataFrame, cosine: float = 0.98, vector: str = "embedding", label: str = "label",
-         sample: int = 8192, per_cell: int = 256, page: int = 512, target_recall: float = 1.0
+         sample: int = 8192, per_cell: int = 16, page: int = 4096, target_recall: float = 1.0
          ) -> DataFrame:
-    """vec_id, n_links, component_id, kept for every row."""
+    """vec_id, n_links, component_id, kept for every row.
+
+    The codebooks come from ``sample`` vectors, or eight a codeword where that is more, 65,536 at most.
+    """
     spark = table.sparkSession
     rows = table.select(F.col("vec_id").cast("long").alias("vec_id"),
                         F.col(label).cast("long").alias("label"),
@@ -95,14 +112,36 @@ def link(table: DataFrame, cosine: float = 0.98, vector: str = "embedding", labe
     distinct = common.written(
         keyed.where("fit").groupBy("label", "h1", "h2")
         .agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
-             F.min_by("v", "vec_id").alias("v")), "distinct-vectors")
+             F.min_by("v", "vec_id").alias("v")).sortWithinPartitions("label"), "distinct-vectors")
+    found = common.written(verified(distinct, cosine, sample, per_cell, page, target_recall), "vector-links")
+    links = found.where("n > 0").groupBy("rep").agg(F.sum("n").alias("others"))
+    groups = components(found.where("to IS NOT NULL"), "rep", "to")
+    result = (distinct.select("label", "h1", "h2", "rep", "copies")
+              .join(links, "rep", "left")
+              .join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+              .select("h1", "h2", F.col("label").alias("of_label"),
+                      (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+                      F.coalesce("component", "rep").alias("component_id")))
+    same = ((keyed.h1 == result.h1) & (keyed.h2 == result.h2) & (keyed.label == result.of_label))
+    joined = keyed.drop("v").join(result, same, "left")
+    component = F.coalesce("component_id", "vec_id")
+    return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+                         component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+
+
+def verified(distinct: DataFrame, cosine: float, sample: int, per_cell: int, page: int,
+             target_recall: float) -> DataFrame:
+    """rep, n, to, looked: vectors with the number of others linked, links by which groups hang
+    together, and (rep null) how many pairs were compared; of rows label, rep, copies, v."""
+    spark = distinct.sparkSession
     facts = distinct.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("width"),
                          F.count_distinct("label").alias("labels")).first()
     width = max(facts.width or 0, 2)
     half = width // 2
     # As many codewords per half as give about per_cell vectors to a cell of an average label.
-    words = max(1, min(64, round((facts.n / max(1, facts.labels) / per_cell) ** 0.5)))
-    drawn = pages.drawn(distinct, "rep", sample, facts.n).select("v", "label").collect()
+    words = max(1, round((facts.n / max(1, facts.labels) / per_cell) ** 0.5))
+    size = min(max(sample, 8 * words), 65_536)
+    drawn = pages.drawn(distinct, "rep", size, facts.n).select("v", "label").collect()
     if drawn:
         x = unit(np.array([list(r.v) + [0.0] * (width - len(r.v)) for r in drawn]))
         left, right = pages.kmeans(x[:, :half], words), pages.kmeans(x[:, half:], words)
@@ -115,94 +154,113 @@ def link(table: DataFrame, cosine: float = 0.98, vector: str = "embedding", labe
         until = 0.0
     until = until * (1 + 1e-9) + 1e-9   # rounding must not lose a link
 
-    def placed(batch: pa.RecordBatch) -> pa.RecordBatch:
-        u = unit(pages.matrix(batch.column("v"), width))
+    def cells(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Unit vectors, their rows and columns of the grid, and the squared distances to both."""
+        u = unit(v)
         l2, r2 = pages.squared_distances(u[:, :half], left), pages.squared_distances(u[:, half:], right)
-        i, j = l2.argmin(axis=1), r2.argmin(axis=1)
-        near = l2[np.arange(len(u)), i] + r2[np.arange(len(u)), j]
+        return u, l2.argmin(axis=1), r2.argmin(axis=1), l2, r2
+
+    def placed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        _, i, j, l2, r2 = cells(pages.matrix(batch.column("v"), width))
         return pa.RecordBatch.from_arrays(
-            [batch.column("label"), pa.array((i * len(right) + j).astype(np.int32)),
-             pa.array(near), batch.column("rep"), batch.column("copies"), batch.column("v")],
-            ["label", "cell", "near", "rep", "copies", "v"])
+            [batch.column("label"), pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)),
+             batch.column("rep"), batch.column("copies"), batch.column("v")],
+            ["label", "row", "column", "rep", "copies", "v"])
 
     def pack(t: pa.Table) -> dict:
         t = t.combine_chunks()
-        v = pages.matrix(t.column("v").chunk(0), width)
-        u = unit(v)
-        l2 = border_squares(u[:, :half], left).min(axis=0)
-        r2 = border_squares(u[:, half:], right).min(axis=0)
-        by_l, by_r = np.argsort(l2, kind="stable"), np.argsort(r2, kind="stable")
-        cells = [int(by_l[a]) * len(right) + int(by_r[b])
-                 for a, b, _ in walk(l2[by_l], r2[by_r], until)]
-        return {"label": t.column("label")[0].as_py(), "cell": t.column("cell")[0].as_py(),
+        return {"label": t.column("label")[0].as_py(), "row": t.column("row")[0].as_py(),
                 "n": t.num_rows, "ids": t.column("rep").to_numpy().tobytes(),
-                "copies": t.column("copies").to_numpy().tobytes(), "vectors": v.tobytes(),
-                "reach": np.array(cells, np.int32).tobytes()}
+                "copies": t.column("copies").to_numpy().tobytes(),
+                "columns": t.column("column").to_numpy().tobytes(),
+                "vectors": pages.matrix(t.column("v").chunk(0), width).tobytes()}
 
-    cells = common.arrow_pass(
-        distinct.select("label", "rep", "copies", "v"),
-        "label long, cell int, near double, rep long, copies long, v array<double>", placed)
-    book = common.written(pages.paged(cells, ["label", "cell"], ["near", "rep"], page,
+    kept = distinct.select("label", "rep", "copies", "v")
+    grid = common.arrow_pass(kept, "label long, row int, column int, rep long, copies long, v array<double>",
+                             placed)
+    book = common.written(pages.paged(grid, ["label", "row"], ["column", "rep"], page,
                                       pages.partitions(spark), pack, _PAGE), "vector-pages")
 
-    def opened(batch: pa.RecordBatch) -> pa.RecordBatch:
-        made = [(r["page"], r["label"], r["cell"], int(c)) for r in batch.to_pylist()
-                for c in np.frombuffer(r["reach"], np.int32) if c >= r["cell"]]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([m[k] for m in made], t) for k, t in
-             enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
-            ["page", "label", "own", "cell"])
-    visits = common.arrow_pass(book.select("page", "label", "cell", "reach"),
-                               "page long, label long, own int, cell int", opened)
-    heads = book.select(F.col("page").alias("other"), "label", "cell")
-    # Of two pages in one cell the pair is looked at once; cells look at later cells only.
-    pairs = visits.join(heads, ["label", "cell"]).where(
-        (F.col("own") < F.col("cell")) | (F.col("page") <= F.col("other"))).select("page", "other")
-    data = book.select("page", "ids", "copies", "vectors")
-    both = (pairs.join(data, "page")
-            .join(data.select(F.col("page").alias("other"), F.col("ids").alias("o_ids"),
-                              F.col("copies").alias("o_copies"), F.col("vectors").alias("o_vectors")),
-                  "other"))
-
-    def verify(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, counts, to = [], [], []
-        for r in batch.to_pylist():
-            a_ids, b_ids = (np.frombuffer(r[c], np.int64) for c in ("ids", "o_ids"))
-            a_n, b_n = (np.frombuffer(r[c], np.int64) for c in ("copies", "o_copies"))
-            a, b = (unit(np.frombuffer(r[c], np.float64).reshape(-1, width))
-                    for c in ("vectors", "o_vectors"))
-            linked = a @ b.T >= cosine
-            same = r["page"] == r["other"]
-            if same:
-                np.fill_diagonal(linked, False)
-            if not linked.any():
-                continue
-            for who, n in ((a_ids, linked @ b_n), *(() if same else ((b_ids, a_n @ linked),))):
-                some = n > 0
-                ids += who[some].tolist()
-                counts += n[some].tolist()
-                to += [None] * int(some.sum())
-            for x, y in local_groups(linked, a_ids, b_ids):
-                ids.append(x)
-                counts.append(0)
-                to.append(y)
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (ids, counts, to)],
-                                          ["rep", "n", "to"])
-
-    found = common.written(common.arrow_pass(both, "rep long, n long, to long", verify), "vector-links")
-    links = found.groupBy("rep").agg(F.sum("n").alias("others"))
-    groups = components(found.where("to IS NOT NULL"), "rep", "to")
-    result = (distinct.select("label", "h1", "h2", "rep", "copies")
-              .join(links, "rep", "left")
-              .join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-              .select("h1", "h2", F.col("label").alias("of_label"),
-                      (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                      F.coalesce("component", "rep").alias("component_id")))
-    same = ((keyed.h1 == result.h1) & (keyed.h2 == result.h2) & (keyed.label == result.of_label))
-    joined = keyed.drop("v").join(result, same, "left")
-    component = F.coalesce("component_id", "vec_id")
-    return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                         component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+    def sent(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """Vectors packed for each row of their label's grid that they reach; of two cells those of
+        the earlier one go, so each pair of vectors meets once."""
+        v = pages.matrix(batch.column("v"), width)
+        u, i, j, _, _ = cells(v)
+        l2, r2 = border_squares(u[:, :half], left), border_squares(u[:, half:], right)
+        labels, ids, copies = (batch.column(c).to_numpy() for c in ("label", "rep", "copies"))
+        asked: dict[tuple[int, int], list[tuple[int, list[int]]]] = {}
+        for k in range(len(v)):
+            for row, columns in reached(l2[k], r2[k], until):
+                if row < i[k]:
+                    continue
+                if row == i[k]:
+                    columns = [c for c in columns if c >= j[k]]
+                if columns:
+                    asked.setdefault((int(labels[k]), row), []).append((k, columns))
+        out = []
+        for (label, row), who in asked.items():
+            at = np.array([k for k, _ in who])
+            ends = np.cumsum([len(c) for _, c in who]).astype(np.int32)
+            out.append((label, row, ids[at].tobytes(), copies[at].tobytes(),
+                        np.where(i[at] == row, j[at], -1).astype(np.int32).tobytes(), v[at].tobytes(),
+                        ends.tobytes(), np.concatenate([c for _, c in who]).astype(np.int32).tobytes()))
+        kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 6)
+        return pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)],
+                                          ["label", "row", *_SENT])
+
+    asked = (common.arrow_pass(kept, "label long, row int, " + ", ".join(f"{c} binary" for c in _SENT), sent)
+             .join(book.select("page", "label", "row"), ["label", "row"]).drop("label", "row"))
+    stored = book.select("page", "ids", "copies", "columns", "vectors")
+    columns = ("page", "ids", "copies", "columns", "vectors", *_SENT)
+
+    def verify(batches):
+        for _, rows in groupby(_rows(batches, columns), key=lambda r: r[0]):
+            made, looked = [], 0
+            for _, *mine, o_ids, o_copies, o_own, o_vectors, o_ends, o_columns in rows:
+                if mine[0] is not None:
+                    b_ids, b_n = (np.frombuffer(m, np.int64) for m in mine[:2])
+                    column = np.frombuffer(mine[2], np.int32)
+                    begins = np.searchsorted(column, np.arange(len(right) + 1))   # sorted by column
+                    b = unit(np.frombuffer(mine[3], np.float64).reshape(-1, width))
+                    continue
+                a_ids, a_n = np.frombuffer(o_ids, np.int64), np.frombuffer(o_copies, np.int64)
+                a = unit(np.frombuffer(o_vectors, np.float64).reshape(-1, width))
+                own = np.frombuffer(o_own, np.int32)
+                ends, met = np.frombuffer(o_ends, np.int32), np.frombuffer(o_columns, np.int32)
+                who = np.repeat(np.arange(len(a)), np.diff(ends, prepend=0))
+                linked = np.zeros((len(a), len(b)), bool)
+                order = np.argsort(met, kind="stable")
+                cuts = np.flatnonzero(np.diff(met[order])) + 1
+                for part in np.split(order, cuts):
+                    c = met[part[0]] if len(part) else 0
+                    low, high = begins[c], begins[c + 1]
+                    if high > low and len(part):
+                        some = who[part]
+                        near = a[some] @ b[low:high].T >= cosine
+                        # Inside one cell the smaller id looks at the larger.
+                        inside = own[some] == c
+                        near &= ~inside[:, None] | (a_ids[some][:, None] < b_ids[None, low:high])
+                        linked[some, low:high] = near
+                        looked += near.size
+                if linked.any():
+                    for ids, n in ((a_ids, linked @ b_n), (b_ids, a_n @ linked)):
+                        made += [(x, y, None, None) for x, y in zip(ids[n > 0].tolist(), n[n > 0].tolist())]
+                    made += [(x, 0, y, None) for x, y in local_groups(linked, a_ids, b_ids)]
+                if len(made) > 50_000:
+                    yield _found(made)
+                    made = []
+            yield _found([*made, (None, 0, None, looked)])
+
+    both = beside(stored, asked, pages.partitions(spark), ["page"])
+    return both.select(*columns).mapInArrow(verify, "rep long, n long, to long, looked long")
+
+
+_SENT = ("o_ids", "o_copies", "o_own", "o_vectors", "o_ends", "o_columns")
+
+
+def _found(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)],
+                                      ["rep", "n", "to", "looked"])
 
 
 def _recall_bound(x: np.ndarray, labels: np.ndarray, left: np.ndarray, right: np.ndarray,
