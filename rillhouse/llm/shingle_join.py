@@ -234,7 +234,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_colum
     """doc_id, n_shingles, component_id for every row; with ``sets`` also sig, the signature of
     its set, and component, one number for each group (null for empty sets), which tells groups
     apart whose smallest ids are the same.
+
+    ``percent`` is 67 to 100: below, sets of two elements could link, which are listed under no pair.
     """
+    if not 67 <= percent <= 100:
+        raise ValueError(f"percent is 67 to 100, not {percent}")
     spark = docs.sparkSession
     rows = common.texts(docs, id_column, text_column)
     # Four counters a document, between 2**14 and 2**22: at most 16 MB for any corpus.

@@ -8,7 +8,9 @@ looks at the page whose annulus lies nearest, which bounds the distance of its k
 at all annuli that the triangle inequality does not rule out with that bound: |d(q, pivot) - d(v,
 pivot)| <= d(q, v). Scores are computed as exact whole numbers, so results are exact.
 
-Pivots come from a bounded sample (``sample`` rows first by hash); they affect speed only.
+Pivots come from a bounded sample (``sample`` rows first by hash); they affect speed only. How much
+the bounds rule out hangs on the vectors: distances between vectors of equal length in random
+directions differ so little that no annulus is ruled out, and every pair is then scored.
 
 Rows whose id or vector is null, or whose vector holds null or non-finite numbers, take no part.
 Shorter vectors count as filled up with zeros. Rows with one id count once, with their best score,
