@@ -1,6 +1,7 @@
 """All jobs end to end on a few hand-written messages."""
 
 import json
+import os
 
 import pytest
 
@@ -193,3 +194,52 @@ def test_all_jobs(spark, house):
         ("s1", "pen", "pens", "Acme", "C1", "C3", 2, 10.0)]
     assert rows(dws("dws_trade_province_order"), "provinceName", "totalOrderNum",
                 "totalOrderPrice") == [("North", 1, 10.0)]
+
+
+def test_jobs_by_table_give_the_same_metrics(spark, house, tmp_path):
+    """After the jobs above: visitors by table, names by pruned reads, then the facts compacted."""
+    for layer in (N.DWD, N.DIM):
+        os.symlink(f"{house.root}/{layer}", f"{tmp_path}/{layer}")
+    other = Warehouse(spark, str(tmp_path), house.topic_db, house.topic_log, database="shop", available_now=True)
+    with state_partitions(spark):
+        finish(spark, *other.page_views_by_table(), *other.home_detail_by_table(), *other.cart_add_by_table(),
+               other.sku_orders(cached=False))
+    for table in ("dws_traffic_page_view_count", "dws_traffic_home_detailPage_view_count", "dws_trade_cart_add",
+                  "dws_trade_sku_order"):
+        want, got = house.metric(table).read(spark), other.metric(table).read(spark)
+        assert want.count() and rows(got, *want.columns) == rows(want, *want.columns)
+    counts = {name: spark.read.parquet(house.path(N.DWD, name)).count() for name in facts_written(house)}
+    house.compact_facts(settled_minutes=0)
+    assert {name: spark.read.parquet(house.path(N.DWD, name)).count() for name in counts} == counts
+
+
+def facts_written(house):
+    return sorted(os.listdir(house.path(N.DWD, "").rstrip("/")))
+
+
+def test_a_changed_name_shows_in_the_next_batch(spark, tmp_path):
+    root = str(tmp_path)
+    inbox = f"{root}/db"
+
+    def send(*messages):
+        spark.createDataFrame([(json.dumps(m),) for m in messages], "value string").coalesce(1).write.mode(
+            "append").text(inbox)
+
+    house = Warehouse(spark, root, lambda: readers.message_stream(spark, "text", inbox), lambda: None,
+                      database="shop", available_now=True)
+    send(config("base_dic", False, ["dic_code", "dic_name"]), config("user_info", True, ["id", "name"]),
+         change("base_dic", dic_code="1", dic_name="one"), change("user_info", id="u", name="Ann"))
+    with state_partitions(spark):
+        for sync in (house.config_sync, house.dimension_sync, house.keyed_dimension_sync):
+            finish(spark, sync())
+    dic, users = house.dimension("dim_base_dic"), house.dimension("dim_user_info")
+    assert rows(dic, "dic_name") == [("one",)] and rows(users, "name") == [("Ann",)]
+    assert house.dimension("dim_base_dic") is dic                    # nothing stored since: not read again
+    send(change("base_dic", "update", dic_code="1", dic_name="two"), change("user_info", "update", id="u", name="Bo"))
+    with state_partitions(spark):
+        finish(spark, house.dimension_sync(), house.keyed_dimension_sync())
+    assert rows(house.dimension("dim_base_dic"), "dic_name") == [("two",)]
+    assert rows(house.dimension("dim_user_info"), "name") == [("Bo",)]
+    asked = spark.createDataFrame([("1",), ("u",), ("x",)], "k string")
+    assert rows(house.dimension_for("dim_base_dic", asked, "k"), "dic_name") == [("two",)]
+    assert rows(house.dimension_for("dim_user_info", asked, "k"), "name") == [("Bo",)]
