@@ -3,7 +3,7 @@
 Each kind of value is a vector of small numbers: the digits of a card, the octets of an address,
 day number of a date. A keyed Feistel network permutes the vectors: in each round every second
 number is shifted, within its range, by a keyed hash of all the others, so the map is one to one
-within the format and the same value gets the same pseudonym in every document. Validated kinds
+within the format (a lone number takes its place among all of its range, sorted by a keyed hash) and the same value gets the same pseudonym in every document. Validated kinds
 stay valid: a card number gets the check digit of its new digits, a social security number only
 takes areas, groups and serials that exist, a date is a date between 1900 and 2099.
 
@@ -82,12 +82,37 @@ def _start(c: Column) -> Column:
             .otherwise(F.ascii(c)).cast("long"))
 
 
+def single(number: Column, size: Column, key: str, label: str, reveal: bool = False) -> Column:
+    """Permute one number in 0 .. size - 1: its place when all are sorted by a keyed hash. A lone
+    number has no others to be shifted by, and a fixed shift would be no pseudonym."""
+    keyed = F.transform(F.sequence(F.lit(0).cast("long"), size - 1), lambda x: F.struct(
+        F.sha2(F.concat(F.lit(f"{key}|{label}|single|"), x.cast("string")), 256).alias("h"), x.alias("x")))
+    order = F.transform(F.array_sort(keyed), lambda s: s["x"])
+    return F.get(order, number) if reveal else F.array_position(order, number) - 1
+
+
 def characters(text: Column, key: str, label: str, reveal: bool = False) -> Column:
     """Permute digits among digits and letters among letters; the other characters stay."""
     def used(letters: Column) -> Column:
-        vector = F.transform(letters, lambda c: F.ascii(c).cast("long") - _start(c))
-        made = feistel(vector, F.transform(letters, _range), key, label, reveal)
-        return F.array_join(F.zip_with(letters, made, lambda c, x: F.chr(_start(c) + x)), "")
+        moved = F.filter(letters, lambda c: _range(c) > 1)
+
+        def made(own: Column) -> Column:
+            vector = F.transform(own, lambda c: F.ascii(c).cast("long") - _start(c))
+            ranges = F.transform(own, _range)
+            lone = F.array(single(F.get(vector, 0), F.get(ranges, 0), key, label, reveal))
+            return F.when(F.size(own) == 0, vector).when(F.size(own) == 1, lone).otherwise(
+                feistel(vector, ranges, key, label, reveal))
+
+        def put(numbers: Column) -> Column:
+            start = F.struct(F.lit("").alias("text"), F.lit(0).alias("n"))
+
+            def step(a: Column, c: Column) -> Column:
+                moves = _range(c) > 1
+                new = F.when(moves, F.chr(_start(c) + F.get(numbers, a["n"]))).otherwise(c)
+                return F.struct(F.concat(a["text"], new).alias("text"),
+                                (a["n"] + moves.cast("int")).alias("n"))
+            return F.aggregate(letters, start, step, lambda a: a["text"])
+        return let(let(moved, made), put)
     return let(_letters(text), used)
 
 
