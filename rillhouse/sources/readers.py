@@ -57,14 +57,18 @@ def messages(spark: SparkSession, path: str, fmt: str = "text", ordered: bool =
     return _as_messages(reader.load(path), fmt, ordered)
 
 
-def table_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
+def table_stream(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet",
                  max_files: int | None = 5, max_bytes: str | None = None,
                  options: Mapping[str, str] | None = None) -> DataFrame:
     """An append-only table as a stream, limited per micro-batch by files or by bytes.
 
     File sources take one of the two limits (``max_bytes`` wins); the table format
-    with a change log takes both and skips update and delete commits.
+    with a change log takes both and skips update and delete commits. Without ``schema``
+    the stream has all columns that files have as it starts, older files with nulls in
+    columns that were added later.
     """
+    if schema is None and fmt != "delta":
+        schema = snapshot(spark, path, fmt, merge_schema=True).schema
     reader = spark.readStream.format(fmt)
     if fmt == "delta":
         reader = reader.option("skipChangeCommits", "true")

@@ -475,6 +475,7 @@ _SLICED = f"""
              FROM sliced s JOIN marks USING (slice))"""
 
 ORACLES |= {
+    "stream_evolved_schema": ORACLES["append_evolved_schema"],
     "stream_cart_delta": ORACLES["cdc_cart_delta"],
     "stream_new_users": ORACLES["cdc_new_users"],
     "stream_comment_dictionary": ORACLES["comment_dictionary"],

@@ -179,7 +179,8 @@ def interval_pairs_inner(spark, sf):
     clicks = ev.where("event_type = 'click'").select(F.col("event_id").alias("click_id"), "user_id", "ts")
     views = ev.where("event_type = 'view'").select(
         F.col("event_id").alias("view_id"), F.col("user_id").alias("viewer"), F.col("ts").alias("view_ts"))
-    pairs = interval_join(clicks, views, "user_id", "viewer", "ts", "view_ts", 0, 1800)
+    # Slots of five minutes: a busy user's clicks of one half hour lie in six of them.
+    pairs = interval_join(clicks, views, "user_id", "viewer", "ts", "view_ts", 0, 1800, slot_seconds=300)
     return pairs.select("click_id", "view_id")
 
 
@@ -546,9 +547,7 @@ def range_scan_filtered(spark, sf):
                                        "BUILDING", ["c_custkey", "c_name"])
 
 
-@query
-def append_evolved_schema(spark, sf):
-    """Two appended batches, the second with one more column; an empty one writes nothing."""
+def _evolved_orders(spark, sf) -> str:
     path, orders = paths.scratch(spark, "evolve"), I.table(spark, sf, "orders")
     dated = orders.select("o_orderkey", "o_orderstatus", "o_orderpriority",
                           F.date_format("o_orderdate", "yyyy").alias("year"))
@@ -556,11 +555,25 @@ def append_evolved_schema(spark, sf):
     tables.append_batch(old, path, "year")
     tables.append_batch(dated.where("o_orderstatus <> 'F'"), path, "year", evolve=True)
     tables.append_batch(dated.where("o_orderstatus = 'none'"), path, "year")
-    rows = readers.snapshot(spark, path, merge_schema=True)
+    return path
+
+
+@query
+def append_evolved_schema(spark, sf):
+    """Two appended batches, the second with one more column; an empty one writes nothing."""
+    rows = readers.snapshot(spark, _evolved_orders(spark, sf), merge_schema=True)
     return rows.select("o_orderkey", "o_orderstatus", "o_orderpriority",
                        F.col("year").cast("string").alias("year"))
 
 
+@query
+def stream_evolved_schema(spark, sf):
+    """The same table as a stream, which sees the added column; micro-batches are limited by bytes."""
+    rows = readers.table_stream(spark, _evolved_orders(spark, sf), max_bytes="64m")
+    return drain_to_scratch(rows.select("o_orderkey", "o_orderstatus", "o_orderpriority",
+                                        F.col("year").cast("string").alias("year")), "evolved")
+
+
 @query
 def partition_overwrite(spark, sf):
     """Overwriting with one year of rows replaces that year and leaves the others."""
