@@ -28,6 +28,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +44,19 @@ _COLUMNS = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_bes
             "count_sum long, groups string")
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers in the smallest type that holds the largest, byte by byte of all numbers, and
+    compressed: high bytes and sorted or repeated numbers take next to no room."""
+    small = numbers.astype(np.min_scalar_type(int(numbers.max(initial=0))))
+    planes = small.view(np.uint8).reshape(-1, small.itemsize).T.tobytes()
+    return bytes([small.itemsize]) + zstandard.compress(planes, 1)
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(raw[1:]), np.uint8).reshape(raw[0], -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{raw[0]}").ravel()
+
+
 def _kind(most: int) -> np.dtype:
     """The smallest unsigned type for numbers below ``most``."""
     return np.min_scalar_type(max(most - 1, 0))
@@ -159,10 +173,15 @@ def _rows(batches: Iterable[pa.RecordBatch], columns: Iterable[str]) -> Iterator
 
 def _chunk(row: tuple, pair: Pair) -> tuple[np.ndarray, ...]:
     n_a, n_b, a, b = row
-    return (np.frombuffer(a, pair.a.kind), np.frombuffer(b, pair.b.kind),
+    return (unpacked(a).astype(pair.a.kind), unpacked(b).astype(pair.b.kind),
             np.array(n_a, np.int64), np.array(n_b, np.int64))
 
 
+def _codes(raw: bytes, pair: Pair) -> np.ndarray:
+    """Sorted codes, which are stored as the steps between them."""
+    return np.cumsum(unpacked(raw), dtype=np.uint64).astype(pair.code)
+
+
 def encoded_chunks(docs: DataFrame, path_a: str, path_b: str, chunk_chars: int = 1_000_000
                    ) -> DataFrame:
     """First pass: the ids of both tokenizers, a chunk of documents in a row."""
@@ -177,8 +196,8 @@ def encoded_chunks(docs: DataFrame, path_a: str, path_b: str, chunk_chars: int =
                 pa.array([(task << 33) + nth], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
                 pa.array([[len(a) for a, _ in made]], pa.list_(pa.int32())),
                 pa.array([[len(b) for _, b in made]], pa.list_(pa.int32())),
-                pa.array([b"".join(a.tobytes() for a, _ in made)], pa.binary()),
-                pa.array([b"".join(b.tobytes() for _, b in made)], pa.binary())],
+                pa.array([packed(np.concatenate([a for a, _ in made]))], pa.binary()),
+                pa.array([packed(np.concatenate([b for _, b in made]))], pa.binary())],
                 ["chunk", "ids", "n_a", "n_b", "a", "b"])
 
         for batch in common.small(batches):
@@ -210,7 +229,8 @@ def asked_pairs(chunks: DataFrame, path_a: str, path_b: str, shards: int) -> Dat
             cuts = np.flatnonzero(np.diff(shard)) + 1
             for s, c, n in zip(np.split(shard, cuts), np.split(codes, cuts), np.split(counts, cuts)):
                 if len(s):
-                    out.append((int(s[0]), chunk, c.tobytes(), n.astype(np.uint32).tobytes()))
+                    steps = np.diff(c, prepend=c.dtype.type(0))
+                    out.append((int(s[0]), chunk, packed(steps), packed(n)))
         return pa.RecordBatch.from_arrays(
             [pa.array([o[k] for o in out], t) for k, t in enumerate(
                 (pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
@@ -238,7 +258,7 @@ def _documents(links: Links, codes: np.ndarray) -> np.ndarray:
 def pair_counts(asked: DataFrame, path_a: str, path_b: str, shards: int, salts: int) -> DataFrame:
     """Per shard its perfect hash, the dense vector of counts, and which pairs have the highest
     count of their A id."""
-    code = lambda: tokenizers(path_a, path_b).code
+    both = lambda: tokenizers(path_a, path_b)
 
     def local(batches):
         """Distinct pairs of a task per shard, sent on whenever many are held."""
@@ -247,11 +267,12 @@ def pair_counts(asked: DataFrame, path_a: str, path_b: str, shards: int, salts:
 
         def sent():
             for shard, parts in held.items():
+                codes = np.unique(np.concatenate(parts))
                 yield pa.RecordBatch.from_pydict({
-                    "shard": pa.array([shard], pa.int32()),
-                    "codes": pa.array([np.unique(np.concatenate(parts)).tobytes()], pa.binary())})
+                    "shard": pa.array([shard], pa.int32()), "codes": pa.array([
+                        packed(np.diff(codes, prepend=codes.dtype.type(0)))], pa.binary())})
         for shard, raw in _rows(batches, ("shard", "codes")):
-            held.setdefault(shard, []).append(np.frombuffer(raw, code()))
+            held.setdefault(shard, []).append(_codes(raw, both()))
             n += len(held[shard][-1])
             if n > 8_000_000:
                 yield from sent()
@@ -260,9 +281,9 @@ def pair_counts(asked: DataFrame, path_a: str, path_b: str, shards: int, salts:
 
     def build(batches):
         for shard, rows in groupby(_rows(batches, ("shard", "codes")), key=lambda r: r[0]):
-            known, more, n = np.empty(0, code()), [], 0
+            known, more, n = np.empty(0, both().code), [], 0
             for _, raw in rows:
-                more.append(np.frombuffer(raw, code()))
+                more.append(_codes(raw, both()))
                 n += len(more[-1])
                 if n > max(1_000_000, len(known)):
                     known, more, n = np.unique(np.concatenate([known, *more])), [], 0
@@ -284,13 +305,12 @@ def pair_counts(asked: DataFrame, path_a: str, path_b: str, shards: int, salts:
             found = total = None
             for _, _, sizes, bits, keys, codes, counts in rows:
                 if sizes is not None:
-                    found = PerfectHash.unpacked(sizes, bits, keys, code())
+                    found = PerfectHash.unpacked(sizes, bits, keys, both().code)
                     total = np.zeros(len(found.keys), np.int64)
                 else:
-                    at = found.find(np.frombuffer(codes, code()))
-                    total[at] += np.frombuffer(counts, np.uint32)
+                    total[found.find(_codes(codes, both()))] += unpacked(counts).astype(np.int64)
             yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()),
-                                              "vector": pa.array([total.tobytes()], pa.binary())})
+                                              "vector": pa.array([packed(total)], pa.binary())})
 
     salted = beside(hashes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))),
                     asked.select("shard", F.pmod("chunk", F.lit(salts)).cast("int").alias("salt"),
@@ -307,7 +327,7 @@ def pair_counts(asked: DataFrame, path_a: str, path_b: str, shards: int, salts:
                     hash_of, total = (sizes, bits, keys), np.zeros(len(keys) // pair.code.itemsize,
                                                                    np.int64)
                 else:
-                    total += np.frombuffer(vector, np.int64)
+                    total += unpacked(vector).astype(np.int64)
             keys = np.frombuffer(hash_of[2], pair.code)
             _, a = np.unique(keys // pair.code.type(pair.b.size), return_inverse=True)
             most = np.zeros(int(a.max(initial=-1)) + 1, np.int64)
@@ -315,8 +335,8 @@ def pair_counts(asked: DataFrame, path_a: str, path_b: str, shards: int, salts:
             yield pa.RecordBatch.from_pydict({
                 "shard": pa.array([shard], pa.int32()),
                 **{c: pa.array([v], pa.binary()) for c, v in zip(("sizes", "bits", "keys"), hash_of)},
-                "counts": pa.array([total.tobytes()], pa.binary()),
-                "best": pa.array([(total == most[a]).tobytes()], pa.binary())})
+                "counts": pa.array([packed(total)], pa.binary()),
+                "best": pa.array([packed((total == most[a]).astype(np.uint8))], pa.binary())})
     return common.written(beside(hashes, vectors, shards, ["shard"])
                           .mapInArrow(summed, hash_ + ", counts binary, best binary"), "pair-counts")
 
@@ -336,7 +356,7 @@ def counts_of(pairs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         for keys, counts, best in _rows([batch], ("keys", "counts", "best")):
             codes = np.frombuffer(keys, pair.code).astype(np.int64)
             parts.append((codes // pair.b.size, codes % pair.b.size,
-                          np.frombuffer(counts, np.int64), np.frombuffer(best, bool)))
+                          unpacked(counts).astype(np.int64), unpacked(best) > 0))
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)],
                                           ["a", "b", "n", "best"])
     return common.arrow_pass(pairs.select("keys", "counts", "best"),
@@ -359,14 +379,14 @@ def align(docs: DataFrame, path_a: str, path_b: str, shards: int = 64, salts: in
             for _, _, sizes, bits, keys, counts, best, chunk, codes in rows:
                 if sizes is not None:
                     found = PerfectHash.unpacked(sizes, bits, keys, pair.code)
-                    total, top = np.frombuffer(counts, np.int64), np.frombuffer(best, bool)
+                    total, top = unpacked(counts), unpacked(best)
                 else:
-                    at = found.find(np.frombuffer(codes, pair.code))
+                    at = found.find(_codes(codes, pair))
                     yield pa.RecordBatch.from_pydict({
                         "chunk": pa.array([chunk], pa.int64()),
                         "shard": pa.array([shard], pa.int32()),
-                        "counts": pa.array([total[at].tobytes()], pa.binary()),
-                        "best": pa.array([top[at].tobytes()], pa.binary())})
+                        "counts": pa.array([packed(total[at])], pa.binary()),
+                        "best": pa.array([packed(top[at])], pa.binary())})
 
     looked = beside(known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))),
                     asked.select("shard", F.pmod("chunk", F.lit(salts)).cast("int").alias("salt"),
@@ -381,7 +401,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, shards: int = 64, salts: in
             _, ids, *row, _, _ = next(rows)
             a, b, n_a, n_b = _chunk(row, pair)
             links = Links(pair, a, b, n_a, n_b)
-            got = [(np.frombuffer(r[6], np.int64), np.frombuffer(r[7], bool)) for r in rows]
+            got = [(unpacked(r[6]).astype(np.int64), unpacked(r[7]) > 0) for r in rows]
             codes, shard, inverse = _requests(links, pair, shards)
             counts, best = np.empty(len(codes), np.int64), np.empty(len(codes), bool)
             if got:   # by shard, and in order within it, as they were asked for
