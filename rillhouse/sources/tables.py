@@ -492,7 +492,9 @@ def compact_files(spark: SparkSession, path: str, target_bytes: int = 128 << 20,
     So a stream that has read the table sees no new file, and one that starts later reads every
     row once; streams must be past files of ``settled_minutes``. A call that was stopped is carried
     on by the next: what was staged and not yet moved is moved first, rows appended in between are
-    not touched. A batch read that runs at the same time may meet removed files and is to be repeated.
+    not touched; until then rows of a file that was moved but whose others were not yet removed are
+    there twice, never missing. A batch read that runs at the same time may meet removed files and is
+    to be repeated.
     """
     if paths.exists(spark, f"{path}/_spark_metadata"):
         raise ValueError(f"{path} is written by a file sink, whose log names its files; write it by "
@@ -500,6 +502,7 @@ def compact_files(spark: SparkSession, path: str, target_bytes: int = 128 << 20,
     staged = f"{path.rstrip('/')}{_COMPACTING}"
     if paths.is_complete(spark, f"{staged}/rows"):
         _publish(spark, staged)
+    paths.remove(spark, f"{staged}/rows")
     paths.remove(spark, staged)
     # Files are put into groups along a running sum of sizes; a group of one is left as it is.
     along = Window.partitionBy("folder").orderBy("file")
@@ -519,6 +522,7 @@ def compact_files(spark: SparkSession, path: str, target_bytes: int = 128 << 20,
          .repartition(max(1, min(plan.select("_joined").distinct().count(), 10_000)), "_joined")
          .sortWithinPartitions("_joined").write.partitionBy("_joined").parquet(f"{staged}/rows"))
         _publish(spark, staged)
+    paths.remove(spark, f"{staged}/rows")   # before the plan that it needs
     paths.remove(spark, staged)
     return n
 
