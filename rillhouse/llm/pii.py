@@ -3,7 +3,8 @@
 Each kind of value is a vector of small numbers: the digits of a card, the octets of an address,
 day number of a date. A keyed Feistel network permutes the vectors: in each round every second
 number is shifted, within its range, by a keyed hash of all the others, so the map is one to one
-within the format (a lone number takes its place among all of its range, sorted by a keyed hash) and the same value gets the same pseudonym in every document. Validated kinds
+within the format and the same value gets the same pseudonym in every document. A lone number
+takes its place among all of its range, sorted by a keyed hash. Validated kinds
 stay valid: a card number gets the check digit of its new digits, a social security number only
 takes areas, groups and serials that exist, a date is a date between 1900 and 2099.
 

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rillhouse.llm import (bpe, common, language, lines, packing, pii, shingle_join, sites,
+from rillhouse.llm import (bpe, language, lines, packing, pii, shingle_join, sites,
                            token_counts, topk, vector_dedup)
 from rillhouse.llm.components import components
 
