@@ -32,7 +32,7 @@ def with_late(batch: DataFrame, batch_id: int, marks: tables.KeyedTable, ts: str
     """
     spark = batch.sparkSession
     marks.compact_every(spark, batch_id)
-    stored = marks._current(marks.stored(spark, before=batch_id)).where(F.col(_STREAM) == stream)
+    stored = marks.read(spark, F.col(_STREAM) == stream, before=batch_id)
     known = [r[0] for r in stored.select(F.unix_micros(_HIGH)).collect()]      # one row at most
     own = batch.agg(F.unix_micros(F.max(ts))).first()[0]
     newest = max([m for m in (*known, own) if m is not None], default=None)

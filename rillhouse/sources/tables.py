@@ -228,9 +228,11 @@ class KeyedTable:
         newest = latest_per_key(rows.drop(_BUCKET), self.keys, [_BATCH])
         return newest.where(~F.col(_GONE)).drop(_BATCH, _GONE)
 
-    def read(self, spark: SparkSession, where=None) -> DataFrame:
-        """Current rows; ``where`` is a condition on key columns, applied while reading."""
-        rows = self.stored(spark)
+    def read(self, spark: SparkSession, where: Column | None = None, before: int | None = None
+             ) -> DataFrame:
+        """Current rows (as of ``before`` a batch); ``where`` is a condition on key columns, applied
+        while reading."""
+        rows = self.stored(spark, before)
         return self._current(rows if where is None else rows.where(where))
 
     def read_for(self, wanted: DataFrame, on: str | Sequence[str], before: int | None = None
