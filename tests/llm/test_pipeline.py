@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry
 import corpus_pipeline
 from rillhouse.llm.oracles import ORACLES
+from rillhouse.session import configure
 from rillhouse.llm.queries import QUERIES
 from test_operators import brute_components, shingle_set
 
@@ -23,12 +24,14 @@ DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def test_registered():
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
     assert set(ORACLES) <= set(entry.oracle_sql())
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql(spark, name):
+    before = configure(spark).conf.getAll
     assert differences(entry.queries()[name](spark, DATA), connect(DATA), ORACLES[name]) is None
+    assert spark.conf.getAll == before
 
 
 def test_stages(spark):
@@ -89,7 +92,9 @@ def test_repeated_ids(spark):
 
 
 def test_run_equals_the_stages(spark):
+    before = spark.conf.getAll
     got = Counter((r.doc_id, r.piece, r.ids_crc32) for r in corpus_pipeline.run(spark, DATA).collect())
+    assert spark.conf.getAll == before
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, DATA)
