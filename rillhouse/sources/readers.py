@@ -58,7 +58,7 @@ def messages(spark: SparkSession, path: str, fmt: str = "text", ordered: bool =
 
 
 def table_stream(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet",
-                 max_files: int | None = 5, max_bytes: str | None = None,
+                 max_files: int | None = 5, max_bytes: int | None = None,
                  options: Mapping[str, str] | None = None) -> DataFrame:
     """An append-only table as a stream, limited per micro-batch by files or by bytes.
 

@@ -569,7 +569,7 @@ def append_evolved_schema(spark, sf):
 @query
 def stream_evolved_schema(spark, sf):
     """The same table as a stream, which sees the added column; micro-batches are limited by bytes."""
-    rows = readers.table_stream(spark, _evolved_orders(spark, sf), max_bytes="64m")
+    rows = readers.table_stream(spark, _evolved_orders(spark, sf), max_bytes=10 << 20)
     return drain_to_scratch(rows.select("o_orderkey", "o_orderstatus", "o_orderpriority",
                                         F.col("year").cast("string").alias("year")), "evolved")
 
