@@ -106,11 +106,11 @@ class Pair:
     def encoded(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of both sides for each text; none where they don't join to the text."""
         given = [t or "" for t in texts]
-        pieces = self.sp.encode(given, num_threads=1)
+        pieces = self.sp.encode(given, num_threads=1, return_type="numpy")
         out = []
         for text, b in zip(given, pieces):
             a = np.frombuffer(self.encoder.plain(" " + text), np.int32) if text else _NONE
-            b, want = np.array(b, np.int32), (" " + text).encode()
+            b, want = np.asarray(b, np.int32), (" " + text).encode()
             if not text or self.a.joined(a) != want or self.b.joined(b) != want:
                 a = b = _NONE
             out.append((a.astype(self.a.kind), b.astype(self.b.kind)))
@@ -154,6 +154,17 @@ class Links:
         self.place_b = np.arange(len(b)) + a_through[group_b] if len(b) else np.zeros(0, np.int64)
         self.ends_written = until_a + until_b
 
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct pairs in order, and in how many of the documents each occurs."""
+        bits = max(len(self.per_doc) - 1, 0).bit_length()
+        doc = np.repeat(np.arange(len(self.per_doc), dtype=np.uint64), self.per_doc)
+        both = np.sort((self.codes.astype(np.uint64) << np.uint64(bits)) | doc)
+        fresh = np.ones(len(both), bool)
+        fresh[1:] = both[1:] != both[:-1]
+        codes = both[fresh] >> np.uint64(bits)
+        begins = np.flatnonzero(np.diff(codes, prepend=~codes[:1]))
+        return codes[begins].astype(self.codes.dtype), np.diff(begins, append=len(codes))
+
     def texts(self, a: np.ndarray, b: np.ndarray, shown: list[str]) -> list[str]:
         """The groups of each document as text; ``shown`` has each id with , | and ; behind it."""
         order = np.empty(len(a) + len(b), np.int64)
@@ -222,8 +233,8 @@ def asked_pairs(chunks: DataFrame, path_a: str, path_b: str, shards: int) -> Dat
         pair, out = tokenizers(path_a, path_b), []
         for chunk, *row in _rows([batch], ("chunk", "n_a", "n_b", "a", "b")):
             links = Links(pair, *_chunk(row, pair))
-            codes, shard, _ = _requests(links, pair, shards)
-            counts = _documents(links, codes)
+            codes, counts = links.distinct()
+            shard = _shards(codes, pair, shards)
             order = np.lexsort((codes, shard))
             codes, shard, counts = codes[order], shard[order], counts[order]
             cuts = np.flatnonzero(np.diff(shard)) + 1
@@ -239,20 +250,9 @@ def asked_pairs(chunks: DataFrame, path_a: str, path_b: str, shards: int) -> Dat
                              "shard int, chunk long, codes binary, counts binary", each)
 
 
-def _requests(links: Links, pair: Pair, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pairs in order, the shard of each, and which of them each link is."""
-    codes, inverse = np.unique(links.codes, return_inverse=True)
-    a = codes // codes.dtype.type(pair.b.size)
-    return codes, (mixed(a) % np.uint64(shards)).astype(np.int64), inverse
-
-
-def _documents(links: Links, codes: np.ndarray) -> np.ndarray:
-    """In how many documents each of the distinct pairs occurs."""
-    doc = np.repeat(np.arange(len(links.per_doc), dtype=np.uint64), links.per_doc)
-    which = np.searchsorted(codes, links.codes).astype(np.uint64)
-    distinct = np.unique(doc * np.uint64(max(len(codes), 1)) + which)
-    return np.bincount((distinct % np.uint64(max(len(codes), 1))).astype(np.int64),
-                       minlength=len(codes))
+def _shards(codes: np.ndarray, pair: Pair, shards: int) -> np.ndarray:
+    """The shard of each pair, by its A id."""
+    return (mixed(codes // codes.dtype.type(pair.b.size)) % np.uint64(shards)).astype(np.int64)
 
 
 def pair_counts(asked: DataFrame, path_a: str, path_b: str, shards: int, salts: int) -> DataFrame:
@@ -402,7 +402,8 @@ def align(docs: DataFrame, path_a: str, path_b: str, shards: int = 64, salts: in
             a, b, n_a, n_b = _chunk(row, pair)
             links = Links(pair, a, b, n_a, n_b)
             got = [(unpacked(r[6]).astype(np.int64), unpacked(r[7]) > 0) for r in rows]
-            codes, shard, inverse = _requests(links, pair, shards)
+            codes = links.distinct()[0]
+            shard, inverse = _shards(codes, pair, shards), np.searchsorted(codes, links.codes)
             counts, best = np.empty(len(codes), np.int64), np.empty(len(codes), bool)
             if got:   # by shard, and in order within it, as they were asked for
                 order = np.lexsort((codes, shard))
