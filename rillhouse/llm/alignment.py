@@ -22,7 +22,6 @@ An empty table gives no rows. Texts are whole, of any length.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import groupby
 
@@ -177,11 +176,6 @@ class Links:
         return out
 
 
-def _rows(batches: Iterable[pa.RecordBatch], columns: Iterable[str]) -> Iterator[tuple]:
-    for batch in common.small(batches):
-        yield from zip(*(batch.column(c).to_pylist() for c in columns))
-
-
 def _chunk(row: tuple, pair: Pair) -> tuple[np.ndarray, ...]:
     n_a, n_b, a, b = row
     return (unpacked(a).astype(pair.a.kind), unpacked(b).astype(pair.b.kind),
@@ -231,7 +225,7 @@ def asked_pairs(chunks: DataFrame, path_a: str, path_b: str, shards: int) -> Dat
     each occurs."""
     def each(batch: pa.RecordBatch):
         pair, out = tokenizers(path_a, path_b), []
-        for chunk, *row in _rows([batch], ("chunk", "n_a", "n_b", "a", "b")):
+        for chunk, *row in common.rows_of([batch], ("chunk", "n_a", "n_b", "a", "b")):
             links = Links(pair, *_chunk(row, pair))
             codes, counts = links.distinct()
             shard = _shards(codes, pair, shards)
@@ -271,7 +265,7 @@ def pair_counts(asked: DataFrame, path_a: str, path_b: str, shards: int, salts:
                 yield pa.RecordBatch.from_pydict({
                     "shard": pa.array([shard], pa.int32()), "codes": pa.array([
                         packed(np.diff(codes, prepend=codes.dtype.type(0)))], pa.binary())})
-        for shard, raw in _rows(batches, ("shard", "codes")):
+        for shard, raw in common.rows_of(batches, ("shard", "codes")):
             held.setdefault(shard, []).append(_codes(raw, both()))
             n += len(held[shard][-1])
             if n > 8_000_000:
@@ -280,7 +274,7 @@ def pair_counts(asked: DataFrame, path_a: str, path_b: str, shards: int, salts:
         yield from sent()
 
     def build(batches):
-        for shard, rows in groupby(_rows(batches, ("shard", "codes")), key=lambda r: r[0]):
+        for shard, rows in groupby(common.rows_of(batches, ("shard", "codes")), key=lambda r: r[0]):
             known, more, n = np.empty(0, both().code), [], 0
             for _, raw in rows:
                 more.append(_codes(raw, both()))
@@ -301,7 +295,7 @@ def pair_counts(asked: DataFrame, path_a: str, path_b: str, shards: int, salts:
     def dense(batches):
         """The vector of one shard and salt."""
         columns = ("shard", "salt", "sizes", "bits", "keys", "codes", "counts")
-        for (shard, _), rows in groupby(_rows(batches, columns), key=lambda r: r[:2]):
+        for (shard, _), rows in groupby(common.rows_of(batches, columns), key=lambda r: r[:2]):
             found = total = None
             for _, _, sizes, bits, keys, codes, counts in rows:
                 if sizes is not None:
@@ -312,7 +306,7 @@ def pair_counts(asked: DataFrame, path_a: str, path_b: str, shards: int, salts:
             yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()),
                                               "vector": pa.array([packed(total)], pa.binary())})
 
-    salted = beside(hashes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))),
+    salted = common.beside(hashes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))),
                     asked.select("shard", F.pmod("chunk", F.lit(salts)).cast("int").alias("salt"),
                                  "codes", "counts"), shards * salts, ["shard", "salt"])
     vectors = salted.mapInArrow(dense, "shard int, vector binary")
@@ -320,7 +314,7 @@ def pair_counts(asked: DataFrame, path_a: str, path_b: str, shards: int, salts:
     def summed(batches):
         pair = tokenizers(path_a, path_b)
         columns = ("shard", "sizes", "bits", "keys", "vector")
-        for shard, rows in groupby(_rows(batches, columns), key=lambda r: r[0]):
+        for shard, rows in groupby(common.rows_of(batches, columns), key=lambda r: r[0]):
             total = hash_of = None
             for _, sizes, bits, keys, vector in rows:
                 if sizes is not None:
@@ -337,23 +331,15 @@ def pair_counts(asked: DataFrame, path_a: str, path_b: str, shards: int, salts:
                 **{c: pa.array([v], pa.binary()) for c, v in zip(("sizes", "bits", "keys"), hash_of)},
                 "counts": pa.array([packed(total)], pa.binary()),
                 "best": pa.array([packed((total == most[a]).astype(np.uint8))], pa.binary())})
-    return common.written(beside(hashes, vectors, shards, ["shard"])
+    return common.written(common.beside(hashes, vectors, shards, ["shard"])
                           .mapInArrow(summed, hash_ + ", counts binary, best binary"), "pair-counts")
 
 
-def beside(first: DataFrame, then: DataFrame, partitions: int, keys: list[str]) -> DataFrame:
-    """Rows of both by key, one key after the other, each key's row of ``first`` before those of
-    ``then``: what is large is met once per key, and the rest streams by."""
-    both = first.withColumn("kind", F.lit(0)).unionByName(then.withColumn("kind", F.lit(1)),
-                                                          allowMissingColumns=True)
-    return both.repartition(partitions, *keys).sortWithinPartitions(*keys, "kind")
-
-
 def counts_of(pairs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """a, b, n, best: every pair of ids with the number of documents that hold it linked."""
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         pair, parts = tokenizers(path_a, path_b), []
-        for keys, counts, best in _rows([batch], ("keys", "counts", "best")):
+        for keys, counts, best in common.rows_of([batch], ("keys", "counts", "best")):
             codes = np.frombuffer(keys, pair.code).astype(np.int64)
             parts.append((codes // pair.b.size, codes % pair.b.size,
                           unpacked(counts).astype(np.int64), unpacked(best) > 0))
@@ -375,7 +361,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, shards: int = 64, salts: in
     def answers(batches):
         pair = tokenizers(path_a, path_b)
         columns = ("shard", "salt", "sizes", "bits", "keys", "counts", "best", "chunk", "codes")
-        for (shard, _), rows in groupby(_rows(batches, columns), key=lambda r: r[:2]):
+        for (shard, _), rows in groupby(common.rows_of(batches, columns), key=lambda r: r[:2]):
             for _, _, sizes, bits, keys, counts, best, chunk, codes in rows:
                 if sizes is not None:
                     found = PerfectHash.unpacked(sizes, bits, keys, pair.code)
@@ -388,7 +374,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, shards: int = 64, salts: in
                         "counts": pa.array([packed(total[at])], pa.binary()),
                         "best": pa.array([packed(top[at])], pa.binary())})
 
-    looked = beside(known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))),
+    looked = common.beside(known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))),
                     asked.select("shard", F.pmod("chunk", F.lit(salts)).cast("int").alias("salt"),
                                  "chunk", "codes"), shards * salts, ["shard", "salt"])
     found = looked.mapInArrow(answers, "chunk long, shard int, counts binary, best binary")
@@ -397,7 +383,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, shards: int = 64, salts: in
         pair = tokenizers(path_a, path_b)
         shown = [f"{i}{sep}" for i in range(max(pair.a.size, pair.b.size)) for sep in ",|;"]
         columns = ("chunk", "ids", "n_a", "n_b", "a", "b", "counts", "best")
-        for _, rows in groupby(_rows(batches, columns), key=lambda r: r[0]):
+        for _, rows in groupby(common.rows_of(batches, columns), key=lambda r: r[0]):
             _, ids, *row, _, _ = next(rows)
             a, b, n_a, n_b = _chunk(row, pair)
             links = Links(pair, a, b, n_a, n_b)

@@ -99,16 +99,11 @@ def folded(events: Iterable[tuple]) -> tuple[str, str] | None:
     return (role or "", "".join(text)) if there and last is not None else None
 
 
-def _rows(batches: Iterable[pa.RecordBatch], columns: Iterable[str]) -> Iterator[tuple]:
-    for batch in common.small(batches, 2048):
-        yield from zip(*(batch.column(c).to_pylist() for c in columns))
-
-
 def format_log(events: DataFrame, part_chars: int = 1_000_000) -> DataFrame:
     """Formatted parts of every conversation of an event log."""
     def parts(batches) -> Iterator[dict]:
         held: dict | None = None
-        for (conv, turn, message), log in groupby(_rows(batches, _EVENT), key=lambda r: r[:3]):
+        for (conv, turn, message), log in groupby(common.rows_of(batches, _EVENT, 2048), key=lambda r: r[:3]):
             made = folded(r[3:] for r in log)
             if made is None:
                 continue
@@ -178,7 +173,7 @@ def digests(parts: DataFrame, hold_chars: int = 4_000_000) -> DataFrame:
     columns = [f.name for f in _PART_ARROW]
 
     def dicts(batches) -> Iterator[dict]:
-        for row in _rows(batches, columns):
+        for row in common.rows_of(batches, columns, 2048):
             yield dict(zip(columns, row))
 
     def inside(batches) -> Iterator[dict]:

@@ -52,6 +52,22 @@ def arrow_pass(df: DataFrame, schema: str,
     return df.mapInArrow(run, schema)
 
 
+def rows_of(batches: Iterable[pa.RecordBatch], columns: Iterable[str], rows: int = BATCH_ROWS
+            ) -> Iterator[tuple]:
+    """The rows of a task as tuples of the given columns, a few at a time."""
+    names = list(columns)
+    for batch in small(batches, rows):
+        yield from zip(*(batch.column(c).to_pylist() for c in names))
+
+
+def beside(first: DataFrame, then: DataFrame, partitions: int, keys: list[str]) -> DataFrame:
+    """Rows of both by key, one key after the other, each key's row of ``first`` before those of
+    ``then``: what is large is met once per key, and the rest streams by."""
+    both = first.withColumn("kind", F.lit(0)).unionByName(then.withColumn("kind", F.lit(1)),
+                                                          allowMissingColumns=True)
+    return both.repartition(partitions, *keys).sortWithinPartitions(*keys, "kind")
+
+
 def texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Only the id (as long) and the text; other columns, whatever their names, stay out."""
     return docs.select(F.col(id_column).cast("long").alias("doc_id"),

@@ -38,7 +38,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common, pages
-from .alignment import _rows, beside
 from .topk import exact_scores
 
 NO_LIMIT = 1 << 62
@@ -201,7 +200,7 @@ class Index:
         def scan(batches) -> Iterator[pa.RecordBatch]:
             out: list[np.ndarray] = []
             size = 0
-            for _, rows in groupby(_rows(batches, columns), key=lambda r: r[0]):
+            for _, rows in groupby(common.rows_of(batches, columns), key=lambda r: r[0]):
                 for _, *page, own, own_labels, q, low, high in rows:
                     if page[0] is not None:
                         ids, labels = (np.frombuffer(p, np.int64) for p in page[:2])
@@ -227,7 +226,7 @@ class Index:
                 yield _found(out)
 
         asked = self.visits(anchors, first).join(self.heads, "leaf").drop("leaf", "asked")
-        both = beside(self.stored.select("page", "ids", "labels", "vectors"), asked,
+        both = common.beside(self.stored.select("page", "ids", "labels", "vectors"), asked,
                       pages.partitions(self.spark), ["page"])
         return both.select(*columns).mapInArrow(scan, _FOUND)
 

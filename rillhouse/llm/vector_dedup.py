@@ -32,7 +32,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common, pages
-from .alignment import _rows, beside
 from .components import components
 
 _PAGE = "label long, row int, n int, ids binary, copies binary, columns binary, vectors binary"
@@ -214,7 +213,7 @@ def verified(distinct: DataFrame, cosine: float, sample: int, per_cell: int, pag
     columns = ("page", "ids", "copies", "columns", "vectors", *_SENT)
 
     def verify(batches):
-        for _, rows in groupby(_rows(batches, columns), key=lambda r: r[0]):
+        for _, rows in groupby(common.rows_of(batches, columns), key=lambda r: r[0]):
             made, looked = [], 0
             for _, *mine, o_ids, o_copies, o_own, o_vectors, o_ends, o_columns in rows:
                 if mine[0] is not None:
@@ -251,7 +250,7 @@ def verified(distinct: DataFrame, cosine: float, sample: int, per_cell: int, pag
                     made = []
             yield _found([*made, (None, 0, None, looked)])
 
-    both = beside(stored, asked, pages.partitions(spark), ["page"])
+    both = common.beside(stored, asked, pages.partitions(spark), ["page"])
     return both.select(*columns).mapInArrow(verify, "rep long, n long, to long, looked long")
 
 
