@@ -161,14 +161,14 @@ class Vocabulary:
 
 
 class _Units(dict):
-    """Unit of text → packed ids, encoded when first met."""
+    """Unit of text → packed ids, encoded when first met; at most ``most`` are kept."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, most: int = CACHE_WORDS):
         super().__init__()
-        self.encode = encode
+        self.encode, self.most = encode, most
 
     def __missing__(self, unit: str) -> bytes:
-        if len(self) >= CACHE_WORDS:
+        if len(self) >= self.most:
             self.clear()
         packed = np.asarray(self.encode(unit), np.int32).tobytes()
         if len(unit) <= 64:

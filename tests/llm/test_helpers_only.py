@@ -163,3 +163,13 @@ def test_no_query_changes_a_setting(spark):
     for name in QUERIES.keys() - ORACLES.keys():
         QUERIES[name](spark, DATA)
         assert spark.conf.getAll == before, name
+
+
+def test_byte_encoder_keeps_few_units():
+    import public_tokenizers
+    from rillhouse.llm.packing import ByteEncoder
+    encoder = ByteEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    words = [f"w{i:x}" for i in range(60_000)]
+    ids = encoder.encode(" ".join(words))
+    assert len(encoder.units) <= 50_000
+    assert encoder.encode(" " + words[1]) == encoder.plain(" " + words[1]) and len(ids) % 4 == 0
