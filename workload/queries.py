@@ -850,12 +850,15 @@ def stream_keyed_metric_table(spark, sf):
     return _out(store.read(spark)).select("startTime", "endTime", "date", "registerCt")
 
 
-def message_files(messages: DataFrame, label: str, files: int = 4) -> DataFrame:
-    """Messages staged as text files and opened as a message stream of one file a micro-batch."""
+def message_files(messages: DataFrame, label: str, slices: int = STAGED_SLICES,
+                  file_rows: int = STAGED_FILE_ROWS) -> DataFrame:
+    """Messages staged as text files and opened as a message stream of ``slices`` micro-batches,
+    each of as many files as the rows ask for."""
     spark = configure(messages.sparkSession)
     path = paths.scratch(spark, label)
-    messages.select("value").repartition(files).write.text(path)
-    return readers.message_stream(spark, "text", path, {"maxFilesPerTrigger": "1"})
+    files = max(1, -(-messages.count() // (slices * file_rows)))
+    messages.select("value").repartition(slices * files).write.text(path)
+    return readers.message_stream(spark, "text", path, {"maxFilesPerTrigger": str(files)})
 
 
 def _appended(rows: DataFrame, label: str, date: str | None) -> DataFrame:
