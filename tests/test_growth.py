@@ -43,3 +43,43 @@ def test_staged_messages_get_files_by_their_rows(spark, tmp_path, monkeypatch):
     assert len([p for p in query.recentProgress if p.numInputRows]) == 4
     got = spark.read.parquet(f"{tmp_path}/t").select(F.col("value").cast("int")).collect()
     assert sorted(r[0] for r in got) == list(range(101))
+
+
+class Handle:
+    """A state store that counts the calls made to it."""
+
+    def __init__(self):
+        self.value, self.calls, self.timers = None, 0, []
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls, self.value = self.calls + 1, value
+
+    def clear(self):
+        self.calls, self.value = self.calls + 1, None
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.append(at)
+
+    def getExpiryTimeInMs(self):
+        return self.timers[-1]
+
+
+def test_keys_of_a_slot_share_the_calls_to_the_state():
+    handle, slots = Handle(), state.DaySlots(1, ["ts", "day"], 24)
+    slots.init(handle)
+    rows = [Row(7, f"k{k}", T0 + dt.timedelta(days=d), d) for k in range(500) for d in (1, 0, 1)]
+    made = [tuple(r) for r in slots.handleInputRows((7,), iter(rows), None)]
+    assert made == [x for k in range(500) for x in (
+        (f"k{k}", T0, 0, None), (f"k{k}", T0 + dt.timedelta(days=1), 1, 0))]
+    assert handle.calls == 3
+    again = [tuple(r) for r in slots.handleInputRows((7,), iter(rows[:1] + [Row(7, "k1", T0, 2)]), None)]
+    assert again == [("k1", T0, 2, 1)]                   # a day held is not given out again
+    assert list(slots.handleExpiredTimer((7,), None, handle)) == [] and handle.value is None

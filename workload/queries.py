@@ -662,12 +662,13 @@ def date_functions(spark, sf):
 
 # --- streams -------------------------------------------------------------------------------
 
-#: Micro-batches the staged events make, and rows of a staged file.
-STAGED_SLICES, STAGED_FILE_ROWS = 4, 500_000
+#: Micro-batches the staged events make, and rows of a staged file; of one whose rows cost much each.
+STAGED_SLICES, STAGED_FILE_ROWS, SMALL_FILE_ROWS = 4, 500_000, 100_000
 TIME = "unix_micros(CAST(ts AS TIMESTAMP))"
 
 
-def event_stream(spark: SparkSession, sf: str, by: str = TIME) -> DataFrame:
+def event_stream(spark: SparkSession, sf: str, by: str = TIME,
+                 file_rows: int = STAGED_FILE_ROWS) -> DataFrame:
     """All events as a stream of several micro-batches, in the order of a whole number ``by``.
 
     The range of ``by`` is cut into slices of equal width, written one after the other; a slice
@@ -678,7 +679,7 @@ def event_stream(spark: SparkSession, sf: str, by: str = TIME) -> DataFrame:
     ends = events.agg(F.min(F.expr(by)).alias("low"), F.max(F.expr(by)).alias("high"),
                       F.count(F.lit(1)).alias("rows")).first()
     low, width = ends.low or 0, ((ends.high or 0) - (ends.low or 0)) // STAGED_SLICES + 1
-    files = max(1, -(-ends.rows // (STAGED_SLICES * STAGED_FILE_ROWS)))
+    files = max(1, -(-ends.rows // (STAGED_SLICES * file_rows)))
     place = F.expr(by)
     for nth in range(STAGED_SLICES):
         begin = low + nth * width
@@ -723,7 +724,8 @@ def stream_home_detail_uv(spark, sf):
 def stream_home_detail_state(spark, sf):
     """The same by the state processor, with salted first stages."""
     return _out(drain_to_scratch(
-        metrics.home_detail_visitors(I.pages(event_stream(spark, sf)), "1 hour", salts=4), "home"))
+        metrics.home_detail_visitors(I.pages(event_stream(spark, sf, file_rows=SMALL_FILE_ROWS)), "1 hour",
+                                     salts=4), "home"))
 
 
 @query
