@@ -29,10 +29,20 @@ def state_partitions(spark: SparkSession, partitions: int | None = None) -> Iter
         spark.conf.set(key, before)
 
 
+def state_width(spark: SparkSession) -> int:
+    """Two state stores per core of the cluster, or the session's shuffle partitions if they are fewer.
+
+    A store is opened and committed in every micro-batch, whatever it holds, and keeps its rows on
+    disk: more rows need no more stores.
+    """
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+               2 * spark.sparkContext.defaultParallelism)
+
+
 def drain(df: DataFrame, path: str, checkpoint: str, date: str | None = None) -> DataFrame:
     """Append everything available to ``path`` and read the table back."""
     spark = configure(df.sparkSession)
-    with state_partitions(spark):
+    with state_partitions(spark, state_width(spark)):
         query = tables.append_stream(df, path, checkpoint, date, available_now=True)
         query.awaitTermination()
     return spark.read.schema(df.schema).parquet(path)

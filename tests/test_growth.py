@@ -83,3 +83,18 @@ def test_keys_of_a_slot_share_the_calls_to_the_state():
     again = [tuple(r) for r in slots.handleInputRows((7,), iter(rows[:1] + [Row(7, "k1", T0, 2)]), None)]
     assert again == [("k1", T0, 2, 1)]                   # a day held is not given out again
     assert list(slots.handleExpiredTimer((7,), None, handle)) == [] and handle.value is None
+
+
+def test_a_stream_keeps_stores_by_cores(spark, tmp_path):
+    path, before = f"{tmp_path}/in", spark.conf.get("spark.sql.shuffle.partitions")
+    spark.createDataFrame([(T0,), (T0 + dt.timedelta(hours=3),)], "ts timestamp").write.parquet(path)
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        stream = spark.readStream.schema("ts timestamp").parquet(path)
+        counted = windowed_agg(stream, "ts", "1 hour", [F.count("*").alias("n")], delay="1 minute")
+        assert drain(counted, f"{tmp_path}/t", f"{tmp_path}/c").count() == 1
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    stores = spark.read.format("state-metadata").load(f"{tmp_path}/c").first().numPartitions
+    assert stores == 2 * spark.sparkContext.defaultParallelism < 40

@@ -761,7 +761,7 @@ def stream_search_keyword_windows(spark, sf):
 
 @query
 def stream_order_wide_interval(spark, sf):
-    wide = facts.order_details(I.order_messages(event_stream(spark, sf)), around=3600)
+    wide = facts.order_details(I.order_messages(event_stream(spark, sf, file_rows=SMALL_FILE_ROWS)), around=3600)
     return drain_to_scratch(wide.select(
         "order_id", "sku_id", "sku_num", "order_price", "province_id", "activity_id",
         "activity_rule_id", "coupon_id", I.micros("create_time").alias("create_time"), "date"), "wide")
