@@ -45,6 +45,14 @@ def test_staged_messages_get_files_by_their_rows(spark, tmp_path, monkeypatch):
     assert sorted(r[0] for r in got) == list(range(101))
 
 
+def test_costly_streams_read_small_files(spark, tmp_path, monkeypatch):
+    made = folders(monkeypatch, tmp_path)
+    monkeypatch.setattr(Q, "SMALL_FILE_ROWS", 100, raising=False)
+    Q.QUERIES["stream_log_pages"](spark, DATA)
+    rows = spark.read.parquet(f"{DATA}/events.parquet").count()
+    assert len(parts(made["event-files"])) >= rows // 100
+
+
 class Handle:
     """A state store that counts the calls made to it."""
 

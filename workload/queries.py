@@ -813,7 +813,7 @@ def stream_device_delivered(spark, sf):
 @query
 def stream_log_pages(spark, sf):
     """The log stream: device state, then the page table out of the accepted lines."""
-    ev = event_stream(spark, sf, I.ARRIVAL).withColumn("arrival", F.expr(I.ARRIVAL))
+    ev = event_stream(spark, sf, I.ARRIVAL, SMALL_FILE_ROWS).withColumn("arrival", F.expr(I.ARRIVAL))
     valid, _ = facts.split_log(I.log_messages(ev, "arrival"), "arrival")
     accepted = _flagged_stream(valid, "mid")
     return facts.log_pages(facts.open_log(accepted)).select(
