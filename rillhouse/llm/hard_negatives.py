@@ -16,9 +16,11 @@ each window its k-th score so far, and the second descent takes all that can sti
 the tree lie pages of rows, of one lowest node each and sorted by angle; every row of a page that is
 reached is scored exactly. So the sample decides about speed only, and results are exact.
 
-Anchors are sent to the pages, packed; a page is held once while its anchors stream by. Of rows with
-one label and one vector only as many as can be asked for (the smallest ids) enter the tree: a group
-of copies of any size costs no more.
+Pages are dealt to groups of neighbouring nodes, of about ``group`` bytes each. Anchors are sent, packed,
+once to every group in which they reach a node, by a shuffle: a task holds a group while its anchors
+stream by and hands on the k best of each window. The driver holds the tree and a few numbers a lowest
+node, whatever the rows and anchors. Of rows with one label and one vector only as many as can be
+asked for (the smallest ids) enter the tree: a group of copies of any size costs no more.
 
 Rows without id, label or vector, or whose vector holds null or non-finite numbers, take no part.
 Shorter vectors count as filled up with zeros. Of rows that share an id the smallest (label, vector)
@@ -60,6 +62,11 @@ def angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(a @ b.T, -1, 1))
 
 
+def _nearest(a: np.ndarray, b: np.ndarray, rows: int = 256) -> np.ndarray:
+    """The place in ``b`` of each row's nearest one, some rows at a time: the driver holds this."""
+    return np.concatenate([angles(a[at:at + rows], b).argmin(1) for at in range(0, len(a), rows)])
+
+
 class CoverTree:
     """Levels of nested centres. ``centres`` holds each once; ``level[l]`` are those of level l,
     ``above[l]`` the place of each one's parent in level l - 1, ``radius[l]`` their radii."""
@@ -80,7 +87,7 @@ class CoverTree:
             if len(chosen) == len(before) and nth:
                 continue   # a level like the one above
             self.level.append(chosen)
-            self.above.append(angles(sample[chosen], sample[before]).argmin(1) if len(before)
+            self.above.append(_nearest(sample[chosen], sample[before]) if len(before)
                               else np.zeros(len(chosen), np.int64))
         # Where each lowest centre's ancestors stand in their levels.
         place = np.arange(len(self.level[-1]))
@@ -128,25 +135,73 @@ class CoverTree:
 
 _PAGE = "leaf int, n int, ids binary, labels binary, vectors binary, far array<double>"
 _ANCHOR = "vec_id long, label long, v array<long>, low array<long>, high array<long>"
+_SENT = ("grp int, asked int, a_ids binary, a_labels binary, a_vectors binary, low binary, "
+         "high binary, nodes binary")
 _FOUND = "anchor long, nth int, vec_id long, score long"
+_SENT_BYTES = 16 << 20    # of packed anchors in one batch of a task
+_HITS = 200_000           # rows kept before they are cut to the best
+
+
+def _packed(v: np.ndarray) -> bytes:
+    """Whole numbers in the fewest bytes that hold all of them."""
+    most = max(-int(v.min(initial=0)), int(v.max(initial=0)))
+    return v.astype(np.int16 if most < 1 << 15 else np.int32 if most < 1 << 31 else np.int64).tobytes()
+
+
+def _unpacked(data: bytes, rows: int, width: int) -> np.ndarray:
+    kind = {2: np.int16, 4: np.int32, 8: np.int64}[len(data) // (rows * width)]
+    return np.frombuffer(data, kind).reshape(rows, width)
+
+
+class _Best:
+    """The k best rows of each anchor and window met so far; ``low`` rises with the k-th score."""
+
+    def __init__(self, k: int, low: np.ndarray, high: np.ndarray):
+        self.k, self.low, self.high = k, low.copy(), high
+        self.kept = [[np.zeros(0, np.int64)] * 3 for _ in range(low.shape[1])]
+        self.hits: list[tuple[np.ndarray, ...]] = []
+        self.waiting = 0
+
+    def add(self, who: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        self.hits.append((who, ids, scores))
+        self.waiting += len(who)
+        if self.waiting > _HITS:
+            self.cut()
 
+    def cut(self) -> None:
+        if not self.hits:
+            return
+        who, ids, scores = (np.concatenate(c) for c in zip(*self.hits))
+        self.hits, self.waiting = [], 0
+        for w, kept in enumerate(self.kept):
+            fit = (scores >= self.low[who, w]) & (scores <= self.high[who, w])
+            i, n, s = (np.concatenate([old, new[fit]]) for old, new in zip(kept, (who, ids, scores)))
+            order = np.lexsort((n, -s, i))
+            i, n, s = i[order], n[order], s[order]
+            rank = np.arange(len(i)) - np.searchsorted(i, i)
+            last = rank == self.k - 1
+            self.low[i[last], w] = np.maximum(self.low[i[last], w], s[last])
+            self.kept[w] = [c[rank < self.k] for c in (i, n, s)]
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    if len(scores) > 4 * k:
-        cut = np.partition(scores, -k)[-k]
-        some = np.flatnonzero(scores >= cut)
-    else:
-        some = np.arange(len(scores))
-    return some[np.lexsort((ids[some], -scores[some]))][:k]
+    def found(self, own: np.ndarray) -> list[np.ndarray]:
+        self.cut()
+        return [np.stack([own[i], np.full(len(i), w), n, s], axis=1)
+                for w, (i, n, s) in enumerate(self.kept) if len(i)]
 
 
 class Index:
-    """Candidates below a cover tree; made by ``build``."""
+    """Candidates below a cover tree; made by ``build``. ``groups`` has of each lowest node with rows
+    its first group of pages and the number of groups that share its pages."""
 
-    def __init__(self, spark, tree: CoverTree, stored: DataFrame, longest: int, width: int):
+    def __init__(self, spark, tree: CoverTree, stored: DataFrame, longest: int, width: int,
+                 groups: dict[int, tuple[int, int]]):
         self.spark, self.tree, self.stored = spark, tree, stored
-        self.longest, self.width = longest, width
-        self.heads = stored.select("page", "leaf")
+        self.longest, self.width, self.groups = longest, width, groups
+        nodes: dict[int, list[int]] = {}
+        for leaf, (start, span) in groups.items():
+            for g in range(start, start + span):
+                nodes.setdefault(g, []).append(leaf)
+        self.nodes = {g: np.array(nodes[g]) for g in sorted(nodes)}
 
     def search(self, anchors: DataFrame, k: int, same: bool, first: int = 2) -> DataFrame:
         """anchor, nth, rank, vec_id, score: the k best rows of the anchor's label (or of all other
@@ -158,17 +213,17 @@ class Index:
         at_least = F.transform("low", lambda x, i: F.greatest(
             x, F.coalesce(F.try_element_at("kth", i), F.lit(-NO_LIMIT))))
         closer = common.written(
-            anchors.join(kth.withColumnRenamed("anchor", "vec_id"), "vec_id", "left")
+            anchors.join(kth.withColumnRenamed("anchor", "vec_id").hint("merge"), "vec_id", "left")
             .withColumn("low", F.when(F.col("kth").isNull(), F.col("low")).otherwise(at_least))
             .drop("kth"), "anchors")
         return self._ranked(self._scanned(closer, k, same, None), k)
 
-    def visits(self, anchors: DataFrame, first: int | None) -> DataFrame:
-        """leaf and packed anchors: which lowest nodes each anchor has to look at; only the ``first``
-        of them in the order of their bounds, if given."""
+    def _reaching(self, first: int | None):
+        """Of a batch of anchors: ids, labels, vectors, windows, and which lowest nodes each has to
+        look at; only the ``first`` of them in the order of their bounds, if given."""
         tree, longest, width = self.tree, self.longest, self.width
 
-        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        def of(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
             v = pages.matrix(batch.column("v"), width)
             low, high = (np.array(batch.column(c).to_pylist(), np.int64) for c in ("low", "high"))
             ids, labels = (batch.column(c).to_numpy() for c in ("vec_id", "label"))
@@ -180,54 +235,103 @@ class Index:
                 taken = np.zeros(open_.shape, bool)
                 np.put_along_axis(taken, order[:, :first], True, axis=1)
                 open_ &= taken
-            made = []
-            for leaf in np.flatnonzero(open_.any(axis=0)):
-                who = np.flatnonzero(open_[:, leaf])
-                made.append((int(leaf), len(who), ids[who].tobytes(), labels[who].tobytes(),
-                             v[who].tobytes(), low[who].tobytes(), high[who].tobytes()))
-            kinds = (pa.int32(), pa.int32(), *[pa.binary()] * 5)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([m[c] for m in made], t) for c, t in enumerate(kinds)],
-                ["leaf", "asked", "a_ids", "a_labels", "a_vectors", "low", "high"])
+            return ids, labels, v, low, high, open_
+        return of
+
+    def visits(self, anchors: DataFrame, first: int | None) -> DataFrame:
+        """leaf and asked: how many anchors have to look at each lowest node, batch by batch."""
+        reaching = self._reaching(first)
+
+        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+            asked = reaching(batch)[-1].sum(axis=0).astype(np.int32)
+            leaf = np.flatnonzero(asked).astype(np.int32)
+            return pa.RecordBatch.from_arrays([pa.array(leaf), pa.array(asked[leaf])], ["leaf", "asked"])
         return common.arrow_pass(anchors.select("vec_id", "label", "v", "low", "high"),
-                                 "leaf int, asked int, a_ids binary, a_labels binary, "
-                                 "a_vectors binary, low binary, high binary", each)
+                                 "leaf int, asked int", each)
+
+    def sent(self, anchors: DataFrame, first: int | None) -> DataFrame:
+        """Packed anchors for every group in which they have to look at a node, each once, with the
+        nodes as bits."""
+        reaching, groups = self._reaching(first), self.nodes
+        kinds = (pa.int32(), pa.int32(), *[pa.binary()] * 6)
+        names = [c.split()[0] for c in _SENT.split(", ")]
+
+        def packed(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in common.small(batches):
+                ids, labels, v, low, high, open_ = reaching(batch)
+                made, size = [], 0
+                for g, leaves in groups.items():
+                    mine = open_[:, leaves]
+                    who = np.flatnonzero(mine.any(axis=1))
+                    if not len(who):
+                        continue
+                    made.append((g, len(who), ids[who].tobytes(), labels[who].tobytes(),
+                                 _packed(v[who]), low[who].tobytes(), high[who].tobytes(),
+                                 np.packbits(mine[who], axis=1).tobytes()))
+                    size += sum(map(len, made[-1][2:]))
+                    if size > _SENT_BYTES:
+                        yield packed(made)
+                        made, size = [], 0
+                if made:
+                    yield packed(made)
+        return anchors.select("vec_id", "label", "v", "low", "high").mapInArrow(run, _SENT)
+
+    def _grouped(self) -> DataFrame:
+        """The pages and their groups; those of a node with several groups are dealt to them."""
+        rows = [(leaf, *g) for leaf, g in self.groups.items()]
+        start = self.spark.createDataFrame(pa.table(
+            [pa.array(c, pa.int32()) for c in zip(*rows)], ["leaf", "start", "span"]))
+        at = F.col("start") + F.pmod(F.xxhash64("page"), F.col("span")).cast("int")
+        return (self.stored.select("page", "leaf", "ids", "labels", "vectors")
+                .join(F.broadcast(start), "leaf").withColumn("grp", at).drop("start", "span", "page"))
 
     def _scanned(self, anchors: DataFrame, k: int, same: bool, first: int | None) -> DataFrame:
-        width = self.width
-        columns = ("page", "ids", "labels", "vectors", "a_ids", "a_labels", "a_vectors", "low", "high")
+        width, groups = self.width, self.nodes
+        columns = ("grp", "leaf", "ids", "labels", "vectors", "asked", "a_ids", "a_labels",
+                   "a_vectors", "low", "high", "nodes")
 
         def scan(batches) -> Iterator[pa.RecordBatch]:
             out: list[np.ndarray] = []
             size = 0
-            for _, rows in groupby(common.rows_of(batches, columns), key=lambda r: r[0]):
-                for _, *page, own, own_labels, q, low, high in rows:
-                    if page[0] is not None:
-                        ids, labels = (np.frombuffer(p, np.int64) for p in page[:2])
-                        v = np.frombuffer(page[2], np.int64).reshape(-1, width)
+            for g, rows in groupby(common.rows_of(batches, columns, 16), key=lambda r: r[0]):
+                place = {leaf: i for i, leaf in enumerate(groups[g].tolist())}
+                held: list[tuple] = []
+                for _, leaf, ids, labels, v, n, own, own_labels, q, low, high, nodes in rows:
+                    if ids is not None:
+                        ids, labels = (np.frombuffer(x, np.int64) for x in (ids, labels))
+                        held.append((place[leaf], ids, labels, _unpacked(v, len(ids), width)))
                         continue
                     own, own_labels = np.frombuffer(own, np.int64), np.frombuffer(own_labels, np.int64)
-                    low, high = (np.frombuffer(x, np.int64).reshape(len(own), -1) for x in (low, high))
-                    got = exact_scores(np.frombuffer(q, np.int64).reshape(-1, width), v)
-                    fit = (own_labels[:, None] == labels[None]) == same
-                    fit &= own[:, None] != ids[None]
-                    for w in range(low.shape[1]):
-                        inside = fit & (got >= low[:, w:w + 1]) & (got <= high[:, w:w + 1])
-                        for i in np.flatnonzero(inside.any(axis=1)):
-                            some = np.flatnonzero(inside[i])
-                            some = some[_best(got[i, some], ids[some], k)]
-                            out.append(np.stack([np.full(len(some), own[i]), np.full(len(some), w),
-                                                 ids[some], got[i, some]], axis=1))
-                            size += len(some)
+                    low, high = (np.frombuffer(x, np.int64).reshape(n, -1) for x in (low, high))
+                    q = _unpacked(q, n, width).astype(np.int64)
+                    nodes = np.unpackbits(np.frombuffer(nodes, np.uint8).reshape(n, -1), axis=1,
+                                          count=len(place)).astype(bool)
+                    best, most = _Best(k, low, high), high.max(axis=1)
+                    for at, ids, labels, v in held:
+                        who = np.flatnonzero(nodes[:, at])
+                        if not len(who):
+                            continue
+                        got = exact_scores(q[who], v.astype(np.int64))
+                        i, j = np.nonzero((got >= best.low[who].min(axis=1)[:, None])
+                                          & (got <= most[who][:, None]))
+                        scores, i = got[i, j], who[i]
+                        fit = ((own_labels[i] == labels[j]) == same) & (own[i] != ids[j])
+                        best.add(i[fit], ids[j[fit]], scores[fit])
+                    for part in best.found(own):
+                        out.append(part)
+                        size += len(part)
                     if size > 50_000:
                         yield _found(out)
                         out, size = [], 0
             if out:
                 yield _found(out)
 
-        asked = self.visits(anchors, first).join(self.heads, "leaf").drop("leaf", "asked")
-        both = common.beside(self.stored.select("page", "ids", "labels", "vectors"), asked,
-                      pages.partitions(self.spark), ["page"])
+        # More tasks than groups, so that few tasks get several of them.
+        both = common.beside(self._grouped(), self.sent(anchors, first),
+                             max(pages.partitions(self.spark), 2 * len(self.nodes)), ["grp"])
         return both.select(*columns).mapInArrow(scan, _FOUND)
 
     @staticmethod
@@ -244,10 +348,23 @@ def _found(parts: list[np.ndarray]) -> pa.RecordBatch:
          pa.array(rows[:, 3])], ["anchor", "nth", "vec_id", "score"])
 
 
-def build(points: DataFrame, most: int, sample: int = 4096, page: int = 1024) -> Index | None:
+def _grouping(tree: CoverTree, size: dict[int, int], many: int) -> dict[int, tuple[int, int]]:
+    """First group and number of groups of each lowest node: ``many`` groups of about equal ``size``
+    (bytes by node), of nodes that are neighbours in the tree."""
+    leaves = np.array([n for n in np.lexsort(tree.path[::-1]).tolist() if n in size], np.int64)
+    share = np.array([size[n] for n in leaves.tolist()], np.float64)
+    share *= many / share.sum()
+    start = np.minimum(np.cumsum(share) - share, many - 1).astype(np.int64)
+    span = np.clip(np.rint(share).astype(np.int64), 1, many - start)
+    return {n: (s, w) for n, s, w in zip(leaves.tolist(), start.tolist(), span.tolist())}
+
+
+def build(points: DataFrame, most: int, sample: int = 4096, page: int = 1024,
+          group: int = 32 << 20) -> Index | None:
     """The index of rows (vec_id, label, v), of which at most ``most`` are asked for at once.
 
-    The tree's sample is the square root of the number of rows, ``sample`` at most.
+    The tree's sample is the square root of the number of rows, ``sample`` at most. ``group``: bytes
+    of packed vectors that a task holds.
     """
     spark = points.sparkSession
     copies = Window.partitionBy("label", "v").orderBy("vec_id")
@@ -276,7 +393,7 @@ def build(points: DataFrame, most: int, sample: int = 4096, page: int = 1024) ->
         return {"leaf": table.column("leaf")[0].as_py(), "n": table.num_rows,
                 "ids": table.column("vec_id").to_numpy().tobytes(),
                 "labels": table.column("label").to_numpy().tobytes(),
-                "vectors": pages.matrix(table.column("v").chunk(0), width).tobytes(),
+                "vectors": _packed(pages.matrix(table.column("v").chunk(0), width)),
                 "far": far.max(axis=0).tolist()}
 
     made = common.arrow_pass(rows, "vec_id long, label long, v array<long>, leaf int, d double, "
@@ -284,9 +401,15 @@ def build(points: DataFrame, most: int, sample: int = 4096, page: int = 1024) ->
     stored = common.written(pages.paged(made, ["leaf"], ["d", "vec_id"], page,
                                         pages.partitions(spark), pack, _PAGE), "cover-tree-pages")
     levels = len(tree.level)   # one row a lowest node: as many as the sample at most
-    radii = stored.groupBy("leaf").agg(*[F.max(F.col("far")[i]).alias(f"r{i}") for i in range(levels)])
-    tree.measured({r[0]: np.array(r[1:]) for r in radii.collect()})
-    return Index(spark, tree, stored, longest, width)
+    nodes = stored.groupBy("leaf").agg(
+        F.count(F.lit(1)), F.sum(F.length("vectors")),
+        *[F.max(F.col("far")[i]).alias(f"r{i}") for i in range(levels)]).collect()
+    tree.measured({r[0]: np.array(r[3:]) for r in nodes})
+    size, count = sum(r[2] for r in nodes), sum(r[1] for r in nodes)
+    many = max(math.ceil(size / group),   # small tables: some groups a core, none too small
+               min(count, 4 * spark.sparkContext.defaultParallelism, math.ceil(128 * size / group)))
+    return Index(spark, tree, stored, longest, width,
+                 _grouping(tree, {r[0]: r[2] for r in nodes}, many))
 
 
 def mine(table: DataFrame, is_anchor: Column, label: Column, vector: str = "embedding",
@@ -330,10 +453,10 @@ def mine(table: DataFrame, is_anchor: Column, label: Column, vector: str = "embe
             return F.coalesce((whole_ / 100).cast("long"), F.lit(empty).cast("long"))
         return F.transform(F.sequence(F.lit(1), F.lit(positives)), one)
 
-    windowed = anchors.join(window, "vec_id").withColumns(
+    windowed = anchors.join(window.hint("merge"), "vec_id").withColumns(
         {"low": limits(low, True, NO_LIMIT), "high": limits(high, False, -NO_LIMIT)}).drop("scores")
     found = index.search(common.written(windowed, "windows"), negatives, False)
-    return (found.withColumn("nth", F.col("nth") + 1).join(best, ["anchor", "nth"])
+    return (found.withColumn("nth", F.col("nth") + 1).join(best.hint("merge"), ["anchor", "nth"])
             .select(F.col("anchor").alias("anchor_id"), "positive_id", "rank",
                     F.col("vec_id").alias("negative_id"), "positive_score",
                     F.col("score").alias("negative_score")))

@@ -3,6 +3,7 @@ repeats, ties, hot groups, empty tables and clashing columns."""
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -116,6 +117,83 @@ def test_mining_leaves_nodes_out_where_vectors_have_groups(spark):
     assert looked < 0.4 * 30 * 1200, looked / (30 * 1200)
 
 
+def test_tree_is_built_in_little_memory():
+    """The driver never holds the angles between all centres."""
+    v = np.random.default_rng(5).integers(-300, 300, (1500, 16))
+    x = hard_negatives.units(v, int((v * v).sum(1).max()), False)
+    tracemalloc.start()
+    try:
+        tree = hard_negatives.CoverTree(x)
+        assert tracemalloc.get_traced_memory()[1] < 10e6
+    finally:
+        tracemalloc.stop()
+    for below, above, up in zip(tree.level[1:], tree.level, tree.above[1:]):
+        assert (up == hard_negatives.angles(x[below], x[above]).argmin(1)).all()
+
+
+def test_what_grows_with_anchors_is_not_broadcast(spark):
+    """The driver would hold it; the positives' key of two columns takes 64 MB there at the least."""
+    mining = hard_negatives.mine(frame(spark, vectors(60, 6)), F.col("is_anchor"), F.col("label"), page=8)
+    plan = mining._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in plan.splitlines() if "Join" in x and "nth#" in x]
+    assert joins and not any("Broadcast" in x for x in joins), joins
+
+
+def test_anchors_are_sent_once_a_group(spark):
+    rows = [(i, np.floor(256 * np.array(v)).astype(int).tolist(), i % 3) for i, v, *_ in vectors(400, 6)]
+    points = spark.createDataFrame(rows, "vec_id long, v array<long>, label long")
+    index = hard_negatives.build(points, 10, page=8)
+    limit = lambda x: F.array(F.lit(x).cast("long"))
+    anchors = points.where("vec_id % 100 = 0").withColumns({"low": limit(-hard_negatives.NO_LIMIT),
+                                                            "high": limit(hard_negatives.NO_LIMIT)})
+    assert len(index.nodes) <= 16 < index.stored.count()
+    assert index.sent(anchors, None).agg(F.sum("asked")).first()[0] == 4 * len(index.nodes)
+
+
+def test_vectors_take_few_bytes():
+    for most, size in ((2 ** 15 - 1, 2), (2 ** 15, 4), (2 ** 31, 8)):
+        v = np.array([[0, -most, 1], [most, 5, 6]], np.int64)
+        packed = hard_negatives._packed(v)
+        assert len(packed) == 6 * size and (hard_negatives._unpacked(packed, 2, 3) == v).all()
+
+
+def test_nodes_larger_than_a_group_share_several():
+    x = hard_negatives.units(np.random.default_rng(2).integers(-300, 300, (60, 8)), 800_000, False)
+    tree = hard_negatives.CoverTree(np.unique(x, axis=0))
+    size = {leaf: 10 for leaf in range(0, len(tree.lowest), 2)} | {4: 2000}
+    groups = hard_negatives._grouping(tree, size, 12)
+    assert groups.keys() == size.keys() and groups[4][1] > 6
+    assert all(0 <= start and span >= 1 and start + span <= 12 for start, span in groups.values())
+
+
+@pytest.mark.parametrize("group", [200, 1500])
+def test_mining_by_many_groups_is_exact(spark, group):
+    """Groups smaller than a node."""
+    rows = vectors(150, 8, copies=40) + [(700, [9000.0] * 6, 2, True)]
+    got = hard_negatives.mine(frame(spark, rows), F.col("is_anchor"), F.col("label"), "embedding",
+                              4, 6, 20, 95, page=4, group=group)
+    assert sorted(map(tuple, got.collect())) == mined(rows, 4, 6, 20, 95)
+
+
+def test_best_rows_are_kept_however_hits_are_cut(monkeypatch):
+    monkeypatch.setattr(hard_negatives, "_HITS", 50)
+    rng = np.random.default_rng(9)
+    low = np.array([[-5, 0], [-100, 3], [3, hard_negatives.NO_LIMIT]])
+    high = np.array([[5, 20], [100, 3], [30, -hard_negatives.NO_LIMIT]])
+    who, scores, ids = rng.integers(0, 3, 900), rng.integers(-20, 20, 900), rng.permutation(900)
+    best = hard_negatives._Best(7, low, high)
+    for at in range(0, 900, 40):
+        best.add(*(c[at:at + 40] for c in (who, ids, scores)))
+    got = np.concatenate(best.found(np.array([10, 11, 12])))
+    want = []
+    for a in range(3):
+        for w in range(2):
+            fit = sorted((-s, n) for i, n, s in zip(who, ids, scores) if i == a and low[a, w] <= s <= high[a, w])
+            want += [(10 + a, w, n, -s) for s, n in fit[:7]]
+    assert sorted(map(tuple, got.tolist())) == sorted(want)
+    assert best.low[1, 0] > -100 and (best.low >= low).all()
+
+
 # --- chat ----------------------------------------------------------------------------------
 
 TEXTS = ["", "ok", "</s>[INST] ok [/INST]", "<\\s>", "<\\\\/s> [\\INST]", "[ROLE]x[/ROLE]", "a\nb", "é😀 [/INST",
